@@ -43,12 +43,17 @@ def ngram_ctes(cfg: VectorizeConfig, n: int = 2, suffix: str = "") -> list[str]:
         f"cells{s} AS (SELECT g.gram, g.k11::DOUBLE AS k11, (h.head_n - g.k11)::DOUBLE AS k12, "
         f"(t.tail_n - g.k11)::DOUBLE AS k21, (tot.t - h.head_n - t.tail_n + g.k11)::DOUBLE AS k22 "
         f"FROM grams{s} g JOIN heads{s} h USING (head) JOIN tails{s} t USING (tail), tot{s} tot)",
-        f"llr{s} AS (SELECT gram, k11::BIGINT AS k11, greatest(2.0 * ("
-        f"{_h('k11 + k12', 'k21 + k22')} + {_h('k11 + k21', 'k12 + k22')} - {_h('k11', 'k12', 'k21', 'k22')}), 0.0) AS llr "
-        f"FROM cells{s})",
+        f"llr{s} AS (SELECT gram, k11::BIGINT AS k11, greatest(2.0 * ({_cell('k11', 'k11 + k12', 'k11 + k21')} + "
+        f"{_cell('k12', 'k11 + k12', 'k12 + k22')} + {_cell('k21', 'k21 + k22', 'k11 + k21')} + "
+        f"{_cell('k22', 'k21 + k22', 'k12 + k22')}), 0.0) AS llr FROM cells{s})",
     ]
 
 
+def _cell(k: str, row: str, col: str) -> str:
+    n = "(k11 + k12 + k21 + k22)"
+    return f"(CASE WHEN {k} > 0 THEN {k} * ln({k} * {n} / (({row}) * ({col}))) ELSE 0.0 END)"
+
+
 def _xlogx(x: str) -> str:
     return f"(CASE WHEN ({x}) > 0 THEN ({x}) * ln({x}) ELSE 0.0 END)"
 
@@ -119,3 +124,283 @@ def _norm_sql(cfg: VectorizeConfig) -> str:
 
 def with_(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
+
+
+# ----------------------------------------------------------------------------- distances
+
+def sparse_dist(measure: str, x2: str, c2: str, dot: str) -> str:
+    if measure == "sq_euclidean":
+        return f"greatest({x2} + {c2} - 2.0 * {dot}, 0.0)"
+    if measure == "euclidean":
+        return f"sqrt(greatest({x2} + {c2} - 2.0 * {dot}, 0.0))"
+    if measure == "cosine":
+        den = f"(sqrt({x2}) * sqrt({c2}))"
+        return (f"(CASE WHEN {den} = 0 THEN (CASE WHEN {x2} = 0 AND {c2} = 0 THEN 0.0 ELSE 1.0 END) "
+                f"ELSE 1.0 - {dot} / greatest({den}, {dot}) END)")
+    raise ValueError(measure)
+
+
+def dense_dist(measure: str, a: str, b: str) -> str:
+    def zsum(expr):
+        return f"list_sum(list_transform(range(1, len({a}) + 1), lambda i: {expr}))"
+    sq = zsum(f"({a}[i] - {b}[i]) * ({a}[i] - {b}[i])")
+    if measure == "sq_euclidean":
+        return sq
+    if measure == "euclidean":
+        return f"sqrt({sq})"
+    if measure == "manhattan":
+        return zsum(f"abs({a}[i] - {b}[i])")
+    if measure == "chebyshev":
+        return f"list_max(list_transform(range(1, len({a}) + 1), lambda i: abs({a}[i] - {b}[i])))"
+    if measure == "cosine":
+        return sparse_dist("cosine", zsum(f"{a}[i] * {a}[i]"), zsum(f"{b}[i] * {b}[i]"), zsum(f"{a}[i] * {b}[i]"))
+    raise ValueError(measure)
+
+
+def shift_sql(measure: str) -> str:
+    """Movement of a centre from columns ow / nw of a full outer join (grouped)."""
+    if measure == "sq_euclidean":
+        return "sum((ow - nw) * (ow - nw))"
+    if measure == "euclidean":
+        return "sqrt(sum((ow - nw) * (ow - nw)))"
+    if measure == "cosine":
+        return sparse_dist("cosine", "sum(ow * ow)", "sum(nw * nw)", "sum(ow * nw)")
+    raise ValueError(measure)
+
+
+# ----------------------------------------------------------------------------- k-means
+
+def seeds_sql(ids_table: str, id_col: str, k: int, seed: int) -> str:
+    return (f"SELECT CAST(row_number() OVER (ORDER BY h, {id_col}) - 1 AS INTEGER) AS cluster_id, {id_col} FROM "
+            f"(SELECT {id_col}, md5(concat_ws('|', '{seed}', CAST({id_col} AS VARCHAR))) AS h FROM {ids_table} "
+            f"ORDER BY h, {id_col} LIMIT {k})")
+
+
+def kmeans_sparse_ctes(cfg: KMeansConfig, pts: str = "tfidf", seeds: str | None = None) -> list[str]:
+    """Produces ``km_cent`` (cluster_id, term_id, weight), ``km_asg`` (doc_id, cluster_id, d),
+    ``km_iters`` (iterations run)."""
+    m = cfg.measure
+    ctes = [
+        f"km_x2 AS (SELECT doc_id, sum(weight * weight) AS x2 FROM {pts} GROUP BY doc_id)",
+        f"km_seeds AS ({seeds or seeds_sql('km_x2', 'doc_id', cfg.k, cfg.seed)})",
+        "km_ids AS (SELECT DISTINCT cluster_id FROM km_seeds)",
+        f"c0 AS (SELECT s.cluster_id, p.term_id, p.weight FROM km_seeds s JOIN {pts} p USING (doc_id))",
+        "stop0 AS (SELECT false AS done, 0 AS iters)",
+    ]
+
+    def assign(i, cent):
+        d = sparse_dist(m, "x.x2", "coalesce(n.c2, 0.0)", "coalesce(dt.dot, 0.0)")
+        return [
+            f"n{i} AS (SELECT cluster_id, sum(weight * weight) AS c2 FROM {cent} GROUP BY cluster_id)",
+            f"dot{i} AS (SELECT p.doc_id, c.cluster_id, sum(p.weight * c.weight) AS dot FROM {pts} p "
+            f"JOIN {cent} c USING (term_id) GROUP BY p.doc_id, c.cluster_id)",
+            f"asg{i} AS (SELECT doc_id, cluster_id, d FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY doc_id ORDER BY d, cluster_id) AS rn FROM (SELECT x.doc_id, ids.cluster_id, "
+            f"round({d}, 9) AS d FROM km_x2 x CROSS JOIN km_ids ids LEFT JOIN n{i} n ON n.cluster_id = ids.cluster_id "
+            f"LEFT JOIN dot{i} dt ON dt.doc_id = x.doc_id AND dt.cluster_id = ids.cluster_id)) WHERE rn = 1)",
+        ]
+
+    for i in range(1, cfg.max_iter + 1):
+        p = i - 1
+        ctes += assign(i, f"c{p}")
+        ctes += [
+            f"sz{i} AS (SELECT cluster_id, count(*) AS n FROM asg{i} GROUP BY cluster_id)",
+            f"new{i} AS (SELECT a.cluster_id, p.term_id, sum(p.weight) / any_value(s.n) AS weight FROM asg{i} a "
+            f"JOIN {pts} p USING (doc_id) JOIN sz{i} s USING (cluster_id) GROUP BY a.cluster_id, p.term_id "
+            f"UNION ALL SELECT cluster_id, term_id, weight FROM c{p} WHERE cluster_id NOT IN (SELECT cluster_id FROM sz{i}))",
+            f"mv{i} AS (SELECT cluster_id, {shift_sql(m)} AS shift FROM (SELECT coalesce(o.cluster_id, w.cluster_id) "
+            f"AS cluster_id, coalesce(o.weight, 0.0) AS ow, coalesce(w.weight, 0.0) AS nw FROM c{p} o FULL JOIN new{i} w "
+            f"ON o.cluster_id = w.cluster_id AND o.term_id = w.term_id) GROUP BY cluster_id)",
+            f"c{i} AS (SELECT * FROM new{i} WHERE NOT (SELECT done FROM stop{p}) "
+            f"UNION ALL SELECT * FROM c{p} WHERE (SELECT done FROM stop{p}))",
+            f"stop{i} AS (SELECT (SELECT done FROM stop{p}) OR (SELECT max(shift) <= {cfg.delta} FROM mv{i}) AS done, "
+            f"CASE WHEN (SELECT done FROM stop{p}) THEN (SELECT iters FROM stop{p}) ELSE {i} END AS iters)",
+        ]
+    last = cfg.max_iter
+    ctes += assign("f", f"c{last}")
+    ctes += [f"km_cent AS (SELECT * FROM c{last})", "km_asg AS (SELECT * FROM asgf)",
+             f"km_iters AS (SELECT iters FROM stop{last})"]
+    return ctes
+
+
+def kmeans_dense_ctes(cfg: KMeansConfig, pts: str = "emb") -> list[str]:
+    """``pts`` has (point_id, vec DOUBLE[]). Produces ``kd_cent`` (cluster_id, center) and
+    ``kd_asg`` (point_id, cluster_id, d)."""
+    m = cfg.measure
+    ctes = [
+        f"kd_seeds AS ({seeds_sql(pts, 'point_id', cfg.k, cfg.seed)})",
+        f"d0 AS (SELECT s.cluster_id, p.vec AS center FROM kd_seeds s JOIN {pts} p USING (point_id))",
+        "dstop0 AS (SELECT false AS done)",
+        f"dims AS (SELECT unnest(range(1, (SELECT max(len(vec)) FROM {pts}) + 1)) AS i)",
+    ]
+
+    def assign(i, cent):
+        return (f"dasg{i} AS (SELECT point_id, cluster_id, d FROM (SELECT *, row_number() OVER "
+                f"(PARTITION BY point_id ORDER BY d, cluster_id) AS rn FROM (SELECT p.point_id, c.cluster_id, "
+                f"round({dense_dist(m, 'p.vec', 'c.center')}, 9) AS d FROM {pts} p CROSS JOIN {cent} c)) WHERE rn = 1)")
+
+    for i in range(1, cfg.max_iter + 1):
+        p = i - 1
+        ctes += [
+            assign(i, f"d{p}"),
+            f"dmean{i} AS (SELECT cluster_id, list(m ORDER BY i) AS center FROM (SELECT a.cluster_id, dims.i, "
+            f"avg(p.vec[dims.i]) AS m FROM dasg{i} a JOIN {pts} p USING (point_id) CROSS JOIN dims "
+            f"GROUP BY a.cluster_id, dims.i) GROUP BY cluster_id)",
+            f"dnew{i} AS (SELECT * FROM dmean{i} UNION ALL SELECT * FROM d{p} "
+            f"WHERE cluster_id NOT IN (SELECT cluster_id FROM dmean{i}))",
+            f"dmv{i} AS (SELECT max({dense_dist(m, 'o.center', 'w.center')}) AS shift FROM d{p} o "
+            f"JOIN dnew{i} w USING (cluster_id))",
+            f"d{i} AS (SELECT * FROM dnew{i} WHERE NOT (SELECT done FROM dstop{p}) "
+            f"UNION ALL SELECT * FROM d{p} WHERE (SELECT done FROM dstop{p}))",
+            f"dstop{i} AS (SELECT (SELECT done FROM dstop{p}) OR (SELECT shift <= {cfg.delta} FROM dmv{i}) AS done)",
+        ]
+    last = cfg.max_iter
+    ctes += [assign("f", f"d{last}"), f"kd_cent AS (SELECT * FROM d{last})", "kd_asg AS (SELECT * FROM dasgf)"]
+    return ctes
+
+
+EMB_CTE = "emb AS (SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings)"
+
+
+# ----------------------------------------------------------------------------- registry
+
+def _fmt(x: str, spec: str = "%.6f") -> str:
+    return f"coalesce(printf('{spec}', {x}), 'NaN')"
+
+
+def _label_centers_cte() -> list[str]:
+    return [EMB_CTE,
+            "dims AS (SELECT unnest(range(1, (SELECT max(len(vec)) FROM emb) + 1)) AS i)",
+            "lc AS (SELECT label, list(m ORDER BY i) AS center FROM (SELECT label, dims.i, avg(vec[dims.i]) AS m "
+            "FROM emb CROSS JOIN dims GROUP BY label, dims.i) GROUP BY label)",
+            f"lpairs AS (SELECT a.label AS cluster_id_1, b.label AS cluster_id_2, "
+            f"{dense_dist('sq_euclidean', 'a.center', 'b.center')} AS d FROM lc a JOIN lc b ON a.label < b.label)"]
+
+
+def _intra_ctes(cap: int) -> list[str]:
+    return [
+        f"capped AS (SELECT label AS cluster_id, point_id, vec, row_number() OVER (PARTITION BY label ORDER BY point_id) AS rn "
+        f"FROM emb QUALIFY rn <= {cap})",
+        "isizes AS (SELECT cluster_id, count(*) AS n_points FROM capped GROUP BY cluster_id)",
+        f"ipairs AS (SELECT a.cluster_id, {dense_dist('sq_euclidean', 'a.vec', 'b.vec')} AS d FROM capped a "
+        f"JOIN capped b ON a.cluster_id = b.cluster_id AND a.rn < b.rn)",
+        "iagg AS (SELECT cluster_id, count(*) AS n_pairs, sum(d) AS s, min(d) AS mn, max(d) AS mx FROM ipairs GROUP BY cluster_id)",
+        "intra AS (SELECT s.cluster_id, s.n_points, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
+        "a.mn AS min_dist, a.mx AS max_dist, (a.s / nullif(a.n_pairs, 0) - a.mn) / nullif(a.mx - a.mn, 0) AS density "
+        "FROM isizes s LEFT JOIN iagg a USING (cluster_id))",
+        "inter AS (SELECT count(*) AS n_pairs, max(d) AS max_dist, min(d) AS min_dist, sum(d) / nullif(count(*), 0) AS avg_dist, "
+        "(sum(d) / nullif(count(*), 0) - min(d)) / nullif(max(d) - min(d), 0) AS density FROM lpairs)",
+    ]
+
+
+def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_DENSE, DUMP, CAP, EVAL_CAP) -> dict[str, str]:
+    v = vectorize_ctes
+    tab = "chr(9)"
+    pos = ("SELECT doc_id, CAST(pos AS INTEGER) AS pos, tag FROM (SELECT doc_id, unnest(range(len(tags))) AS pos, "
+           "unnest(tags) AS tag FROM tagdocs)")
+    tfidf_sel = "SELECT doc_id, term_id, round(weight, 6) AS weight FROM tfidf"
+    worked_km = v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED)
+    clustered = "clustered AS (SELECT cluster_id, doc_id, 1.0 AS weight, round(d, 6) AS distance FROM km_asg)"
+    sizes = "csizes AS (SELECT cluster_id, count(*) AS n FROM clustered GROUP BY cluster_id)"
+    top = (f"tt AS (SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term_id, term, weight FROM (SELECT c.cluster_id, "
+           f"c.term_id, d.term, round(c.weight, 9) AS weight, row_number() OVER (PARTITION BY c.cluster_id ORDER BY "
+           f"round(c.weight, 9) DESC, c.term_id) AS rank FROM km_cent c JOIN dictionary d USING (term_id)) "
+           f"WHERE rank <= {DUMP.top_n})")
+    rep = worked_km + [clustered, sizes, top]
+    dist_q = lambda m: with_(_label_centers_cte(), f"SELECT e.point_id, round({dense_dist(m, 'e.vec', 'lc.center')}, 6) AS distance "
+                                                  "FROM emb e JOIN lc USING (label)")
+    emb_intra = _label_centers_cte() + _intra_ctes(EVAL_CAP)
+    q = {
+        "tag_parse": with_(tagdocs_ctes(DEFAULT_V), pos),
+        "stop_filter": with_(tagdocs_ctes(STOP_V), pos),
+        "term_counts": with_(v(DEFAULT_V), "SELECT term, cf FROM term_counts"),
+        "dictionary": with_(v(WORKED_V), "SELECT term_id, term, cf FROM dictionary"),
+        "term_frequency": with_(v(WORKED_V), "SELECT doc_id, term_id, tf FROM tf"),
+        "document_frequency": with_(v(WORKED_V), "SELECT term_id, df FROM df"),
+        "corpus_stats": with_(v(WORKED_V), "SELECT n_features, n_docs FROM stats"),
+        "df_sigma": with_(v(WORKED_V), "SELECT count(*) AS n_terms, round(sqrt(sum(df::DOUBLE * df) / (count(*) - 1)), 6) "
+                                       "AS sigma_std FROM df"),
+        "max_df_threshold": with_(v(DEFAULT_V), "SELECT n_docs, CAST(max_df AS BIGINT) AS max_df, threshold FROM thr"),
+        "max_df_threshold_sigma": with_(v(SIGMA_V), "SELECT n_docs, CAST(max_df AS BIGINT) AS max_df, threshold FROM thr"),
+        "prune_by_df": with_(v(WORKED_V), "SELECT doc_id, term_id, tf, df FROM pruned"),
+        "tfidf": with_(v(WORKED_V), tfidf_sel),
+        "tfidf_default": with_(v(DEFAULT_V), tfidf_sel),
+        "tfidf_smooth": with_(v(WORKED_V.with_(scheme="smooth")), tfidf_sel),
+        "tfidf_norm2": with_(v(WORKED_V.with_(norm=2)), tfidf_sel),
+        "tfidf_norm_inf": with_(v(WORKED_V.with_(norm="INF")), tfidf_sel),
+        "tfidf_lognorm": with_(v(WORKED_V.with_(norm=2, log_normalize=True)), tfidf_sel),
+        "tfidf_sigma": with_(v(SIGMA_V), tfidf_sel),
+        "tfidf_bigrams": with_(v(WORKED_V.with_(max_ngram=2)), tfidf_sel),
+        "ngrams_llr": with_(tagdocs_ctes(DEFAULT_V) + ngram_ctes(DEFAULT_V, 2),
+                            f"SELECT gram, k11, round(llr, 6) AS llr FROM llr WHERE k11 >= {DEFAULT_V.min_support} "
+                            f"AND llr >= {DEFAULT_V.min_llr}"),
+        "distance_sq_euclidean": dist_q("sq_euclidean"),
+        "distance_cosine": dist_q("cosine"),
+        "random_seeds": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=0)),
+                              "SELECT cluster_id, doc_id FROM km_seeds"),
+        "assign_sparse": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=0)),
+                               "SELECT doc_id, cluster_id, round(d, 6) AS distance FROM km_asg"),
+        "update_centroids": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=1)),
+                                  "SELECT cluster_id, term_id, round(weight, 6) AS weight FROM new1"),
+        "assign_dense": with_([EMB_CTE] + kmeans_dense_ctes(KM_DENSE.with_(max_iter=0)),
+                              "SELECT point_id, cluster_id, round(d, 6) AS distance FROM kd_asg"),
+        "kmeans_dense_3iter": with_([EMB_CTE] + kmeans_dense_ctes(KM_DENSE),
+                                    "SELECT cluster_id, point_id, round(d, 4) AS distance FROM kd_asg"),
+        "kmeans_sparse_3iter": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_DEFAULT),
+                                     "SELECT cluster_id, doc_id, round(d, 4) AS distance FROM km_asg"),
+        "kmeans_worked": with_(worked_km, "SELECT cluster_id, doc_id, round(d, 4) AS distance FROM km_asg"),
+        "cap_points": f"SELECT cluster_id, point_id FROM (SELECT label AS cluster_id, vec_id AS point_id, row_number() OVER "
+                      f"(PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings) WHERE rn <= {CAP}",
+        "top_terms": with_(rep, "SELECT cluster_id, rank, term_id, term, round(weight, 6) AS weight FROM tt"),
+        "members": with_(rep, "SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) - 1 "
+                              "AS member_rank FROM clustered"),
+        "cluster_sizes": with_(rep, "SELECT cluster_id, n FROM csizes"),
+        "intra_stats": with_(emb_intra, "SELECT cluster_id, n_points, n_pairs, round(avg_dist, 6) AS avg_dist, "
+                                        "round(min_dist, 6) AS min_dist, round(max_dist, 6) AS max_dist, "
+                                        "round(density, 6) AS density FROM intra"),
+        "inter_pairs": with_(_label_centers_cte(), "SELECT cluster_id_1, cluster_id_2, round(d, 6) AS distance FROM lpairs"),
+        "inter_stats": with_(emb_intra, "SELECT n_pairs, round(max_dist, 6) AS max_dist, round(min_dist, 6) AS min_dist, "
+                                        "round(avg_dist, 6) AS avg_dist, round(density, 6) AS density FROM inter"),
+        "evaluate_report": with_(emb_intra, " UNION ALL ".join([
+            "SELECT 0 AS section, 0 AS key1, 0 AS key2, 'Cluster intra info :' AS line",
+            f"SELECT 1, cluster_id, 0, 'ClusterID : ' || cluster_id || ' Intra Average Distance : ' || {_fmt('avg_dist')} "
+            f"|| ' Intra Density : ' || {_fmt('density')} FROM intra",
+            "SELECT 2, 0, 0, 'Cluster inter info :'",
+            f"SELECT 2, 1, 0, 'Maximum Intercluster Distance: ' || {_fmt('max_dist')} FROM inter",
+            f"SELECT 2, 2, 0, 'Minimum Intercluster Distance: ' || {_fmt('min_dist')} FROM inter",
+            f"SELECT 2, 3, 0, 'Average Intercluster Distance: ' || {_fmt('avg_dist')} FROM inter",
+            f"SELECT 2, 4, 0, 'Scaled Inter-Cluster Density: ' || {_fmt('density')} FROM inter",
+            f"SELECT 3, cluster_id_1, cluster_id_2, 'The distance between cluster : ' || cluster_id_1 || ' and cluster : ' "
+            f"|| cluster_id_2 || ' is ' || {_fmt('d')} FROM lpairs"])),
+        "report_text": with_(rep, " UNION ALL ".join([
+            "SELECT cluster_id, 0 AS section, 0 AS seq, '' AS sort_id, 'VL-' || cluster_id || '{n=' || n || '}' AS line FROM csizes",
+            f"SELECT cluster_id, 1, 0, '', {tab} || 'Top Terms:' FROM csizes",
+            f"SELECT cluster_id, 1, rank, '', {tab} || {tab} || term || ' => ' || {_fmt('weight')} FROM tt",
+            f"SELECT cluster_id, 2, 0, '', {tab} || 'Weight : [props - optional]:  Point:' FROM csizes",
+            f"SELECT cluster_id, 2, 1, doc_id, {tab} || {_fmt('weight', '%.1f')} || ' : [distance=' || {_fmt('distance')} "
+            f"|| ']: ' || doc_id FROM clustered"])),
+        "report_csv": with_(rep, f"SELECT cluster_id, CAST((rn - 1) // {DUMP.line_points} AS BIGINT) AS chunk, "
+                                 f"CAST(cluster_id AS VARCHAR) || ',' || string_agg(doc_id, ',' ORDER BY doc_id) AS line "
+                                 f"FROM (SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) "
+                                 f"AS rn FROM clustered) GROUP BY cluster_id, chunk"),
+        "report_graph_nodes": with_(rep, "SELECT 'c' || cluster_id AS node_id, 'cluster' AS kind, 'VL-' || cluster_id AS label, "
+                                         "n FROM csizes UNION ALL SELECT 'p' || doc_id, 'point', doc_id, NULL FROM clustered"),
+        "report_graph_edges": with_(rep, "SELECT 'c' || cluster_id AS source, 'p' || doc_id AS target, weight, distance "
+                                         "FROM clustered"),
+        "report_json": with_(rep, "SELECT 'cluster' AS kind, cluster_id, CAST(NULL AS INTEGER) AS rank, 'VL-' || cluster_id "
+                                  "AS label, CAST(n AS DOUBLE) AS value FROM csizes UNION ALL SELECT 'term', cluster_id, rank, "
+                                  "term, weight FROM tt UNION ALL SELECT 'point', cluster_id, NULL, doc_id, distance FROM clustered"),
+        "dump_points": with_(rep, f"SELECT cluster_id, doc_id AS id, 'Key: ' || cluster_id || ': Value: ' || "
+                                  f"{_fmt('weight', '%.1f')} || ' : [distance=' || {_fmt('distance')} || ']: ' || doc_id AS line "
+                                  f"FROM clustered"),
+        "estimate_t": with_([EMB_CTE,
+                             f"ns AS (SELECT count(*) // {round(1 / KM_DENSE.canopy_fraction)} AS m FROM emb)",
+                             f"smp AS (SELECT point_id, vec, row_number() OVER (ORDER BY md5(concat_ws('|', '{KM_DENSE.seed}', "
+                             f"CAST(point_id AS VARCHAR))), point_id) - 1 AS r FROM emb QUALIFY r < (SELECT m FROM ns))",
+                             f"cons AS (SELECT {dense_dist('sq_euclidean', 'a.vec', 'b.vec')} AS d FROM smp a JOIN smp b "
+                             f"ON b.r = a.r + 1)"],
+                            f"SELECT (SELECT m FROM ns) AS n_sample, round(sum(d) / count(*), 6) AS avg_distance, "
+                            f"round(sum(d) / count(*) * {KM_DENSE.canopy_factor}, 6) AS t1, "
+                            f"round(sum(d) / count(*) * {KM_DENSE.canopy_factor} / 2, 6) AS t2 FROM cons"),
+    }
+    return q
