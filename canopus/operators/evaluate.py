@@ -115,7 +115,8 @@ def inter_stats(pairs: DataFrame) -> DataFrame:
 
 
 def _fmt(c) -> F.Column:
-    return F.coalesce(F.format_string("%.6f", c), F.lit("NaN"))
+    # format_string renders NULL as "null"; the report prints NaN like the original
+    return F.when(c.isNull(), F.lit("NaN")).otherwise(F.format_string("%.6f", c))
 
 
 def evaluation_report(intra: DataFrame, inter: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -26,7 +26,8 @@ FORMATS = ("TEXT", "CSV", "GRAPH_ML", "JSON")
 
 
 def _num(c, fmt="%.6f"):
-    return F.coalesce(F.format_string(fmt, c), F.lit("NaN"))
+    # format_string renders NULL as "null"; reports print NaN
+    return F.when(c.isNull(), F.lit("NaN")).otherwise(F.format_string(fmt, c))
 
 
 def _label(c, substring):
