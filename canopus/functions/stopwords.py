@@ -28,3 +28,13 @@ def stop_pattern(stop_terms=DEFAULT_STOP_TERMS, drop_years: bool = True) -> str:
 def spark_full_match(pattern: str) -> str:
     """Spark's ``rlike`` searches; anchor with \\A ... \\z for a whole-string match."""
     return rf"\A(?:{pattern})\z"
+
+
+def stop_charset(stop_terms=DEFAULT_STOP_TERMS, drop_years: bool = True) -> str:
+    """Every character a stop tag can contain. A tag with any other character cannot
+    match the pattern, so ``translate(tag, charset, '') = ''`` is a cheap necessary
+    condition checked before the regex."""
+    chars = set("".join(stop_terms))
+    if drop_years:
+        chars |= set("0123456789年")
+    return "".join(sorted(chars))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from canopus.config import KMeansConfig
 from canopus.functions.distance import distance
-from canopus.session import cut_lineage
+from canopus.session import cut_lineage, write_bucketed
 
 DENSE_LITERAL_MAX = 2_000_000  # k x d values allowed as an inline literal
 
@@ -59,9 +59,8 @@ def random_seeds(ids: DataFrame, k: int, seed: int, id_col: str = "doc_id") -> D
 def prepare_sparse_points(vecs: DataFrame, num_partitions: int | None = None) -> DataFrame:
     spark = vecs.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pts = (vecs.select("doc_id", F.col("term_id").cast("int"), F.col("weight").cast("double"))
-           .repartition(p, "doc_id").sortWithinPartitions("doc_id", "term_id"))
-    return cut_lineage(pts)
+    pts = vecs.select("doc_id", F.col("term_id").cast("int"), F.col("weight").cast("double"))
+    return write_bucketed(pts, "doc_id", p, ["doc_id", "term_id"], prefix="canopus_points")
 
 
 def centroids_by_term(cent: DataFrame, k: int) -> DataFrame:
@@ -95,10 +94,17 @@ def assign_sparse_rows(points: DataFrame, cent: DataFrame, k: int, c2: list[floa
                          best["c"].alias("cluster_id"), best["d"].alias("distance"))
 
 
-def update_sparse(rows: DataFrame, old: DataFrame) -> DataFrame:
-    """Mean vector per cluster; clusters without members keep ``old``."""
-    sums = rows.groupBy("cluster_id", "term_id").agg(
+def centroid_sums(rows: DataFrame) -> DataFrame:
+    """``(cluster_id, term_id, s, f)``: weight sums and first-term counts (one per
+    document) per cluster and term; partial aggregation keeps the shuffle at
+    <= k x terms rows per partition."""
+    return rows.groupBy("cluster_id", "term_id").agg(
         F.sum("weight").alias("s"), F.sum(F.col("_first").cast("long")).alias("f"))
+
+
+def update_sparse(rows: DataFrame, old: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    """Mean vector per cluster; clusters without members keep ``old``."""
+    sums = centroid_sums(rows) if sums is None else sums
     sizes = sums.groupBy("cluster_id").agg(F.sum("f").alias("n")).where(F.col("n") > 0)
     new = sums.join(sizes, "cluster_id").select(
         "cluster_id", "term_id", (F.col("s") / F.col("n")).alias("weight"))
@@ -154,7 +160,8 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
     it, converged, shifts = 0, False, []
     for it in range(1, cfg.max_iter + 1):
         rows = assign_sparse_rows(pts, cent, k, c2, cfg.measure, nnz * k <= cfg.broadcast_max_values)
-        new = cut_lineage(update_sparse(rows, cent))
+        sums = cut_lineage(centroid_sums(rows))          # the one pass over the points
+        new = cut_lineage(update_sparse(rows, cent, sums))
         st = sparse_center_stats(cent, new)
         moved = [_shift(st[j], cfg.measure) if j in st else 0.0 for j in range(k)]
         shifts.append(moved)

@@ -25,7 +25,8 @@ def ngram_occurrences(tag_docs: DataFrame, n: int) -> DataFrame:
         F.array_join(F.slice(tags, i + 1, n), " ").alias("gram"),
         F.array_join(F.slice(tags, i + 1, n - 1), " ").alias("head"),
         F.element_at(tags, i + n).alias("tail")))
-    return tag_docs.select("doc_id", F.explode(grams).alias("g")).select("doc_id", "g.*")
+    return (tag_docs.select("doc_id", F.explode_outer(grams).alias("g")).where(F.col("g").isNotNull())
+            .select("doc_id", "g.*"))
 
 
 def llr_scores(tag_docs: DataFrame, n: int = 2) -> DataFrame:

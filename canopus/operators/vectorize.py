@@ -33,7 +33,9 @@ BROADCAST_MAX_ROWS = 4_000_000
 
 def doc_terms(tag_docs: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) -> DataFrame:
     """``(doc_id, term, tf)``; documents with equal ids are pooled."""
-    tokens = tag_docs.select("doc_id", F.explode("tags").alias("term"))
+    # explode_outer + NOT NULL above the generator: no inferred size(tags) > 0 filter is
+    # pushed below the parse (see sources.tags.parse_tag_lines)
+    tokens = tag_docs.select("doc_id", F.explode_outer("tags").alias("term")).where(F.col("term").isNotNull())
     if cfg.max_ngram >= 2:
         tokens = tokens.unionByName(ngram_tokens(tag_docs, cfg.max_ngram, cfg.min_support, cfg.min_llr))
     return tokens.groupBy("doc_id", "term").agg(F.count("*").cast("int").alias("tf"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopus.config import VectorizeConfig
-from canopus.functions.stopwords import spark_full_match, stop_pattern
+from canopus.functions.stopwords import spark_full_match, stop_charset, stop_pattern
 
 # Whitespace class shared with the SQL oracle (same members in Java regex and RE2).
 WHITESPACE = r"[ \t\n\x0B\f\r]+"
@@ -37,29 +37,66 @@ def documents_as_tag_lines(documents: DataFrame, sep: str = "|") -> DataFrame:
         .alias("value"))
 
 
-def parse_tag_lines(lines: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) -> DataFrame:
-    """``value`` lines -> ``(doc_id STRING, tags ARRAY<STRING>)``."""
-    esc = re.escape(cfg.sep)
-    fields = F.split(F.regexp_replace("value", f"(?:{esc})+\\z", ""), esc)
-    drop = 2 if cfg.drop_last_field else 1
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores
+    (a small file with few row groups); large inputs are left as scanned."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def parse_tag_lines(lines: DataFrame, cfg: VectorizeConfig = VectorizeConfig(), drop_short: bool = True) -> DataFrame:
+    """``value`` lines -> ``(doc_id STRING, tags ARRAY<STRING>)``.
+
+    The part after the id is lower-cased once as a whole string and split once; the
+    field count comes from string lengths (no regex, no split).
+
+    With ``drop_short=False`` lines below ``min_fields`` are kept with ``tags = NULL``
+    instead of being filtered. Consumers that explode the tags (``explode_outer`` +
+    a NOT NULL filter above the generator) then evaluate the parse exactly once:
+    a row filter on a derived column would be pushed below the projection (and below
+    an exchange) with the parse expressions inlined, i.e. computed twice.
+    """
+    sep, esc = cfg.sep, re.escape(cfg.sep)
+    value = F.col("value")
+    if len(sep) == 1:
+        stripped = F.expr(f"TRIM(TRAILING '{sep.replace(chr(39), chr(39) * 2)}' FROM value)")
+    else:
+        stripped = F.regexp_replace(value, f"(?:{esc})+\\z", "")
+    lines = lines.select(stripped.alias("_s"))
+    s = F.col("_s")
+    n_sep = ((F.length(s) - F.length(F.replace(s, F.lit(sep), F.lit("")))) / F.lit(len(sep))).cast("int")
+    doc_id = F.substring_index(s, sep, 1)
+    rest = F.expr(f"substr(_s, length(substring_index(_s, '{sep.replace(chr(39), chr(39) * 2)}', 1)) + {len(sep) + 1})")
+    fields = F.split(F.lower(rest), esc)                       # fields 1 .. n-1
+    keep = F.greatest(F.size(fields) - (1 if cfg.drop_last_field else 0), F.lit(0))
     pattern = spark_full_match(stop_pattern(cfg.stop_terms, cfg.drop_years))
-    tags = F.slice(F.col("_f"), 2, F.greatest(F.size("_f") - drop, F.lit(0)))
-    tags = F.filter(F.transform(tags, lambda t: F.lower(t)), lambda t: ~t.rlike(pattern))
-    return (lines.select(fields.alias("_f"))
-            .where(F.size("_f") >= cfg.min_fields)
-            .select(F.col("_f")[0].alias("doc_id"), tags.alias("tags")))
+    charset = stop_charset(cfg.stop_terms, cfg.drop_years)
+
+    def is_stop(t):
+        candidate = (F.translate(t, charset, "") == F.lit("")) if charset else (t == F.lit(""))
+        return candidate & t.rlike(pattern)
+
+    tags = F.when(n_sep > 0, F.filter(F.slice(fields, 1, keep), lambda t: ~is_stop(t))).otherwise(
+        F.array().cast("array<string>"))
+    if drop_short:
+        return lines.where(n_sep + 1 >= cfg.min_fields).select(doc_id.alias("doc_id"), tags.alias("tags"))
+    return lines.select(doc_id.alias("doc_id"),
+                        F.when(n_sep + 1 >= cfg.min_fields, tags).alias("tags"))
 
 
 def tag_tokens(tag_docs: DataFrame) -> DataFrame:
     """Long form ``(doc_id, pos INT, tag)``; ``pos`` is the 0-based position in the
     filtered tag list."""
-    return tag_docs.select("doc_id", F.posexplode("tags").alias("pos", "tag"))
+    return (tag_docs.select("doc_id", F.posexplode_outer("tags").alias("pos", "tag"))
+            .where(F.col("pos").isNotNull()))
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
-def documents_tag_docs(spark: SparkSession, sf_dir: str, cfg: VectorizeConfig = VectorizeConfig()) -> DataFrame:
-    """Tag documents parsed from the ``documents`` table rendered as tag lines."""
-    return parse_tag_lines(documents_as_tag_lines(read_documents(spark, sf_dir), cfg.sep), cfg)
+def documents_tag_docs(spark: SparkSession, sf_dir: str, cfg: VectorizeConfig = VectorizeConfig(),
+                       drop_short: bool = False) -> DataFrame:
+    """Tag documents parsed from the ``documents`` table rendered as tag lines
+    (short lines carry NULL tags unless ``drop_short``)."""
+    return parse_tag_lines(documents_as_tag_lines(spread(read_documents(spark, sf_dir)), cfg.sep), cfg, drop_short)
