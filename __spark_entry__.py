@@ -258,6 +258,25 @@ def q_inter_stats(spark, sf):
     return s.select("n_pairs", _r("max_dist"), _r("min_dist"), _r("avg_dist"), _r("density"))
 
 
+def q_intra_stats_sparse(spark, sf):
+    pts = _clustered(spark, sf).select("cluster_id", "doc_id")
+    s = ev.intra_stats_sparse(pts, _points(spark, sf, WORKED_V), KM_WORKED.measure, EVAL_CAP)
+    return s.select("cluster_id", "n_points", "n_pairs", _r("avg_dist"), _r("min_dist"), _r("max_dist"), _r("density"))
+
+
+def _pairs_sparse(spark, sf):
+    return ev.inter_pairs_sparse(_kmeans(spark, sf, WORKED_V, KM_WORKED).centers, KM_WORKED.measure)
+
+
+def q_inter_pairs_sparse(spark, sf):
+    return _pairs_sparse(spark, sf).select("cluster_id_1", "cluster_id_2", _r("distance"))
+
+
+def q_inter_stats_sparse(spark, sf):
+    s = ev.inter_stats(_pairs_sparse(spark, sf))
+    return s.select("n_pairs", _r("max_dist"), _r("min_dist"), _r("avg_dist"), _r("density"))
+
+
 def q_evaluate_report(spark, sf):
     intra = ev.intra_stats(_label_points(spark, sf), "sq_euclidean", EVAL_CAP)
     pairs = _pairs(spark, sf)
@@ -346,6 +365,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inter_pairs": q_inter_pairs,
     "inter_stats": q_inter_stats,
     "evaluate_report": q_evaluate_report,
+    "intra_stats_sparse": q_intra_stats_sparse,
+    "inter_pairs_sparse": q_inter_pairs_sparse,
+    "inter_stats_sparse": q_inter_stats_sparse,
     "report_text": q_report_text,
     "report_csv": q_report_csv,
     "report_graph_nodes": q_report_graph_nodes,

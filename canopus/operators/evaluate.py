@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from canopus.functions.distance import distance
 
 TILE_SCHEMA = "cluster_id int, n_pairs long, s double, mn double, mx double"
+DENSE_TILE_CELLS = 32_000_000  # tile-local dense matrix cells allowed (256 MB of doubles)
 
 
 def _tile_fn(measure: str):
@@ -141,3 +142,134 @@ def evaluation_report(intra: DataFrame, inter: DataFrame, pairs: DataFrame) -> D
                                F.lit(" and cluster : "), F.col("cluster_id_2").cast("string"), F.lit(" is "),
                                _fmt(F.col("distance"))).alias("line"))
     return head1.unionByName(per).unionByName(glob).unionByName(pl)
+
+
+# ----------------------------------------------------------------------------- sparse vectors
+
+def _sparse_gram(idx_a, val_a, idx_b, val_b):
+    """Dot products between two lists of sparse vectors (numpy only): entries are
+    grouped by term and each term adds the outer product of its weights."""
+    na, nb = len(idx_a), len(idx_b)
+    g = np.zeros((na, nb))
+    if not na or not nb:
+        return g
+    ta = np.concatenate([np.asarray(i, dtype=np.int64) for i in idx_a])
+    wa = np.concatenate([np.asarray(v, dtype=float) for v in val_a])
+    da = np.repeat(np.arange(na), [len(i) for i in idx_a])
+    tb = np.concatenate([np.asarray(i, dtype=np.int64) for i in idx_b])
+    wb = np.concatenate([np.asarray(v, dtype=float) for v in val_b])
+    db = np.repeat(np.arange(nb), [len(i) for i in idx_b])
+    common = np.intersect1d(ta, tb)
+    if not common.size:
+        return g
+    if (na + nb) * common.size <= DENSE_TILE_CELLS:
+        # small enough: tile-local dense matrices over the shared terms, one matmul
+        xa, xb = np.zeros((na, common.size)), np.zeros((nb, common.size))
+        ka, kb = np.isin(ta, common), np.isin(tb, common)
+        np.add.at(xa, (da[ka], np.searchsorted(common, ta[ka])), wa[ka])
+        np.add.at(xb, (db[kb], np.searchsorted(common, tb[kb])), wb[kb])
+        return xa @ xb.T
+    ka, kb = np.isin(ta, common), np.isin(tb, common)
+    ta, wa, da, tb, wb, db = ta[ka], wa[ka], da[ka], tb[kb], wb[kb], db[kb]
+    oa, ob = np.argsort(ta, kind="stable"), np.argsort(tb, kind="stable")
+    ta, wa, da, tb, wb, db = ta[oa], wa[oa], da[oa], tb[ob], wb[ob], db[ob]
+    sa = np.searchsorted(ta, common)
+    ea = np.searchsorted(ta, common, side="right")
+    sb = np.searchsorted(tb, common)
+    eb = np.searchsorted(tb, common, side="right")
+    for i in range(common.size):
+        np.add.at(g, (da[sa[i]:ea[i], None], db[None, sb[i]:eb[i]]), np.outer(wa[sa[i]:ea[i]], wb[sb[i]:eb[i]]))
+    return g
+
+
+def _sparse_tile_fn(measure: str):
+    part = distance(measure).sparse
+    if part is None:
+        raise ValueError(f"measure {measure!r} has no sparse form")
+
+    def dist(x2, c2, dot):
+        if measure == "sq_euclidean":
+            return np.maximum(x2 + c2 - 2 * dot, 0.0)
+        if measure == "euclidean":
+            return np.sqrt(np.maximum(x2 + c2 - 2 * dot, 0.0))
+        den = np.sqrt(x2) * np.sqrt(c2)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = 1.0 - dot / np.maximum(den, dot)
+        return np.where(den == 0, np.where((x2 == 0) & (c2 == 0), 0.0, 1.0), d)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        cid, lo, hi = int(pdf["cluster_id"].iat[0]), int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
+        a = pdf[pdf["blk"] == lo].sort_values("rn")
+        b = a if lo == hi else pdf[pdf["blk"] == hi].sort_values("rn")
+        norm = lambda t: np.array([float(np.dot(np.asarray(v, float), np.asarray(v, float))) for v in t["val"]])
+        g = _sparse_gram(list(a["idx"]), list(a["val"]), list(b["idx"]), list(b["val"]))
+        d = dist(norm(a)[:, None], norm(b)[None, :], g)
+        if lo == hi:
+            d = d[np.triu_indices(len(a), 1)]
+        d = d.ravel()
+        if not d.size:
+            return pd.DataFrame([(cid, 0, 0.0, None, None)], columns=["cluster_id", "n_pairs", "s", "mn", "mx"])
+        return pd.DataFrame([(cid, int(d.size), float(d.sum()), float(d.min()), float(d.max()))],
+                            columns=["cluster_id", "n_pairs", "s", "mn", "mx"])
+    return run
+
+
+def intra_stats_sparse(points: DataFrame, vecs: DataFrame, measure: str = "sq_euclidean",
+                       max_points: int | None = 1000, block: int = 256) -> DataFrame:
+    """Intra-cluster statistics for clustered points ``(cluster_id, doc_id)`` whose vectors are
+    long-form ``(doc_id, term_id, weight)``. Same tiling as :func:`intra_stats`; each
+    document's entries travel as two arrays (bounded by its number of terms)."""
+    base = points.select(F.col("cluster_id").cast("int"), F.col("doc_id").alias("_id"))
+    if max_points is not None and max_points >= 0:
+        w = Window.partitionBy("cluster_id").orderBy("_id")
+        ranked = base.select("*", F.row_number().over(w).alias("rn")).where(F.col("rn") <= max_points)
+    else:
+        from canopus.operators.topk import member_ranks
+        ranked = member_ranks(base, "_id", "cluster_id").select(
+            "cluster_id", "_id", (F.col("member_rank") + 1).alias("rn"))
+    per_doc = vecs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_e"))
+    per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("_e.term_id").alias("idx"),
+                             F.col("_e.weight").alias("val"))
+    ranked = ranked.join(per_doc, "_id", "left").select(
+        "cluster_id", "_id", "rn", F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
+        F.coalesce("val", F.array().cast("array<double>")).alias("val"))
+    sizes = ranked.groupBy("cluster_id").agg(F.count("*").alias("n_points"))
+    blk = F.floor((F.col("rn") - 1) / block).cast("int")
+    nb = F.floor((F.col("n_points") - 1) / block).cast("int")
+    tiles = (ranked.join(sizes, "cluster_id")
+             .select("cluster_id", "rn", "idx", "val", blk.alias("blk"), F.explode(F.sequence(F.lit(0), nb)).alias("o"))
+             .select("cluster_id", "rn", "idx", "val", "blk", F.least("blk", "o").alias("lo"),
+                     F.greatest("blk", "o").alias("hi")))
+    per_tile = tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_sparse_tile_fn(measure), TILE_SCHEMA)
+    agg = per_tile.groupBy("cluster_id").agg(
+        F.sum("n_pairs").alias("n_pairs"), F.sum("s").alias("s"), F.min("mn").alias("min_dist"),
+        F.max("mx").alias("max_dist"))
+    avg = F.try_divide(F.col("s"), F.col("n_pairs").cast("double"))
+    return (agg.join(sizes, "cluster_id")
+            .select("cluster_id", "n_points", "n_pairs", avg.alias("avg_dist"), "min_dist", "max_dist")
+            .withColumn("density", F.try_divide(F.col("avg_dist") - F.col("min_dist"),
+                                                F.col("max_dist") - F.col("min_dist"))))
+
+
+def inter_pairs_sparse(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
+    """Centre pairs for long-form centres ``(cluster_id, term_id, weight)``. The pair
+    skeleton is generated from the centre ids (k rows -> k(k-1)/2 pairs); dot products
+    come from equi-joins on (cluster_id, term_id); no self-join emits pairs per term."""
+    fn = distance(measure).sparse
+    if fn is None:
+        raise ValueError(f"measure {measure!r} has no sparse form")
+    norms = centers.groupBy("cluster_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n2"))
+    ids = norms.select("cluster_id")
+    ordered = sorted(r["cluster_id"] for r in ids.collect())  # k ids
+    lit = F.array(*[F.lit(int(i)) for i in ordered])
+    skeleton = ids.select(F.col("cluster_id").alias("cluster_id_1"), F.explode(lit).alias("cluster_id_2")).where(
+        F.col("cluster_id_2") > F.col("cluster_id_1"))
+    a = centers.select(F.col("cluster_id").alias("cluster_id_1"), "term_id", F.col("weight").alias("w1"))
+    b = centers.select(F.col("cluster_id").alias("cluster_id_2"), "term_id", F.col("weight").alias("w2"))
+    dots = (skeleton.join(a, "cluster_id_1").join(b, ["cluster_id_2", "term_id"])
+            .groupBy("cluster_id_1", "cluster_id_2").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot")))
+    n1 = norms.select(F.col("cluster_id").alias("cluster_id_1"), F.col("n2").alias("x2"))
+    n2 = norms.select(F.col("cluster_id").alias("cluster_id_2"), F.col("n2").alias("c2"))
+    out = skeleton.join(dots, ["cluster_id_1", "cluster_id_2"], "left").join(n1, "cluster_id_1").join(n2, "cluster_id_2")
+    return out.select("cluster_id_1", "cluster_id_2",
+                      fn(F.col("x2"), F.col("c2"), F.coalesce(F.col("dot"), F.lit(0.0))).alias("distance"))

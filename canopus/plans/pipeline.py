@@ -61,26 +61,14 @@ def dump_job(spark: SparkSession, out_dir: str, report_dir: str, cfg: DumpConfig
 
 
 def evaluate_sparse_job(spark: SparkSession, out_dir: str, report_dir: str, cfg: DumpConfig) -> None:
-    """Evaluation over TF-IDF points: points are densified per capped cluster only when
-    the vocabulary is small enough to inline; otherwise the centre statistics are written."""
-    from canopus.operators.evaluate import intra_stats, inter_pairs
+    """Evaluation report (E4/K9) over the clustered TF-IDF points and final centres."""
+    from canopus.operators.evaluate import inter_pairs_sparse, intra_stats_sparse
     from canopus.sources.stages import final_clusters
     points = read_stage(spark, out_dir, "points")
     vecs = read_stage(spark, out_dir, "tfidf")
     centers = final_clusters(read_stage(spark, out_dir, "clusters")).drop("iter")
-    v = vecs.agg(F.max("term_id")).first()[0] + 1
-    if v > 100_000:
-        raise ValueError(f"vocabulary of {v} terms is too wide to densify for the evaluation; "
-                         "reduce it with min_support / max_df_percent first")
-    dense = (vecs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term_id", "weight"))).alias("m"))
-             .select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(v - 1)),
-                                           lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("vec")))
-    pts = points.join(dense, "doc_id")
-    intra = intra_stats(pts, cfg.measure, cfg.eval_max_points, "cluster_id", "doc_id", "vec")
-    cdense = (centers.groupBy("cluster_id").agg(F.map_from_entries(F.collect_list(F.struct("term_id", "weight"))).alias("m"))
-              .select("cluster_id", F.transform(F.sequence(F.lit(0), F.lit(v - 1)),
-                                                lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("center")))
-    pairs = inter_pairs(cdense, cfg.measure)
+    intra = intra_stats_sparse(points, vecs, cfg.measure, cfg.eval_max_points)
+    pairs = inter_pairs_sparse(centers, cfg.measure)
     rep = evaluation_report(intra, inter_stats(pairs), pairs)
     write_lines(rep, f"{report_dir}/cluster_evaluate_result", ["section", "key1", "key2"])
 

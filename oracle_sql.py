@@ -372,6 +372,14 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
             f"SELECT 2, 4, 0, 'Scaled Inter-Cluster Density: ' || {_fmt('density')} FROM inter",
             f"SELECT 3, cluster_id_1, cluster_id_2, 'The distance between cluster : ' || cluster_id_1 || ' and cluster : ' "
             f"|| cluster_id_2 || ' is ' || {_fmt('d')} FROM lpairs"])),
+        "intra_stats_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
+                                    "SELECT cluster_id, n_points, n_pairs, round(avg_dist, 6) AS avg_dist, round(min_dist, 6) "
+                                    "AS min_dist, round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM sintra"),
+        "inter_pairs_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
+                                    "SELECT cluster_id_1, cluster_id_2, round(d, 6) AS distance FROM spairs"),
+        "inter_stats_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
+                                    "SELECT n_pairs, round(max_dist, 6) AS max_dist, round(min_dist, 6) AS min_dist, "
+                                    "round(avg_dist, 6) AS avg_dist, round(density, 6) AS density FROM sinter"),
         "report_text": with_(rep, " UNION ALL ".join([
             "SELECT cluster_id, 0 AS section, 0 AS seq, '' AS sort_id, 'VL-' || cluster_id || '{n=' || n || '}' AS line FROM csizes",
             f"SELECT cluster_id, 1, 0, '', {tab} || 'Top Terms:' FROM csizes",
@@ -404,3 +412,32 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
                             f"round(sum(d) / count(*) * {KM_DENSE.canopy_factor} / 2, 6) AS t2 FROM cons"),
     }
     return q
+
+
+def sparse_eval_ctes(measure: str, cap: int) -> list[str]:
+    """Needs ``clustered`` (cluster_id, doc_id), ``tfidf`` and ``km_cent``. Produces
+    ``sintra`` (per cluster), ``spairs`` (centre pairs) and ``sinter`` (1 row)."""
+    d = sparse_dist(measure, "a.x2", "b.x2", "coalesce(dt.dot, 0.0)")
+    dc = sparse_dist(measure, "a.n2", "b.n2", "coalesce(dt.dot, 0.0)")
+    return [
+        f"scap AS (SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) AS rn "
+        f"FROM clustered QUALIFY rn <= {cap})",
+        "scv AS (SELECT c.cluster_id, c.rn, t.term_id, t.weight FROM scap c JOIN tfidf t USING (doc_id))",
+        "snrm AS (SELECT cluster_id, rn, sum(weight * weight) AS x2 FROM scv GROUP BY cluster_id, rn)",
+        "sdots AS (SELECT a.cluster_id, a.rn AS r1, b.rn AS r2, sum(a.weight * b.weight) AS dot FROM scv a JOIN scv b "
+        "ON a.cluster_id = b.cluster_id AND a.term_id = b.term_id AND a.rn < b.rn GROUP BY a.cluster_id, a.rn, b.rn)",
+        f"sipairs AS (SELECT a.cluster_id, {d} AS d FROM snrm a JOIN snrm b ON a.cluster_id = b.cluster_id AND a.rn < b.rn "
+        f"LEFT JOIN sdots dt ON dt.cluster_id = a.cluster_id AND dt.r1 = a.rn AND dt.r2 = b.rn)",
+        "sisz AS (SELECT cluster_id, count(*) AS n_points FROM scap GROUP BY cluster_id)",
+        "siagg AS (SELECT cluster_id, count(*) AS n_pairs, sum(d) AS s, min(d) AS mn, max(d) AS mx FROM sipairs GROUP BY cluster_id)",
+        "sintra AS (SELECT s.cluster_id, s.n_points, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
+        "a.mn AS min_dist, a.mx AS max_dist, (a.s / nullif(a.n_pairs, 0) - a.mn) / nullif(a.mx - a.mn, 0) AS density "
+        "FROM sisz s LEFT JOIN siagg a USING (cluster_id))",
+        "scn AS (SELECT cluster_id, sum(weight * weight) AS n2 FROM km_cent GROUP BY cluster_id)",
+        "scdots AS (SELECT a.cluster_id AS c1, b.cluster_id AS c2, sum(a.weight * b.weight) AS dot FROM km_cent a "
+        "JOIN km_cent b ON a.term_id = b.term_id AND a.cluster_id < b.cluster_id GROUP BY a.cluster_id, b.cluster_id)",
+        f"spairs AS (SELECT a.cluster_id AS cluster_id_1, b.cluster_id AS cluster_id_2, {dc} AS d FROM scn a "
+        f"JOIN scn b ON a.cluster_id < b.cluster_id LEFT JOIN scdots dt ON dt.c1 = a.cluster_id AND dt.c2 = b.cluster_id)",
+        "sinter AS (SELECT count(*) AS n_pairs, max(d) AS max_dist, min(d) AS min_dist, sum(d) / nullif(count(*), 0) AS avg_dist, "
+        "(sum(d) / nullif(count(*), 0) - min(d)) / nullif(max(d) - min(d), 0) AS density FROM spairs)",
+    ]

@@ -67,3 +67,30 @@ def test_report_lines(spark):
     assert lines[1] == "ClusterID : 0 Intra Average Distance : 1.000000 Intra Density : NaN"
     assert "Scaled Inter-Cluster Density: NaN" in lines
     assert lines[-1] == "The distance between cluster : 0 and cluster : 1 is 20.250000"
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine"])
+def test_sparse_intra_and_inter_match_dense(spark, measure):
+    rng = np.random.default_rng(2)
+    docs = {f"d{i:02d}": {int(t): float(rng.random() + 0.1) for t in rng.choice(12, size=4, replace=False)}
+            for i in range(30)}
+    clusters = {d: int(rng.integers(0, 3)) for d in docs}
+    long = spark.createDataFrame([(d, t, w) for d, m in docs.items() for t, w in m.items()],
+                                 "doc_id string, term_id int, weight double")
+    pts = spark.createDataFrame(list(clusters.items()), "doc_id string, cluster_id int")
+    dense = spark.createDataFrame([(clusters[d], d, [m.get(t, 0.0) for t in range(12)]) for d, m in docs.items()],
+                                  "cluster_id int, doc_id string, vec array<double>")
+    a = {r["cluster_id"]: r for r in ev.intra_stats_sparse(pts, long, measure, 7, block=3).collect()}
+    b = {r["cluster_id"]: r for r in ev.intra_stats(dense, measure, 7, id_col="doc_id", block=4).collect()}
+    for c in b:
+        assert a[c]["n_pairs"] == b[c]["n_pairs"]
+        for k in ("avg_dist", "min_dist", "max_dist"):
+            assert a[c][k] == pytest.approx(b[c][k], abs=1e-9)
+    cl = spark.createDataFrame([(c, int(t), float(rng.random())) for c in range(4) for t in rng.choice(12, 5, replace=False)],
+                               "cluster_id int, term_id int, weight double")
+    cd = cl.groupBy("cluster_id").agg(F.map_from_entries(F.collect_list(F.struct("term_id", "weight"))).alias("m")).select(
+        "cluster_id", F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+        .alias("center"))
+    ps = {(r[0], r[1]): r[2] for r in ev.inter_pairs_sparse(cl, measure).collect()}
+    pdn = {(r[0], r[1]): r[2] for r in ev.inter_pairs(cd, measure).collect()}
+    assert ps.keys() == pdn.keys() and all(ps[k] == pytest.approx(pdn[k], abs=1e-9) for k in ps)
