@@ -26,6 +26,7 @@ from canopus.operators import ngrams as ng  # noqa: E402
 from canopus.operators import topk as tk  # noqa: E402
 from canopus.operators import vectorize as vz  # noqa: E402
 from canopus.plans import reports as rp  # noqa: E402
+from canopus.session import ship_package  # noqa: E402
 from canopus.sources.points import read_embeddings  # noqa: E402
 from canopus.sources.tags import documents_tag_docs, tag_tokens  # noqa: E402
 
@@ -380,13 +381,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship_package(spark)   # pandas UDF workers import canopus, whatever their cwd
+        return fn(spark, sf)
+    run.__name__ = fn.__name__
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: TF-IDF vectors of the documents table (worked-example parameters)."""
-    return QUERIES["tfidf"](spark, "/root/testdata/sf0.001")
+    return _shipped(QUERIES["tfidf"])(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {k: _shipped(v) for k, v in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +36,32 @@ def build_session(master: str | None = None, app: str = "canopus",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``canopus`` importable by the Python workers of this session (what
+    ``--py-files`` does): the package is zipped once per driver process and added with
+    ``addPyFile``, so pandas UDFs work whatever the workers' working directory is."""
+    sc = spark.sparkContext
+    if id(sc) in _shipped:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="canopus-pkg-"), "canopus.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _shipped.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, reading it from the session first."""
     sc = spark.sparkContext
