@@ -38,6 +38,7 @@ SIGMA_V = WORKED_V.with_(max_df_sigma=3.0)
 KM_DEFAULT = KMeansConfig()                                               # k 3, delta 0.01, 3 iterations, sq. Euclidean
 KM_WORKED = KMeansConfig(k=4, max_iter=10, delta=0.1, measure="cosine")   # documented example
 KM_DENSE = KMeansConfig(k=10)
+KM_SPARSE_CANOPY = KM_WORKED.with_(measure="sq_euclidean")             # canopy seeding of the TF-IDF vectors
 DUMP = DumpConfig(top_n=50, line_points=100)
 CAP = 25
 EVAL_CAP = 1000
@@ -328,6 +329,21 @@ def q_kmeans_canopy(spark, sf):
     return res.points.select("cluster_id", "point_id", _r("distance", 4))
 
 
+def _t_sparse(spark, sf):
+    return cn.estimate_t_sparse(_points(spark, sf, WORKED_V), KM_WORKED.canopy_fraction, KM_WORKED.canopy_factor,
+                                KM_SPARSE_CANOPY.measure, KM_WORKED.seed)
+
+
+def q_estimate_t_sparse(spark, sf):
+    return _t_sparse(spark, sf).select("n_sample", _r("avg_distance"), _r("t1"), _r("t2"))
+
+
+def q_canopy_centers_sparse(spark, sf):
+    t = _t_sparse(spark, sf).first()
+    c = cn.canopy_centers_sparse(_points(spark, sf, WORKED_V), t["t1"], t["t2"], KM_SPARSE_CANOPY.measure)
+    return c.select("cluster_id", "term_id", _r("weight"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_parse": q_tag_parse,
     "stop_filter": q_stop_filter,
@@ -377,6 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dump_points": q_dump_points,
     "estimate_t": q_estimate_t,
     "canopy_centers": q_canopy_centers,
+    "estimate_t_sparse": q_estimate_t_sparse,
+    "canopy_centers_sparse": q_canopy_centers_sparse,
     "kmeans_canopy": q_kmeans_canopy,
 }
 
@@ -399,6 +417,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.all_queries(DEFAULT_V=DEFAULT_V, WORKED_V=WORKED_V, STOP_V=STOP_V, SIGMA_V=SIGMA_V,
-                         KM_DEFAULT=KM_DEFAULT, KM_WORKED=KM_WORKED, KM_DENSE=KM_DENSE, DUMP=DUMP,
-                         CAP=CAP, EVAL_CAP=EVAL_CAP)
+    q = O.all_queries(DEFAULT_V=DEFAULT_V, WORKED_V=WORKED_V, STOP_V=STOP_V, SIGMA_V=SIGMA_V,
+                      KM_DEFAULT=KM_DEFAULT, KM_WORKED=KM_WORKED, KM_DENSE=KM_DENSE, DUMP=DUMP,
+                      CAP=CAP, EVAL_CAP=EVAL_CAP)
+    q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
+    return q

@@ -49,7 +49,8 @@ class KMeansConfig:
     init: str = "random"            # "random" or "canopy"
     canopy_fraction: float = 0.1    # share of vectors sampled to estimate T1/T2
     canopy_factor: float = 1.3      # T1 = factor * mean sampled distance, T2 = T1 / 2
-    canopy_partitions: int = 8      # local canopy passes run over this many partitions
+    canopy_partitions: int | None = None  # first canopy pass partitions; None = ceil(n / canopy_points_per_task)
+    canopy_points_per_task: int = 50_000  # points one greedy pass visits when the count is derived
     broadcast_max_values: int = 8_000_000  # centroid cells (terms x k) allowed in a broadcast
 
     def with_(self, **kw) -> "KMeansConfig":

@@ -5,6 +5,7 @@ Each measure has up to three forms:
   sparse(x2, c2, dot)  Column expression from squared norms and the dot product,
                        used for long-form sparse vectors joined on term id
   tile(A, B)           numpy pairwise matrix used by the tiled pair evaluation
+  parts(x2, c2, dot)   numpy form of ``sparse`` (arrays broadcast), used inside tasks
 
 Cosine with a zero vector: distance 0 when both vectors are zero, else 1.
 """
@@ -68,19 +69,31 @@ def _tile_cosine(a, b):
     return np.where(zero, np.where(both, 0.0, 1.0), d)
 
 
+def _parts_sq(x2, c2, dot):
+    return np.maximum(x2 + c2 - 2.0 * dot, 0.0)
+
+
+def _parts_cosine(x2, c2, dot):
+    den = np.sqrt(x2) * np.sqrt(c2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        d = 1.0 - dot / np.maximum(den, dot)
+    return np.where(den == 0, np.where((x2 == 0) & (c2 == 0), 0.0, 1.0), d)
+
+
 @dataclass(frozen=True)
 class Measure:
     name: str
     dense: Callable[[Column, Column], Column]
     sparse: Callable[[Column, Column, Column], Column] | None = None
     tile: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    parts: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] | None = None
 
 
 _REGISTRY: dict[str, Measure] = {}
 
 
-def register_distance(name: str, dense, sparse=None, tile=None) -> Measure:
-    m = Measure(name, dense, sparse, tile)
+def register_distance(name: str, dense, sparse=None, tile=None, parts=None) -> Measure:
+    m = Measure(name, dense, sparse, tile, parts)
     _REGISTRY[name] = m
     return m
 
@@ -92,11 +105,12 @@ def distance(name: str) -> Measure:
         raise ValueError(f"unknown distance measure {name!r}; known: {sorted(_REGISTRY)}") from None
 
 
-register_distance("sq_euclidean", _dense_sq, _sparse_sq, _tile_sq)
+register_distance("sq_euclidean", _dense_sq, _sparse_sq, _tile_sq, _parts_sq)
 register_distance("euclidean", lambda x, c: F.sqrt(_dense_sq(x, c)),
                   lambda x2, c2, dot: F.sqrt(_sparse_sq(x2, c2, dot)),
-                  lambda a, b: np.sqrt(_tile_sq(a, b)))
-register_distance("cosine", _dense_cosine, cosine_from_parts, _tile_cosine)
+                  lambda a, b: np.sqrt(_tile_sq(a, b)),
+                  lambda x2, c2, dot: np.sqrt(_parts_sq(x2, c2, dot)))
+register_distance("cosine", _dense_cosine, cosine_from_parts, _tile_cosine, _parts_cosine)
 register_distance("manhattan", lambda x, c: _zip_sum(x, c, lambda a, b: F.abs(a - b)), None,
                   lambda a, b: _rows(a, b, lambda d: np.abs(d).sum(-1)))
 register_distance("chebyshev", lambda x, c: F.array_max(F.zip_with(x, c, lambda a, b: F.abs(a - b))), None,

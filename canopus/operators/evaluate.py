@@ -183,20 +183,10 @@ def _sparse_gram(idx_a, val_a, idx_b, val_b):
 
 
 def _sparse_tile_fn(measure: str):
-    part = distance(measure).sparse
-    if part is None:
+    dist = distance(measure).parts
+    if dist is None:
         raise ValueError(f"measure {measure!r} has no sparse form")
 
-    def dist(x2, c2, dot):
-        if measure == "sq_euclidean":
-            return np.maximum(x2 + c2 - 2 * dot, 0.0)
-        if measure == "euclidean":
-            return np.sqrt(np.maximum(x2 + c2 - 2 * dot, 0.0))
-        den = np.sqrt(x2) * np.sqrt(c2)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            d = 1.0 - dot / np.maximum(den, dot)
-        return np.where(den == 0, np.where((x2 == 0) & (c2 == 0), 0.0, 1.0), d)
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         cid, lo, hi = int(pdf["cluster_id"].iat[0]), int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
         a = pdf[pdf["blk"] == lo].sort_values("rn")

@@ -441,3 +441,20 @@ def sparse_eval_ctes(measure: str, cap: int) -> list[str]:
         "sinter AS (SELECT count(*) AS n_pairs, max(d) AS max_dist, min(d) AS min_dist, sum(d) / nullif(count(*), 0) AS avg_dist, "
         "(sum(d) / nullif(count(*), 0) - min(d)) / nullif(max(d) - min(d), 0) AS density FROM spairs)",
     ]
+
+
+def estimate_t_sparse_sql(cfg: VectorizeConfig, km: KMeansConfig) -> str:
+    """T1/T2 from consecutive md5-ordered samples of the TF-IDF vectors."""
+    d = sparse_dist(km.measure, "a.x2", "b.x2", "coalesce(dt.dot, 0.0)")
+    return with_(vectorize_ctes(cfg) + [
+        "ids AS (SELECT DISTINCT doc_id FROM tfidf)",
+        f"ns AS (SELECT count(*) // {round(1 / km.canopy_fraction)} AS m FROM ids)",
+        f"smp AS (SELECT doc_id, row_number() OVER (ORDER BY md5(concat_ws('|', '{km.seed}', CAST(doc_id AS VARCHAR))), "
+        f"doc_id) - 1 AS r FROM ids QUALIFY r < (SELECT m FROM ns))",
+        "sv AS (SELECT s.r, t.term_id, t.weight AS w FROM smp s JOIN tfidf t USING (doc_id))",
+        "nrm AS (SELECT r, sum(w * w) AS x2 FROM sv GROUP BY r)",
+        "dts AS (SELECT a.r, sum(a.w * b.w) AS dot FROM sv a JOIN sv b ON b.r = a.r + 1 AND b.term_id = a.term_id GROUP BY a.r)",
+        f"cons AS (SELECT {d} AS d FROM nrm a JOIN nrm b ON b.r = a.r + 1 LEFT JOIN dts dt ON dt.r = a.r)"],
+        f"SELECT (SELECT m FROM ns) AS n_sample, round(sum(d) / count(*), 6) AS avg_distance, "
+        f"round(sum(d) / count(*) * {km.canopy_factor}, 6) AS t1, "
+        f"round(sum(d) / count(*) * {km.canopy_factor} / 2, 6) AS t2 FROM cons")
