@@ -226,6 +226,17 @@ def q_kmeans_worked(spark, sf):
     return _kmeans(spark, sf, WORKED_V, KM_WORKED).points.select("cluster_id", "doc_id", _r("distance", 4))
 
 
+def q_kmeans_worked_long(spark, sf):
+    """The worked example through the long-form (many-centre) assignment."""
+    return _kmeans(spark, sf, WORKED_V, KM_WORKED.with_(array_max_k=0)).points.select(
+        "cluster_id", "doc_id", _r("distance", 4))
+
+
+def q_kmeans_canopy_sparse(spark, sf):
+    res, _, _ = cn.kmeans_canopy_sparse(_points(spark, sf, WORKED_V), KM_SPARSE_CANOPY)
+    return res.points.select("cluster_id", "doc_id", _r("distance", 4))
+
+
 def q_cap_points(spark, sf):
     return tk.cap_points(_label_points(spark, sf).select("cluster_id", "point_id"), CAP, order_col="point_id")
 
@@ -374,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_dense_3iter": q_kmeans_dense_3iter,
     "kmeans_sparse_3iter": q_kmeans_sparse_3iter,
     "kmeans_worked": q_kmeans_worked,
+    "kmeans_worked_long": q_kmeans_worked_long,
     "cap_points": q_cap_points,
     "top_terms": q_top_terms,
     "members": q_members,
@@ -395,6 +407,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canopy_centers": q_canopy_centers,
     "estimate_t_sparse": q_estimate_t_sparse,
     "canopy_centers_sparse": q_canopy_centers_sparse,
+    "kmeans_canopy_sparse": q_kmeans_canopy_sparse,
     "kmeans_canopy": q_kmeans_canopy,
 }
 
@@ -421,4 +434,5 @@ def oracle_sql() -> dict[str, str]:
                       KM_DEFAULT=KM_DEFAULT, KM_WORKED=KM_WORKED, KM_DENSE=KM_DENSE, DUMP=DUMP,
                       CAP=CAP, EVAL_CAP=EVAL_CAP)
     q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
+    q["kmeans_worked_long"] = q["kmeans_worked"]   # same semantics, other physical assignment
     return q

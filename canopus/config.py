@@ -52,6 +52,7 @@ class KMeansConfig:
     canopy_partitions: int | None = None  # first canopy pass partitions; None = ceil(n / canopy_points_per_task)
     canopy_points_per_task: int = 50_000  # points one greedy pass visits when the count is derived
     broadcast_max_values: int = 8_000_000  # centroid cells (terms x k) allowed in a broadcast
+    array_max_k: int = 32           # sparse assignment: per-centre window sums up to this k, long-form joins above
 
     def with_(self, **kw) -> "KMeansConfig":
         return replace(self, **kw)

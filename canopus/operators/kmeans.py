@@ -94,6 +94,70 @@ def assign_sparse_rows(points: DataFrame, cent: DataFrame, k: int, c2: list[floa
                          best["c"].alias("cluster_id"), best["d"].alias("distance"))
 
 
+def _nonsharing_order(c2: list[float], measure: str) -> tuple[list[int], list[int]]:
+    """Centre order in which a document's distance to centres it shares no term with
+    (dot product 0) never decreases, and for each position the last position whose
+    rounded distance can tie with it. Squared / plain Euclidean: x2 + c2 grows with c2
+    (values 1e-8 apart may round alike); cosine: every such distance is exactly 1."""
+    k = len(c2)
+    if measure == "cosine":
+        return list(range(k)), list(range(k))
+    order = sorted(range(k), key=lambda j: (c2[j], j))
+    ends, q = [], 0
+    for p in range(k):
+        q = max(q, p)
+        while q + 1 < k and c2[order[q + 1]] <= c2[order[p]] + 1e-8:
+            q += 1
+        ends.append(q)
+    return order, ends
+
+
+def assign_sparse_long(points: DataFrame, cent: DataFrame, k: int, c2: list[float], measure: str,
+                       broadcast: bool = True) -> DataFrame:
+    """Exact nearest-centre assignment for many centres, same output as
+    :func:`assign_sparse_rows`. Dot products exist only for the centres a document shares
+    a term with: ``points JOIN centres ON term_id`` summed per (doc, cluster) - on the
+    doc-bucketed points with broadcast centres no exchange is needed. The best centre
+    sharing no term is the first free position of a fixed centre order (see
+    :func:`_nonsharing_order`), found from the sorted positions of the shared ones."""
+    fn = distance(measure).sparse
+    part = distance(measure).parts
+    if fn is None or part is None:
+        raise ValueError(f"measure {measure!r} has no sparse form (use sq_euclidean, euclidean or cosine)")
+    order, ends = _nonsharing_order(c2, measure)
+    pos_of = [0] * k
+    for p, j in enumerate(order):
+        pos_of[j] = p
+    c2a = F.array(*[F.lit(float(v)) for v in c2])
+    pos_a = F.array(*[F.lit(p) for p in pos_of])
+    ord_a = F.array(*[F.lit(j) for j in order])
+    end_a = F.array(*[F.lit(e) for e in ends])
+    zd = np.round(part(0.0, np.asarray(c2, dtype=float), 0.0), 9)
+    zero_best = F.struct(F.lit(float(zd.min())).alias("d"), F.lit(int(np.argmin(zd))).alias("c"))
+
+    w = F.col("weight")
+    docs = points.groupBy("doc_id").agg(F.sum(w * w).alias("_x2"), F.min("term_id").alias("_t0"))
+    c = cent.select("cluster_id", "term_id", F.col("weight").alias("_cw"))
+    dots = (points.join(F.broadcast(c) if broadcast else c, "term_id")
+            .groupBy("doc_id", "cluster_id").agg(F.sum(w * F.col("_cw")).alias("_dot")))
+    x2, cid = F.col("_x2"), F.col("cluster_id")
+    shared = dots.join(docs, "doc_id").select(
+        "doc_id", F.struct(F.round(fn(x2, c2a[cid], F.col("_dot")), 9).alias("d"), cid.alias("c")).alias("_b"),
+        pos_a[cid].alias("_p"))
+    per_doc = shared.groupBy("doc_id").agg(F.min("_b").alias("_bs"), F.array_sort(F.collect_list("_p")).alias("_P"))
+    full = docs.join(per_doc, "doc_id", "left")
+    P = F.coalesce(F.col("_P"), F.array().cast("array<int>"))
+    mex = F.coalesce(F.array_min(F.transform(P, lambda v, i: F.when(v != i, i))), F.size(P))
+    last = F.least(mex, F.lit(k - 1))
+    cands = F.when(mex < k, F.filter(F.sequence(last, end_a[last]), lambda q: ~F.array_contains(P, q)))
+    best_n = F.array_min(F.transform(cands, lambda q: F.struct(
+        F.round(fn(x2, c2a[ord_a[q]], F.lit(0.0)), 9).alias("d"), ord_a[q].alias("c"))))
+    best = F.least(F.col("_bs"), best_n, F.when(x2 == 0, zero_best))
+    picked = full.select("doc_id", "_t0", best["c"].alias("cluster_id"), best["d"].alias("distance"))
+    return points.join(picked, "doc_id").select(
+        "doc_id", "term_id", "weight", (F.col("term_id") == F.col("_t0")).alias("_first"), "cluster_id", "distance")
+
+
 def centroid_sums(rows: DataFrame) -> DataFrame:
     """``(cluster_id, term_id, s, f)``: weight sums and first-term counts (one per
     document) per cluster and term; partial aggregation keeps the shuffle at
@@ -158,8 +222,13 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
     c2 = [st.get(j, {}).get("n2", 0.0) or 0.0 for j in range(k)]
     nnz = sum(s["nnz"] for s in st.values())
     it, converged, shifts = 0, False, []
+    def assign(cent, c2, nnz):
+        if k > cfg.array_max_k:
+            return assign_sparse_long(pts, cent, k, c2, cfg.measure, nnz <= cfg.broadcast_max_values)
+        return assign_sparse_rows(pts, cent, k, c2, cfg.measure, nnz * k <= cfg.broadcast_max_values)
+
     for it in range(1, cfg.max_iter + 1):
-        rows = assign_sparse_rows(pts, cent, k, c2, cfg.measure, nnz * k <= cfg.broadcast_max_values)
+        rows = assign(cent, c2, nnz)
         sums = cut_lineage(centroid_sums(rows))          # the one pass over the points
         new = cut_lineage(update_sparse(rows, cent, sums))
         st = sparse_center_stats(cent, new)
@@ -170,7 +239,7 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
         if all(m <= cfg.delta for m in moved):
             converged = True
             break
-    rows = assign_sparse_rows(pts, cent, k, c2, cfg.measure, nnz * k <= cfg.broadcast_max_values)
+    rows = assign(cent, c2, nnz)
     out = (rows.where("_first").select("cluster_id", "doc_id", F.lit(1.0).alias("weight"), "distance")
            .where(F.col("weight") >= F.lit(cfg.threshold)))
     return KMeansResult(cent, out, it, converged, shifts)

@@ -1,7 +1,7 @@
 """Composite jobs (Q1-Q5) over stage tables in ``out_dir``.
 
   vectorize_job  parse -> TF -> DF -> prune -> TF-IDF, each stage written (Q1)
-  cluster_job    random seeds -> k-means -> clusters + clustered points (Q2)
+  cluster_job    random or canopy seeds -> k-means -> clusters + clustered points (Q2)
   dump_job       top terms + report in the chosen format + raw point dump (Q3)
   run_all        Q1 then Q2 then Q3 (Q4)
   dump_clusters  standalone report with optional evaluation (Q5) - see plans.reports
@@ -40,9 +40,13 @@ def vectorize_job(spark: SparkSession, path: str | DataFrame, out_dir: str,
 
 def cluster_job(spark: SparkSession, out_dir: str, cfg: KMeansConfig = KMeansConfig()) -> km.KMeansResult:
     vecs = read_stage(spark, out_dir, "tfidf")
-    if cfg.init != "random":
-        raise ValueError("sparse clustering supports init='random'; canopy seeding runs on dense points")
-    res = km.kmeans_sparse_random(vecs, cfg)
+    if cfg.init == "random":
+        res = km.kmeans_sparse_random(vecs, cfg)
+    elif cfg.init == "canopy":
+        from canopus.operators.canopy import kmeans_canopy_sparse
+        res, _, _ = kmeans_canopy_sparse(vecs, cfg)
+    else:
+        raise ValueError(f"unknown init {cfg.init!r}: 'random' or 'canopy'")
     write_stage(res.centers.withColumn("iter", F.lit(res.iterations)), out_dir, "clusters")
     write_stage(res.points, out_dir, "points")
     return res

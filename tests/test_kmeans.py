@@ -93,3 +93,21 @@ def test_unknown_measure(spark):
     from canopus.functions.distance import distance
     with pytest.raises(ValueError):
         distance("nope")
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine"])
+def test_long_form_assignment_equals_array_form(spark, measure):
+    import numpy as np
+    from canopus.operators import kmeans as km
+    rng = np.random.default_rng(5)
+    rows = [(f"d{i:03d}", int(t), float(rng.integers(1, 4))) for i in range(80)
+            for t in rng.choice(30, size=int(rng.integers(1, 5)), replace=False)]
+    pts = spark.createDataFrame(rows, "doc_id string, term_id int, weight double")
+    # 12 centres, several sharing no term with many documents, two with equal norms
+    cent_rows = [(c, int(t), 1.0) for c in range(12) for t in ([30 + c] if c in (3, 7) else rng.choice(30, size=3, replace=False))]
+    cent = spark.createDataFrame(cent_rows, "cluster_id int, term_id int, weight double")
+    c2 = [sum(w * w for c, _, w in cent_rows if c == j) for j in range(12)]
+    a = km.assign_sparse_rows(pts, cent, 12, c2, measure).where("_first").select("doc_id", "cluster_id", "distance")
+    for bc in (True, False):
+        b = km.assign_sparse_long(pts, cent, 12, c2, measure, bc).where("_first").select("doc_id", "cluster_id", "distance")
+        assert sorted(a.collect()) == sorted(b.collect())
