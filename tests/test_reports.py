@@ -91,3 +91,15 @@ def test_pipeline_end_to_end(spark):
     text = _read(f"{rep}/clusters_dump")
     assert text[0].startswith("VL-0{n=")
     assert len(_read(f"{rep}/cluster_points_dump")) == read_stage(spark, out, "points").count()
+
+
+def test_pipeline_canopy_seeded_with_evaluation(spark):
+    from tests_support import documents_lines
+    out, rep = tempfile.mkdtemp(prefix="canopus-job-"), tempfile.mkdtemp(prefix="canopus-out-")
+    lines = documents_lines(spark)
+    res = run(spark, "all", lines, out, rep, VectorizeConfig(min_support=5, min_df=3, max_df_percent=50),
+              KMeansConfig(max_iter=2, init="canopy"), DumpConfig(top_n=5, evaluate=True))
+    k = read_stage(spark, out, "clusters").select("cluster_id").distinct().count()
+    assert k >= 2 and res.points.select("cluster_id").distinct().count() <= k
+    ev_lines = _read(f"{rep}/cluster_evaluate_result")
+    assert any(line.startswith("Scaled Inter-Cluster Density") for line in ev_lines)
