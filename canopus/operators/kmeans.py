@@ -21,8 +21,10 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from canopus.config import KMeansConfig
 from canopus.functions.distance import distance
@@ -264,9 +266,33 @@ def check_dense_size(k: int, d: int) -> None:
                          "use the sparse long form")
 
 
-def assign_dense(points: DataFrame, centers: list, measure: str, vec_col: str = "vec") -> DataFrame:
-    """Adds ``cluster_id`` and ``distance`` (9 dp) to every point."""
+def _assign_batches_fn(centers: np.ndarray, measure: str, vec_col: str):
+    tile = distance(measure).tile
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack([np.asarray(v, dtype=float) for v in pdf[vec_col]])
+                d = np.round(tile(x, centers), 9)
+                best = d.argmin(axis=1)              # first minimum: lowest cluster id on ties
+                pdf = pdf.assign(cluster_id=best.astype("int32"), distance=d[np.arange(len(best)), best])
+            else:
+                pdf = pdf.assign(cluster_id=pd.Series(dtype="int32"), distance=pd.Series(dtype="float64"))
+            yield pdf
+    return run
+
+
+def assign_dense(points: DataFrame, centers: list, measure: str, vec_col: str = "vec",
+                 max_k_expr: int = 32) -> DataFrame:
+    """Adds ``cluster_id`` and ``distance`` (9 dp) to every point. Up to ``max_k_expr``
+    centres the distances are built-in expressions over inlined centres; beyond that one
+    expression per centre would swamp the planner, so Arrow batches of points are
+    compared with the (size-checked) centre matrix in numpy."""
     check_dense_size(len(centers), len(centers[0]) if centers else 0)
+    if len(centers) > max_k_expr:
+        schema = T.StructType(points.schema.fields + [T.StructField("cluster_id", T.IntegerType()),
+                                                      T.StructField("distance", T.DoubleType())])
+        return points.mapInPandas(_assign_batches_fn(np.asarray(centers, dtype=float), measure, vec_col), schema)
     fn = distance(measure).dense
     cand = F.array(*[F.struct(F.round(fn(F.col(vec_col), _dense_literal(c)), 9).alias("d"),
                               F.lit(j).alias("c")) for j, c in enumerate(centers)])
@@ -294,7 +320,7 @@ def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansCon
     sizes = {j: 0 for j in range(k)}
     it, converged, shifts = 0, False, []
     for it in range(1, cfg.max_iter + 1):
-        means = dense_means(assign_dense(pts, centers, cfg.measure, vec_col), d, vec_col)
+        means = dense_means(assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k), d, vec_col)
         new = [means[j][1] if j in means else centers[j] for j in range(k)]
         sizes = {j: (means[j][0] if j in means else 0) for j in range(k)}
         moved = [_np_shift(centers[j], new[j], cfg.measure) for j in range(k)]
@@ -303,7 +329,7 @@ def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansCon
         if all(m <= cfg.delta for m in moved):
             converged = True
             break
-    final = assign_dense(pts, centers, cfg.measure, vec_col)
+    final = assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k)
     out = (final.select("cluster_id", id_col, F.lit(1.0).alias("weight"), "distance")
            .where(F.col("weight") >= F.lit(cfg.threshold)))
     spark = points.sparkSession

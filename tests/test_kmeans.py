@@ -111,3 +111,15 @@ def test_long_form_assignment_equals_array_form(spark, measure):
     for bc in (True, False):
         b = km.assign_sparse_long(pts, cent, 12, c2, measure, bc).where("_first").select("doc_id", "cluster_id", "distance")
         assert sorted(a.collect()) == sorted(b.collect())
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine", "manhattan"])
+def test_dense_batch_assignment_equals_expressions(spark, measure):
+    from canopus.operators import kmeans as km
+    rng = np.random.default_rng(9)
+    pts = spark.createDataFrame([(i, [float(x) for x in rng.integers(0, 4, size=5)]) for i in range(120)],
+                                "point_id long, vec array<double>")
+    centers = [[float(x) for x in rng.integers(0, 4, size=5)] for _ in range(6)] + [[1.0] * 5, [1.0] * 5]
+    a = km.assign_dense(pts, centers, measure).select("point_id", "cluster_id", "distance")
+    b = km.assign_dense(pts, centers, measure, max_k_expr=0).select("point_id", "cluster_id", "distance")
+    assert sorted(a.collect()) == sorted(b.collect())
