@@ -233,7 +233,7 @@ def q_kmeans_worked_long(spark, sf):
 
 
 def q_kmeans_canopy_sparse(spark, sf):
-    res, _, _ = cn.kmeans_canopy_sparse(_points(spark, sf, WORKED_V), KM_SPARSE_CANOPY)
+    res, _, _ = cn.kmeans_canopy_sparse(_points(spark, sf, WORKED_V), KM_SPARSE_CANOPY, prepared=True)
     return res.points.select("cluster_id", "doc_id", _r("distance", 4))
 
 
