@@ -7,6 +7,7 @@ session and data folder and reused.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -30,6 +31,20 @@ from canopus.session import ship_package  # noqa: E402
 from canopus.sources.points import read_embeddings  # noqa: E402
 from canopus.sources.tags import documents_tag_docs, tag_tokens  # noqa: E402
 
+
+def _optional(module: str):
+    """The module, or None where it (or a package above it) is not there."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name and f"{module}.".startswith(f"{e.name}."):
+            return None
+        raise
+
+
+llm_queries = _optional("canopus.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline") if llm_queries else None
+
 # ----------------------------------------------------------------------------- parameters
 DEFAULT_V = VectorizeConfig()                                             # parser defaults
 WORKED_V = VectorizeConfig(min_support=5, min_df=3, max_df_percent=50)    # documented example
@@ -426,7 +441,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _shipped(v) for k, v in QUERIES.items()}
+    found = dict(QUERIES)
+    if llm_queries:
+        found |= llm_queries.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return {k: _shipped(v) for k, v in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -435,4 +455,8 @@ def oracle_sql() -> dict[str, str]:
                       CAP=CAP, EVAL_CAP=EVAL_CAP)
     q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
     q["kmeans_worked_long"] = q["kmeans_worked"]   # same semantics, other physical assignment
+    if llm_queries:
+        q |= llm_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        q["pipeline"] = corpus_pipeline.ORACLE_SQL
     return q
