@@ -42,3 +42,18 @@ def chunks(texts: Iterable[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[
             part, size = [], 0
     if part:
         yield part
+
+
+#: A table is broadcast if it has at most so many rows of a few numbers (about 10 MB of them).
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, marked for broadcast if it has at most ``rows`` rows; beyond that the join is
+    left to Catalyst (a shuffle join with skew handling). ``df`` should be a written table."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def text_key(text_col: str = "text") -> Column:
+    """With the id, tells rows of different texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))

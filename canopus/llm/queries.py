@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, token_count, token_output
+from . import decontaminate, packing, quality, sharding, simhash, token_count, token_output
 from .common import read_table
 
 #: The id after each document (contracts of packing and of token output).
 PACK_END, OUTPUT_END = 1, 2
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -22,6 +26,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), PACK_END)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_uniformly(read_table(spark, sf_dir, "documents"), shards=40)
 
@@ -31,6 +43,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op4_best_fit_packing, op9_sharding, op10_token_output)
+    f.__name__: f for f in (
+        op2_simhash_near_dedup, op3_token_counts, op4_best_fit_packing, op5_quality_rules, op6_benchmark_decontamination,
+        op9_sharding, op10_token_output)
 }
 ORACLE_SQL: dict[str, str] = {}
