@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, sharding, simhash, token_count, token_output
+from . import decontaminate, html_extract, packing, quality, sharding, simhash, token_count, token_output, url_filter
 from .common import read_table
 
 #: The id after each document (contracts of packing and of token output).
@@ -34,6 +34,14 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_uniformly(read_table(spark, sf_dir, "documents"), shards=40)
 
@@ -45,6 +53,6 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_simhash_near_dedup, op3_token_counts, op4_best_fit_packing, op5_quality_rules, op6_benchmark_decontamination,
-        op9_sharding, op10_token_output)
+        op7_html_extraction, op8_url_filters, op9_sharding, op10_token_output)
 }
 ORACLE_SQL: dict[str, str] = {}
