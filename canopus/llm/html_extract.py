@@ -11,11 +11,12 @@ pages ``m``:
 * composite: ``(1 - g**l) presentation + g**l content``, ``l`` the number of its child
   styles and content that of all text below it, ``g`` 0.9.
 
-Paths below ``threshold`` on at least ``min_pages`` pages are noise, and their branches are
-removed from every page of the host. Small hosts give no such evidence, so elements that HTML
-itself or their class, id or role call menus, headers, footers, sidebars, notices, adverts,
-forms or comments are removed everywhere, and where a page has an ``article`` (else a
-``main``) element with text, only text in it counts.
+A path on at least ``min_pages`` pages is noise if it and all paths below it are under
+``threshold``; its branch is removed from every page of the host. Small hosts give no such
+evidence, so elements that HTML itself or their class, id or role call menus, headers,
+footers, sidebars, notices, adverts, forms or comments are removed everywhere, and where a
+page has an ``article`` (else a ``main``) element with text, only text in it counts. In
+these the tree removes nothing: a host may well have many copies of one article.
 
 A host of a third of all pages is no group anywhere: the counts are pre-aggregated per task
 and key, and only removed paths go back to the pages, by a join on the host (broadcast if
@@ -41,8 +42,8 @@ from .common import broadcast_if_small
 from .html_blocks import Node, parse
 from .url_filter import host_and_path
 
-THRESHOLD = 0.3
-MIN_PAGES = 10
+THRESHOLD = 0.5
+MIN_PAGES = 20
 GAMMA = 0.9
 _PAGE, _TEXT, _SHAPE = 0, 1, 2
 _HELD = 200_000   # counts a task holds before it hands them on
@@ -107,7 +108,8 @@ def style_counts(pages: DataFrame) -> DataFrame:
 
 
 def importances(counts: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """``(host, node, pages, importance)`` of the tree's paths."""
+    """``(host, node, pages, importance, branch)`` of the tree's paths; ``branch`` is the largest
+    importance of the path and those below it."""
     n = F.sum("n").alias("n")
     # each feature's total first (partial sums), then a row per node
     features = counts.where(F.col("kind") != _PAGE).groupBy("node", "kind", "feature").agg(n)
@@ -125,9 +127,11 @@ def importances(counts: DataFrame, gamma: float = GAMMA) -> DataFrame:
     shapes = F.greatest("shapes", F.lit(1)).cast("double")
     presentation = F.least(F.lit(1.0), (F.log(shapes) - F.col("shape_logs") / shapes) / F.col("log_m"))
     weight = F.pow(F.lit(gamma), F.col("kinds"))
-    return own.join(below, "node").select(
-        "host", "node", "pages",
-        F.when(F.col("texts") > 0, F.col("content")).otherwise((1 - weight) * presentation + weight * F.col("content")).alias("importance"))
+    rated = own.join(below, "node").withColumn("importance", F.when(F.col("texts") > 0, F.col("content")).otherwise(
+        (1 - weight) * presentation + weight * F.col("content")))
+    branches = (rated.select(F.explode(F.concat(F.array("node"), "above")).alias("node"), "importance")
+                .groupBy("node").agg(F.max("importance").alias("branch")))
+    return rated.join(branches, "node").select("host", "node", "pages", "importance", "branch")
 
 
 def main_blocks(nodes: list[Node], blocks: list[tuple[int, str]], noise: frozenset[int], host: str) -> list[str]:
@@ -137,7 +141,7 @@ def main_blocks(nodes: list[Node], blocks: list[tuple[int, str]], noise: frozens
     for i, text in blocks:
         if nodes[i].furniture:
             continue
-        if noise:
+        if noise and not nodes[i].main:
             if i not in bad:
                 bad[i] = any(node_key(host, nodes[j].path) in noise for j in _chain(nodes, i))
             if bad[i]:
@@ -153,7 +157,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN
     host = host_and_path(F.col(url_col))[0]
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     noise = importances(style_counts(rows.select("host", "html"))).where(
-        (F.col("importance") < threshold) & (F.col("pages") >= min_pages))
+        (F.col("branch") < threshold) & (F.col("pages") >= min_pages))
     # a host's paths: as many as its templates have
     noise = cut_lineage(noise.groupBy("host").agg(F.collect_set("node").alias("noise")), "noise_paths")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
