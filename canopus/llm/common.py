@@ -57,3 +57,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def text_key(text_col: str = "text") -> Column:
     """With the id, tells rows of different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def by_key(docs: DataFrame, keys: DataFrame, text: Column, how: str) -> DataFrame:
+    """Rows of ``docs`` whose id and ``text`` key are (``left_semi``) or aren't (``left_anti``)
+    in ``keys``, a written table of ids and keys. All columns stay as they are."""
+    keys = broadcast_if_small(keys)
+    own_id, own_key = keys.columns
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys[own_id]) & (text == keys[own_key]), how)

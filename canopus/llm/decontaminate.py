@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from canopus.session import cut_lineage
 
-from .common import ascii_lower, broadcast_if_small, text_key
+from .common import ascii_lower, broadcast_if_small, by_key, text_key
 
 WINDOW = 10
 #: Between words: ASCII other than digits and lower-case letters (of lower-cased text).
@@ -152,5 +152,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """``docs`` without contaminated rows, all columns as they are."""
     bad = contamination(docs, benchmark, window).where("contaminated").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    bad = broadcast_if_small(cut_lineage(bad, "contaminated"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+    return by_key(docs, cut_lineage(bad, "contaminated"), text_key(), "left_anti")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from canopus.session import cut_lineage
 
-from .common import broadcast_if_small, words
+from .common import ASCII_SPACE, broadcast_if_small, by_key, words
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -43,6 +43,11 @@ class QualityRules:
     min_left: float = 0.3
 
 
+def line_hash(line: Column) -> Column:
+    """60 bits of its MD5, as SQL engines agree on."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
+
+
 def base_columns(docs: DataFrame) -> DataFrame:
     """``docs`` with the base rules' figures and its lines' hashes and words. Equal 3-word
     windows are neighbours once (hash, place) pairs are sorted; a place covers the words up
@@ -70,7 +75,7 @@ def base_columns(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.transform("lines", lambda x: F.struct(
-            F.xxhash64(F.lower(F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " ")))).alias("key"),
+            line_hash(F.lower(F.trim(F.regexp_replace(x, ASCII_SPACE, " ")))).alias("key"),
             F.size(words(x)).alias("n"))).alias("lines"))
 
 
@@ -116,5 +121,4 @@ def text_and_host_key(text_col: str = "text", host_col: str = "source") -> Colum
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """``docs`` without the rows that :func:`judge` rejects, all columns as they are."""
     bad = judge(docs, rules).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    bad = broadcast_if_small(cut_lineage(bad, "quality_rejected"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_and_host_key() == F.col("_key")), "left_anti")
+    return by_key(docs, cut_lineage(bad, "quality_rejected"), text_and_host_key(), "left_anti")

@@ -7,15 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, packing, quality, sharding, simhash, token_count, token_output, url_filter
+from . import decontaminate, html_extract, license_scan, packing, quality, sharding, simhash, token_count, token_output, url_filter
 from .common import read_table
+from .oracle import CONTAMINATION_SQL, QUALITY_SQL
 
 #: The id after each document (contracts of packing and of token output).
 PACK_END, OUTPUT_END = 1, 2
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +32,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(read_table(spark, sf_dir, "documents"))
+    return quality.judge(read_table(spark, sf_dir, "documents")).drop("text_key")   # an internal key
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +58,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_simhash_near_dedup, op3_token_counts, op4_best_fit_packing, op5_quality_rules, op6_benchmark_decontamination,
+        op1_license_scan, op2_simhash_near_dedup, op3_token_counts, op4_best_fit_packing, op5_quality_rules, op6_benchmark_decontamination,
         op7_html_extraction, op8_url_filters, op9_sharding, op10_token_output)
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no SQL form (hash bits, token ids, trained models, random draws, HTML): see the tests.
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": QUALITY_SQL, "op6_benchmark_decontamination": CONTAMINATION_SQL}

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from canopus.session import cut_lineage
 
-from .common import broadcast_if_small, chunks, text_key
+from .common import broadcast_if_small, by_key, chunks, text_key
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -299,12 +299,10 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     text are one document: of those any one stays."""
     found = cut_lineage(near_duplicates(docs, shingle, max_bits).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "first"),
                         "near_duplicates")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
-    dropped = broadcast_if_small(cut_lineage(found.where(~F.col("first")).select("_id", "_key").distinct(), "dropped"))
-    kept = docs.join(dropped, same, "left_anti")
+    dropped = cut_lineage(found.where(~F.col("first")).select("_id", "_key").distinct(), "dropped")
+    kept = by_key(docs, dropped, text_key(), "left_anti")
     again = cut_lineage(found.where("first").groupBy("_id", "_key").count().where("count > 1").select("_id", "_key"), "repeated")
     if again.isEmpty():
         return kept
-    again = broadcast_if_small(again)
-    once = (kept.join(again, same, "left_semi").withColumn("_text", text_key()).dropDuplicates(["doc_id", "_text"]).drop("_text"))
-    return kept.join(again, same, "left_anti").unionByName(once)
+    once = by_key(kept, again, text_key(), "left_semi").dropDuplicates(["doc_id", "text"])
+    return by_key(kept, again, text_key(), "left_anti").unionByName(once)
