@@ -1,48 +1,93 @@
 """Token ids of whole texts, word by word.
 
 The tokenizer drops white space and never joins characters across it, so the ids of a
-text are those of its words between ASCII white space, in order. A word is encoded once
-per Python worker; its ids stay in a bounded cache as little-endian 32-bit integers.
+text are those of its words between ASCII white space, in order. It also lower-cases, and
+parts letters from the signs after them: a word of Latin-1 letters with ASCII signs at its
+end has the ids of the lower-case letters, then those of the signs. Lower-case letters
+alone need no other step before the merges, so they go straight to the tokenizer's model.
+Any other word is encoded as it is. Two bounded caches per Python worker, of words and of such parts, hold
+ids as little-endian 32-bit integers.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
-import numpy as np
-
-CACHE_ENTRIES = 400_000
+WORDS, PARTS = 500_000, 300_000
 _LONGEST_KEY = 200
+_LETTERS_SIGNS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_LOWER = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100)))
 _worker: dict[str, WordIds] = {}
 
 
+class _Parts(dict):
+    """Ids by text, encoded when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in _LOWER}
+
+    def letters(self, text: str) -> bytes:
+        """Ids of lower-case Latin-1 letters."""
+        data = self.get(text)
+        return data if data is not None else self._kept(text, [
+            t.id for t in self.merge(text if text.isascii() else text.translate(self.as_bytes))])
+
+    def __missing__(self, text: str) -> bytes:
+        return self._kept(text, self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _kept(self, text: str, ids: list[int]) -> bytes:
+        data = array("I", ids).tobytes()
+        if len(self) >= PARTS:
+            self.clear()
+        if len(text) <= _LONGEST_KEY:
+            self[text] = data
+        return data
+
+
+class _Words(dict):
+    """Ids by UTF-8 word."""
+
+    def __init__(self, parts: _Parts):
+        super().__init__()
+        self.parts = parts
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        m = _LETTERS_SIGNS.fullmatch(text)
+        if m is None:
+            data = self.parts[text]
+        else:
+            data = self.parts.letters(m[1].lower()) + (self.parts[m[2]] if m[2] else b"")
+        if len(self) >= WORDS:
+            self.clear()
+        if len(word) <= _LONGEST_KEY:
+            self[word] = data
+        return data
+
+
 class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.cache: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        if array("I").itemsize != 4:
+            raise RuntimeError("ids are kept as 32-bit integers")
+        self.words = _Words(_Parts(tokenizer))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each UTF-8 text its ids as bytes (``<u4``)."""
-        split = [t.split() for t in texts]   # bytes.split() takes exactly the ASCII white space
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        ids = self.cache
-        misses = list(set().union(*split).difference(ids))
-        if misses:
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in misses], add_special_tokens=False)
-            new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(misses, found, strict=True)}
-            ids.update(new)
-            out = [b"".join(map(ids.__getitem__, s)) for s in split]
-            for w in misses:
-                if len(w) > _LONGEST_KEY:
-                    del ids[w]
-            return out
-        return [b"".join(map(ids.__getitem__, s)) for s in split]
+        look_up = self.words.__getitem__
+        return [b"".join(map(look_up, t.split())) for t in texts]   # bytes.split() takes exactly the ASCII white space
 
 
 def word_ids(path: str) -> WordIds:
