@@ -268,9 +268,32 @@ def q_cluster_sizes(spark, sf):
     return tk.cluster_sizes(_clustered(spark, sf))
 
 
+def _intra_cols(s):
+    return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"), _r("min_dist"), _r("max_dist"), _r("density"))
+
+
+def q_intra_stats_capped(spark, sf):
+    """A cap below every cluster's size."""
+    return _intra_cols(ev.intra_stats(_label_points(spark, sf), "sq_euclidean", CAP))
+
+
+def q_intra_avg_full(spark, sf):
+    s = ev.intra_stats(_label_points(spark, sf), "sq_euclidean")
+    return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
+
+
+def q_intra_avg_full_sparse(spark, sf):
+    s = ev.intra_stats_sparse(_clustered(spark, sf).select("cluster_id", "doc_id"), _points(spark, sf, WORKED_V), KM_WORKED.measure)
+    return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
+
+
+def q_kmeans_dense_manhattan(spark, sf):
+    return _kdense(spark, sf, KM_DENSE.with_(measure="manhattan")).points.select("cluster_id", "point_id", _r("distance", 4))
+
+
 def q_intra_stats(spark, sf):
     s = ev.intra_stats(_label_points(spark, sf), "sq_euclidean", EVAL_CAP)
-    return s.select("cluster_id", "n_points", "n_pairs", _r("avg_dist"), _r("min_dist"), _r("max_dist"), _r("density"))
+    return _intra_cols(s)
 
 
 def _pairs(spark, sf):
@@ -289,7 +312,7 @@ def q_inter_stats(spark, sf):
 def q_intra_stats_sparse(spark, sf):
     pts = _clustered(spark, sf).select("cluster_id", "doc_id")
     s = ev.intra_stats_sparse(pts, _points(spark, sf, WORKED_V), KM_WORKED.measure, EVAL_CAP)
-    return s.select("cluster_id", "n_points", "n_pairs", _r("avg_dist"), _r("min_dist"), _r("max_dist"), _r("density"))
+    return _intra_cols(s)
 
 
 def _pairs_sparse(spark, sf):
@@ -346,8 +369,9 @@ def q_estimate_t(spark, sf):
 
 def q_canopy_centers(spark, sf):
     emb = _emb(spark, sf)
-    t = q_estimate_t(spark, sf).first()
-    return cn.canopy_centers(emb, t["t1"], t["t2"], "sq_euclidean")
+    t = cn.estimate_t(emb, KM_DENSE.canopy_fraction, KM_DENSE.canopy_factor, "sq_euclidean", KM_DENSE.seed).first()
+    c = cn.canopy_centers(emb, t["t1"], t["t2"], "sq_euclidean")
+    return c.select("cluster_id", F.transform("center", lambda x: F.round(x, 6)).alias("center"))
 
 
 def q_kmeans_canopy(spark, sf):
@@ -406,6 +430,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "members": q_members,
     "cluster_sizes": q_cluster_sizes,
     "intra_stats": q_intra_stats,
+    "intra_stats_capped": q_intra_stats_capped,
+    "intra_avg_full": q_intra_avg_full,
+    "intra_avg_full_sparse": q_intra_avg_full_sparse,
+    "kmeans_dense_manhattan": q_kmeans_dense_manhattan,
     "inter_pairs": q_inter_pairs,
     "inter_stats": q_inter_stats,
     "evaluate_report": q_evaluate_report,
@@ -453,6 +481,7 @@ def oracle_sql() -> dict[str, str]:
     q = O.all_queries(DEFAULT_V=DEFAULT_V, WORKED_V=WORKED_V, STOP_V=STOP_V, SIGMA_V=SIGMA_V,
                       KM_DEFAULT=KM_DEFAULT, KM_WORKED=KM_WORKED, KM_DENSE=KM_DENSE, DUMP=DUMP,
                       CAP=CAP, EVAL_CAP=EVAL_CAP)
+    q |= O.canopy_queries(WORKED_V, KM_DENSE, KM_SPARSE_CANOPY)
     q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
     q["kmeans_worked_long"] = q["kmeans_worked"]   # same semantics, other physical assignment
     if llm_queries:

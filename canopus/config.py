@@ -49,8 +49,7 @@ class KMeansConfig:
     init: str = "random"            # "random" or "canopy"
     canopy_fraction: float = 0.1    # share of vectors sampled to estimate T1/T2
     canopy_factor: float = 1.3      # T1 = factor * mean sampled distance, T2 = T1 / 2
-    canopy_partitions: int | None = None  # first canopy pass partitions; None = ceil(n / canopy_points_per_task)
-    canopy_points_per_task: int = 50_000  # points one greedy pass visits when the count is derived
+    canopy_block_points: int = 5_000  # points one greedy pass decides; the result does not depend on it
     broadcast_max_values: int = 8_000_000  # centroid cells (terms x k) allowed in a broadcast
     array_max_k: int = 32           # sparse assignment: per-centre window sums up to this k, long-form joins above
 
@@ -65,7 +64,7 @@ class DumpConfig:
     substring: int | None = None    # label truncation; None or negative = unlimited
     max_points: int | None = None   # points listed per cluster; None = all
     evaluate: bool = False
-    eval_max_points: int = 1000     # points per cluster entering the intra-cluster evaluation
+    eval_max_points: int | None = None  # None: exact averages over all points; n: also min, max, density of the first n
     measure: str = "sq_euclidean"
     line_points: int = 1000         # CSV/JSON member lists are cut into lines of this many ids
 

@@ -1,8 +1,11 @@
 """Cluster evaluation.
 
-Intra-cluster: the first ``max_points`` points of each cluster (id order; the original
-uses 1000) are compared pairwise. Pairs are never materialised as rows: each cluster's
-points are cut into blocks of ``block`` points, every (block_i <= block_j) tile becomes
+Intra-cluster: with ``max_points=None`` (default) the average over all pairs of a cluster
+comes from a closed form for squared Euclidean (``n sum|x|^2 - |sum x|^2``) and cosine
+distance (the norm of the summed unit vectors); minimum, maximum and density, which need the
+pairs, are NULL. With an explicit ``max_points`` (the original uses 1000) the first points in
+id order are compared pairwise; ``n_total`` and ``n_used`` tell how many there are and how
+many were used. Pairs are never materialised as rows: each cluster's points are cut into blocks of ``block`` points, every (block_i <= block_j) tile becomes
 one ``applyInPandas`` group of at most 2*block points, and each tile returns a single row
 (pair count, sum, min, max). Tiles are then combined per cluster.
 
@@ -44,66 +47,108 @@ def _tile_fn(measure: str):
     return run
 
 
-def intra_stats(points: DataFrame, measure: str = "sq_euclidean", max_points: int | None = 1000,
-                cluster_col: str = "cluster_id", id_col: str = "point_id", vec_col: str = "vec",
-                block: int = 256) -> DataFrame:
-    """``(cluster_id, n_points, n_pairs, avg_dist, min_dist, max_dist, density)`` over
-    dense points ``(cluster, id, vec ARRAY<DOUBLE>)``."""
-    base = points.select(F.col(cluster_col).cast("int").alias("cluster_id"), F.col(id_col).alias("_id"),
-                         F.col(vec_col).alias("vec"))
+INTRA_COLUMNS = ("cluster_id", "n_total", "n_used", "n_pairs", "avg_dist", "min_dist", "max_dist", "density")
+
+
+def _average_only(sums: DataFrame) -> DataFrame:
+    """From per-cluster ``n`` and the sum ``s`` of all pair distances."""
+    n = F.col("n").cast("double")
+    pairs = (F.col("n") * (F.col("n") - 1) / 2).cast("long")
+    null = F.lit(None).cast("double")
+    return sums.select("cluster_id", F.col("n").alias("n_total"), F.col("n").alias("n_used"), pairs.alias("n_pairs"),
+                       F.try_divide(F.greatest("s", F.lit(0.0)), n * (n - 1) / 2).alias("avg_dist"),
+                       null.alias("min_dist"), null.alias("max_dist"), null.alias("density"))
+
+
+def _cosine_sum(m, zeros, u2):
+    """Sum of cosine distances over all pairs of ``m`` unit vectors with squared norm ``u2`` of
+    their sum, and ``zeros`` zero vectors (0 from each other, 1 from any other vector)."""
+    return m * (m - 1) / 2 - (u2 - m) / 2 + m * zeros
+
+
+def _combine(per_tile: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Tiles and ``sizes`` (``n_total``, ``n_used``) to :data:`INTRA_COLUMNS`."""
+    agg = per_tile.groupBy("cluster_id").agg(
+        F.sum("n_pairs").alias("n_pairs"), F.sum("s").alias("s"), F.min("mn").alias("min_dist"), F.max("mx").alias("max_dist"))
+    out = agg.join(sizes, "cluster_id").withColumn("avg_dist", F.try_divide(F.col("s"), F.col("n_pairs").cast("double")))
+    return out.withColumn("density", F.try_divide(F.col("avg_dist") - F.col("min_dist"),
+                                                  F.col("max_dist") - F.col("min_dist"))).select(*INTRA_COLUMNS)
+
+
+def _ranked(base: DataFrame, max_points: int | None) -> tuple[DataFrame, DataFrame]:
+    """``base`` with each point's place ``rn`` in its cluster, cut at ``max_points``, and sizes."""
+    total = base.groupBy("cluster_id").agg(F.count("*").alias("n_total"))
     if max_points is not None and max_points >= 0:
         # capped: a per-cluster row_number <= cap plans as a WindowGroupLimit
         w = Window.partitionBy("cluster_id").orderBy("_id")
         ranked = base.select("*", F.row_number().over(w).alias("rn")).where(F.col("rn") <= max_points)
-    else:
-        # uncapped: distributed global rank, never one task per cluster
-        from canopus.operators.topk import member_ranks
-        r = member_ranks(base, "_id", "cluster_id")
-        ranked = base.join(r, ["cluster_id", "_id"]).select(
-            "cluster_id", "_id", "vec", (F.col("member_rank") + 1).alias("rn"))
-    sizes = ranked.groupBy("cluster_id").agg(F.count("*").alias("n_points"))
+        return ranked, total.withColumn("n_used", F.least("n_total", F.lit(max_points).cast("long")))
+    # uncapped: distributed global rank, never one task per cluster
+    from canopus.operators.topk import member_ranks
+    r = member_ranks(base.select("cluster_id", "_id"), "_id", "cluster_id")
+    ranked = base.join(r, ["cluster_id", "_id"]).withColumn("rn", F.col("member_rank") + 1).drop("member_rank")
+    return ranked, total.withColumn("n_used", F.col("n_total"))
+
+
+def _to_tiles(ranked: DataFrame, sizes: DataFrame, block: int, *cols: str) -> DataFrame:
     blk = F.floor((F.col("rn") - 1) / block).cast("int")
-    nb = F.floor((F.col("n_points") - 1) / block).cast("int")
-    spread = (ranked.join(sizes, "cluster_id")
-              .select("cluster_id", "rn", "vec", blk.alias("blk"),
-                      F.explode(F.sequence(F.lit(0), nb)).alias("other")))
-    tiles = spread.select("cluster_id", "rn", "vec", "blk",
-                          F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
-    per_tile = tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_tile_fn(measure), TILE_SCHEMA)
-    agg = per_tile.groupBy("cluster_id").agg(
-        F.sum("n_pairs").alias("n_pairs"), F.sum("s").alias("s"), F.min("mn").alias("min_dist"),
-        F.max("mx").alias("max_dist"))
-    avg = F.try_divide(F.col("s"), F.col("n_pairs").cast("double"))
-    return (agg.join(sizes, "cluster_id")
-            .select("cluster_id", "n_points", "n_pairs", avg.alias("avg_dist"), "min_dist", "max_dist")
-            .withColumn("density", F.try_divide(F.col("avg_dist") - F.col("min_dist"),
-                                                F.col("max_dist") - F.col("min_dist"))))
+    nb = F.floor((F.col("n_used") - 1) / block).cast("int")
+    return (ranked.join(sizes, "cluster_id")
+            .select("cluster_id", "rn", *cols, blk.alias("blk"), F.explode(F.sequence(F.lit(0), nb)).alias("other"))
+            .select("cluster_id", "rn", *cols, "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
+
+
+def intra_stats(points: DataFrame, measure: str = "sq_euclidean", max_points: int | None = None,
+                cluster_col: str = "cluster_id", id_col: str = "point_id", vec_col: str = "vec",
+                block: int = 256) -> DataFrame:
+    """:data:`INTRA_COLUMNS` over dense points ``(cluster, id, vec ARRAY<DOUBLE>)``."""
+    base = points.select(F.col(cluster_col).cast("int").alias("cluster_id"), F.col(id_col).alias("_id"),
+                         F.col(vec_col).alias("vec"))
+    if max_points is None and measure in ("sq_euclidean", "cosine"):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.stat import Summarizer
+        x2 = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)
+        rows = base.withColumn("x2", x2)
+        if measure == "cosine":
+            rows = rows.withColumn("vec", F.when(F.col("x2") > 0, F.transform("vec", lambda v: v / F.sqrt("x2"))).otherwise(F.col("vec")))
+        agg = rows.groupBy("cluster_id").agg(
+            F.count("*").alias("n"), F.sum("x2").alias("x2"), F.sum((F.col("x2") > 0).cast("double")).alias("m"),
+            vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("v"))
+        agg = agg.withColumn("v2", F.aggregate("v", F.lit(0.0), lambda a, v: a + v * v))
+        total = (F.col("n") * F.col("x2") - F.col("v2") if measure == "sq_euclidean"
+                 else _cosine_sum(F.col("m"), F.col("n") - F.col("m"), F.col("v2")))
+        return _average_only(agg.select("cluster_id", "n", total.alias("s")))
+    ranked, sizes = _ranked(base, max_points)
+    tiles = _to_tiles(ranked, sizes, block, "vec")
+    return _combine(tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_tile_fn(measure), TILE_SCHEMA), sizes)
 
 
 def label_centroids(points: DataFrame, cluster_col: str = "label", vec_col: str = "vec") -> DataFrame:
     """Mean vector per cluster for dense points: ``(cluster_id, center)``."""
-    d = len(points.select(vec_col).first()[0])
-    means = points.groupBy(F.col(cluster_col).cast("int").alias("cluster_id")).agg(
-        *[F.avg(F.col(vec_col)[i]).alias(f"m{i}") for i in range(d)])
-    return means.select("cluster_id", F.array(*[F.col(f"m{i}") for i in range(d)]).alias("center"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    return points.groupBy(F.col(cluster_col).cast("int").alias("cluster_id")).agg(
+        vector_to_array(Summarizer.mean(array_to_vector(vec_col))).alias("center"))
+
+
+def _numbered(centers: DataFrame) -> tuple[DataFrame, int]:
+    """``(cluster_id, _r)`` with ids numbered from 0 in order (k rows), and k."""
+    ids = centers.select(F.col("cluster_id").cast("int")).distinct()
+    r = ids.select("cluster_id", (F.row_number().over(Window.orderBy("cluster_id")) - 1).alias("_r"))
+    return r, ids.count()
 
 
 def inter_pairs(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
-    """``(cluster_id_1, cluster_id_2, distance)`` for every centre pair with id_1 < id_2.
-    The k centres (k x d values, size checked) are inlined once; each centre row expands
-    to its partners with a generator, so the pairs are computed in parallel."""
-    from canopus.operators.kmeans import check_dense_size
-    rows = centers.select("cluster_id", "center").orderBy("cluster_id").collect()
-    if not rows:
-        return centers.sparkSession.createDataFrame([], "cluster_id_1 int, cluster_id_2 int, distance double")
-    check_dense_size(len(rows), len(rows[0]["center"]))
-    lit = F.array(*[F.struct(F.lit(int(r["cluster_id"])).alias("id"),
-                             F.array(*[F.lit(float(v)) for v in r["center"]]).alias("c")) for r in rows])
-    fn = distance(measure).dense
-    partners = centers.select(F.col("cluster_id").alias("cluster_id_1"), F.col("center").alias("_a"),
-                              F.explode(lit).alias("_p")).where(F.col("_p.id") > F.col("cluster_id_1"))
-    return partners.select("cluster_id_1", F.col("_p.id").alias("cluster_id_2"),
-                           fn(F.col("_a"), F.col("_p.c")).alias("distance"))
+    """``(cluster_id_1, cluster_id_2, distance)`` for every centre pair with id_1 < id_2: the
+    report's own output, k(k-1)/2 rows. Each centre is copied to the numbers of the centres
+    after it and joined with them by number, so no centre is part of the plan."""
+    ids, k = _numbered(centers)
+    rows = centers.select(F.col("cluster_id").cast("int"), "center").join(ids, "cluster_id")
+    after = F.when(F.col("_r") < k - 1, F.sequence(F.col("_r") + 1, F.lit(k - 1)))
+    left = rows.select(F.col("cluster_id").alias("cluster_id_1"), F.col("center").alias("_a"), F.explode(after).alias("_r"))
+    right = rows.select(F.col("cluster_id").alias("cluster_id_2"), F.col("center").alias("_b"), "_r")
+    return left.join(right, "_r").select(
+        "cluster_id_1", "cluster_id_2", distance(measure).dense(F.col("_a"), F.col("_b")).alias("distance"))
 
 
 def inter_stats(pairs: DataFrame) -> DataFrame:
@@ -122,7 +167,8 @@ def _fmt(c) -> F.Column:
 
 def evaluation_report(intra: DataFrame, inter: DataFrame, pairs: DataFrame) -> DataFrame:
     """Report lines ``(section INT, key1 INT, key2 INT, line STRING)``; sorting by the
-    first three columns gives the original's section order."""
+    first three columns gives the original's section order. The label texts are fixed values:
+    a report has to read as the original's does."""
     s = lambda v: F.lit(v).cast("int")
     head1 = intra.sparkSession.range(1).select(s(0).alias("section"), s(0).alias("key1"), s(0).alias("key2"),
                                                F.lit("Cluster intra info :").alias("line"))
@@ -205,61 +251,58 @@ def _sparse_tile_fn(measure: str):
 
 
 def intra_stats_sparse(points: DataFrame, vecs: DataFrame, measure: str = "sq_euclidean",
-                       max_points: int | None = 1000, block: int = 256) -> DataFrame:
-    """Intra-cluster statistics for clustered points ``(cluster_id, doc_id)`` whose vectors are
-    long-form ``(doc_id, term_id, weight)``. Same tiling as :func:`intra_stats`; each
-    document's entries travel as two arrays (bounded by its number of terms)."""
+                       max_points: int | None = None, block: int = 256) -> DataFrame:
+    """:func:`intra_stats` for clustered points ``(cluster_id, doc_id)`` whose vectors are
+    long-form ``(doc_id, term_id, weight)``; in tiles each document's entries travel as two
+    arrays (bounded by its number of terms). A document without entries is a zero vector."""
     base = points.select(F.col("cluster_id").cast("int"), F.col("doc_id").alias("_id"))
-    if max_points is not None and max_points >= 0:
-        w = Window.partitionBy("cluster_id").orderBy("_id")
-        ranked = base.select("*", F.row_number().over(w).alias("rn")).where(F.col("rn") <= max_points)
-    else:
-        from canopus.operators.topk import member_ranks
-        ranked = member_ranks(base, "_id", "cluster_id").select(
-            "cluster_id", "_id", (F.col("member_rank") + 1).alias("rn"))
+    if max_points is None and measure in ("sq_euclidean", "cosine"):
+        w = F.col("weight")
+        norms = vecs.groupBy("doc_id").agg(F.sum(w * w).alias("x2")).select(F.col("doc_id").alias("_id"), "x2")
+        docs = base.join(norms, "_id", "left").withColumn("x2", F.coalesce("x2", F.lit(0.0)))
+        per = docs.groupBy("cluster_id").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"),
+                                             F.sum((F.col("x2") > 0).cast("double")).alias("m"))
+        entry = w if measure == "sq_euclidean" else F.when(F.col("x2") > 0, w / F.sqrt("x2")).otherwise(0.0)
+        v2 = (docs.join(vecs.withColumnRenamed("doc_id", "_id"), "_id").groupBy("cluster_id", "term_id").agg(F.sum(entry).alias("v"))
+              .groupBy("cluster_id").agg(F.sum(F.col("v") * F.col("v")).alias("v2")))
+        agg = per.join(v2, "cluster_id", "left").withColumn("v2", F.coalesce("v2", F.lit(0.0)))
+        total = (F.col("n") * F.col("x2") - F.col("v2") if measure == "sq_euclidean"
+                 else _cosine_sum(F.col("m"), F.col("n") - F.col("m"), F.col("v2")))
+        return _average_only(agg.select("cluster_id", "n", total.alias("s")))
+    ranked, sizes = _ranked(base, max_points)
     per_doc = vecs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_e"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("_e.term_id").alias("idx"),
                              F.col("_e.weight").alias("val"))
     ranked = ranked.join(per_doc, "_id", "left").select(
         "cluster_id", "_id", "rn", F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
         F.coalesce("val", F.array().cast("array<double>")).alias("val"))
-    sizes = ranked.groupBy("cluster_id").agg(F.count("*").alias("n_points"))
-    blk = F.floor((F.col("rn") - 1) / block).cast("int")
-    nb = F.floor((F.col("n_points") - 1) / block).cast("int")
-    tiles = (ranked.join(sizes, "cluster_id")
-             .select("cluster_id", "rn", "idx", "val", blk.alias("blk"), F.explode(F.sequence(F.lit(0), nb)).alias("o"))
-             .select("cluster_id", "rn", "idx", "val", "blk", F.least("blk", "o").alias("lo"),
-                     F.greatest("blk", "o").alias("hi")))
-    per_tile = tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_sparse_tile_fn(measure), TILE_SCHEMA)
-    agg = per_tile.groupBy("cluster_id").agg(
-        F.sum("n_pairs").alias("n_pairs"), F.sum("s").alias("s"), F.min("mn").alias("min_dist"),
-        F.max("mx").alias("max_dist"))
-    avg = F.try_divide(F.col("s"), F.col("n_pairs").cast("double"))
-    return (agg.join(sizes, "cluster_id")
-            .select("cluster_id", "n_points", "n_pairs", avg.alias("avg_dist"), "min_dist", "max_dist")
-            .withColumn("density", F.try_divide(F.col("avg_dist") - F.col("min_dist"),
-                                                F.col("max_dist") - F.col("min_dist"))))
+    tiles = _to_tiles(ranked, sizes, block, "idx", "val")
+    return _combine(tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_sparse_tile_fn(measure), TILE_SCHEMA), sizes)
 
 
 def inter_pairs_sparse(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
-    """Centre pairs for long-form centres ``(cluster_id, term_id, weight)``. The pair
-    skeleton is generated from the centre ids (k rows -> k(k-1)/2 pairs); dot products
-    come from equi-joins on (cluster_id, term_id); no self-join emits pairs per term."""
-    fn = distance(measure).sparse
-    if fn is None:
-        raise ValueError(f"measure {measure!r} has no sparse form")
-    norms = centers.groupBy("cluster_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n2"))
-    ids = norms.select("cluster_id")
-    ordered = sorted(r["cluster_id"] for r in ids.collect())  # k ids
-    lit = F.array(*[F.lit(int(i)) for i in ordered])
-    skeleton = ids.select(F.col("cluster_id").alias("cluster_id_1"), F.explode(lit).alias("cluster_id_2")).where(
-        F.col("cluster_id_2") > F.col("cluster_id_1"))
-    a = centers.select(F.col("cluster_id").alias("cluster_id_1"), "term_id", F.col("weight").alias("w1"))
-    b = centers.select(F.col("cluster_id").alias("cluster_id_2"), "term_id", F.col("weight").alias("w2"))
-    dots = (skeleton.join(a, "cluster_id_1").join(b, ["cluster_id_2", "term_id"])
-            .groupBy("cluster_id_1", "cluster_id_2").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot")))
-    n1 = norms.select(F.col("cluster_id").alias("cluster_id_1"), F.col("n2").alias("x2"))
-    n2 = norms.select(F.col("cluster_id").alias("cluster_id_2"), F.col("n2").alias("c2"))
-    out = skeleton.join(dots, ["cluster_id_1", "cluster_id_2"], "left").join(n1, "cluster_id_1").join(n2, "cluster_id_2")
-    return out.select("cluster_id_1", "cluster_id_2",
-                      fn(F.col("x2"), F.col("c2"), F.coalesce(F.col("dot"), F.lit(0.0))).alias("distance"))
+    """Centre pairs for long-form centres ``(cluster_id, term_id, weight)``. Centres travel as
+    one row of arrays each past blocks of centres (a broadcast of bounded size); a task emits
+    finished pairs only, no centre's terms are copied to its partners."""
+    from canopus.operators.canopy import _arrays, _sparse_distances, _sparse_measure, _tiles, sparse_rows
+    dist = _sparse_measure(measure)
+    rows = sparse_rows(centers, "cluster_id")
+    ids = [(r["id"], r["n"]) for r in rows.select("id", F.size("idx").alias("n")).orderBy("id").collect()]   # k rows
+    spark, out = centers.sparkSession, None
+    for part in _tiles([n for _, n in ids]):
+        lo, hi = ids[part.start][0], ids[part.stop - 1][0]
+        block = rows.where((F.col("id") >= lo) & (F.col("id") <= hi)).orderBy("id").collect()   # one block
+        shared = spark.sparkContext.broadcast((
+            np.array([r["id"] for r in block]), _arrays(([r["idx"] for r in block], [r["val"] for r in block]))))
+
+        def run(batches, shared=shared):
+            other, b = shared.value
+            for pdf in batches:
+                own = pdf["id"].to_numpy()
+                for i, d in _sparse_distances(_arrays((pdf["idx"], pdf["val"])), b, dist):
+                    x, y = np.nonzero(own[i:i + len(d), None] < other[None, :])
+                    yield pd.DataFrame({"cluster_id_1": own[i + x].astype("int32"), "cluster_id_2": other[y].astype("int32"),
+                                        "distance": d[x, y]})
+        pairs = rows.mapInPandas(run, "cluster_id_1 int, cluster_id_2 int, distance double")
+        out = pairs if out is None else out.unionByName(pairs)
+    return out if out is not None else spark.createDataFrame([], "cluster_id_1 int, cluster_id_2 int, distance double")

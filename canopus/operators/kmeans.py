@@ -10,8 +10,8 @@ A document sharing no term with a centre still gets that centre as a candidate
 (its dot product is 0). Empty clusters keep their previous centre. The loop stops when
 every centre moved by at most ``delta`` (in the chosen measure) or after ``max_iter``.
 
-Dense points are ``(point_id, vec ARRAY<DOUBLE>)``; the k centres (k x d values, size
-checked) travel inside the expression as a folded literal.
+Dense points are ``(point_id, vec ARRAY<DOUBLE>)``; a few small centres travel inside the
+expression as a folded literal, more of them as broadcast blocks.
 Only k-row tables (seed ids, per-cluster stats, dense centres) reach the driver.
 """
 
@@ -30,7 +30,8 @@ from canopus.config import KMeansConfig
 from canopus.functions.distance import distance
 from canopus.session import cut_lineage, write_bucketed
 
-DENSE_LITERAL_MAX = 2_000_000  # k x d values allowed as an inline literal
+DENSE_LITERAL_MAX = 4_096   # k x d values that may be inlined as a literal; beyond, blocks of centres are broadcast
+DENSE_BLOCK_VALUES = 4_000_000   # centre values sent to the tasks at once
 
 
 @dataclass
@@ -96,67 +97,69 @@ def assign_sparse_rows(points: DataFrame, cent: DataFrame, k: int, c2: list[floa
                          best["c"].alias("cluster_id"), best["d"].alias("distance"))
 
 
-def _nonsharing_order(c2: list[float], measure: str) -> tuple[list[int], list[int]]:
-    """Centre order in which a document's distance to centres it shares no term with
-    (dot product 0) never decreases, and for each position the last position whose
-    rounded distance can tie with it. Squared / plain Euclidean: x2 + c2 grows with c2
-    (values 1e-8 apart may round alike); cosine: every such distance is exactly 1."""
-    k = len(c2)
-    if measure == "cosine":
-        return list(range(k)), list(range(k))
-    order = sorted(range(k), key=lambda j: (c2[j], j))
-    ends, q = [], 0
-    for p in range(k):
-        q = max(q, p)
-        while q + 1 < k and c2[order[q + 1]] <= c2[order[p]] + 1e-8:
-            q += 1
-        ends.append(q)
-    return order, ends
-
-
-def assign_sparse_long(points: DataFrame, cent: DataFrame, k: int, c2: list[float], measure: str,
-                       broadcast: bool = True) -> DataFrame:
-    """Exact nearest-centre assignment for many centres, same output as
-    :func:`assign_sparse_rows`. Dot products exist only for the centres a document shares
-    a term with: ``points JOIN centres ON term_id`` summed per (doc, cluster) - on the
-    doc-bucketed points with broadcast centres no exchange is needed. The best centre
-    sharing no term is the first free position of a fixed centre order (see
-    :func:`_nonsharing_order`), found from the sorted positions of the shared ones."""
-    fn = distance(measure).sparse
+CENTER_BLOCK_VALUES = 2_000_000   # centre entries sent to the tasks at once
+
+
+def _center_blocks(cent: DataFrame, k: int, nnz: int) -> list[tuple[int, int]]:
+    """Runs ``[lo, hi)`` of cluster ids with about ``CENTER_BLOCK_VALUES`` entries each."""
+    n = max(1, min(k, math.ceil(nnz / CENTER_BLOCK_VALUES)))
+    return [(k * i // n, k * (i + 1) // n) for i in range(n)]
+
+
+def _best_in_block_fn(shared, lo: int, hi: int, dist):
+    """Updates the running best ``(distance, cluster_id)`` of document rows with the centres
+    ``lo`` to ``hi - 1``. A batch's dot products come from the centres' postings of its terms;
+    a centre sharing no term has dot product 0 and is a candidate like any other."""
+    def run(batches):
+        terms, starts, centers, weights, c2 = shared.value
+        for pdf in batches:
+            best_d = pdf["distance"].to_numpy(dtype=float, copy=True)
+            best_c = pdf["cluster_id"].to_numpy(dtype=np.int64, copy=True)
+            for i, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
+                idx, val = np.asarray(idx, dtype=np.int64), np.asarray(val, dtype=float)
+                at = np.searchsorted(terms, idx)
+                hit = np.flatnonzero((at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == idx)) if len(terms) else []
+                dots = np.zeros(hi - lo)
+                if len(hit):
+                    a, b = starts[at[hit]], starts[at[hit] + 1]
+                    n = b - a
+                    pos = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    dots = np.bincount(centers[pos], weights=np.repeat(val[hit], n) * weights[pos], minlength=hi - lo)
+                d = np.round(dist(float(val @ val), c2, dots), 9)
+                j = int(d.argmin())               # first minimum: lowest cluster id on ties
+                if best_c[i] < 0 or d[j] < best_d[i]:
+                    best_d[i], best_c[i] = d[j], lo + j
+            yield pdf.assign(distance=best_d, cluster_id=best_c.astype("int32"))
+    return run
+
+
+def nearest_center_rows(points: DataFrame, cent: DataFrame, k: int, c2: list[float], measure: str, nnz: int) -> DataFrame:
+    """Exact nearest centre for many centres: ``(doc_id, cluster_id, distance)``, one row per
+    document and nothing larger on the way. Documents travel as one row of arrays past
+    blocks of centre postings (each a broadcast of bounded size) and keep a running best."""
     part = distance(measure).parts
-    if fn is None or part is None:
+    if part is None:
         raise ValueError(f"measure {measure!r} has no sparse form (use sq_euclidean, euclidean or cosine)")
-    order, ends = _nonsharing_order(c2, measure)
-    pos_of = [0] * k
-    for p, j in enumerate(order):
-        pos_of[j] = p
-    c2a = F.array(*[F.lit(float(v)) for v in c2])
-    pos_a = F.array(*[F.lit(p) for p in pos_of])
-    ord_a = F.array(*[F.lit(j) for j in order])
-    end_a = F.array(*[F.lit(e) for e in ends])
-    zd = np.round(part(0.0, np.asarray(c2, dtype=float), 0.0), 9)
-    zero_best = F.struct(F.lit(float(zd.min())).alias("d"), F.lit(int(np.argmin(zd))).alias("c"))
-
-    w = F.col("weight")
-    docs = points.groupBy("doc_id").agg(F.sum(w * w).alias("_x2"), F.min("term_id").alias("_t0"))
-    c = cent.select("cluster_id", "term_id", F.col("weight").alias("_cw"))
-    dots = (points.join(F.broadcast(c) if broadcast else c, "term_id")
-            .groupBy("doc_id", "cluster_id").agg(F.sum(w * F.col("_cw")).alias("_dot")))
-    x2, cid = F.col("_x2"), F.col("cluster_id")
-    shared = dots.join(docs, "doc_id").select(
-        "doc_id", F.struct(F.round(fn(x2, c2a[cid], F.col("_dot")), 9).alias("d"), cid.alias("c")).alias("_b"),
-        pos_a[cid].alias("_p"))
-    per_doc = shared.groupBy("doc_id").agg(F.min("_b").alias("_bs"), F.array_sort(F.collect_list("_p")).alias("_P"))
-    full = docs.join(per_doc, "doc_id", "left")
-    P = F.coalesce(F.col("_P"), F.array().cast("array<int>"))
-    mex = F.coalesce(F.array_min(F.transform(P, lambda v, i: F.when(v != i, i))), F.size(P))
-    last = F.least(mex, F.lit(k - 1))
-    cands = F.when(mex < k, F.filter(F.sequence(last, end_a[last]), lambda q: ~F.array_contains(P, q)))
-    best_n = F.array_min(F.transform(cands, lambda q: F.struct(
-        F.round(fn(x2, c2a[ord_a[q]], F.lit(0.0)), 9).alias("d"), ord_a[q].alias("c"))))
-    best = F.least(F.col("_bs"), best_n, F.when(x2 == 0, zero_best))
-    picked = full.select("doc_id", "_t0", best["c"].alias("cluster_id"), best["d"].alias("distance"))
-    return points.join(picked, "doc_id").select(
+    e = F.array_sort(F.collect_list(F.struct("term_id", "weight")))
+    docs = points.groupBy("doc_id").agg(e.alias("_e")).select(
+        "doc_id", F.col("_e.term_id").alias("idx"), F.col("_e.weight").alias("val"),
+        F.lit(0.0).alias("distance"), F.lit(-1).alias("cluster_id"))
+    for lo, hi in _center_blocks(cent, k, nnz):
+        rows = cent.where((F.col("cluster_id") >= lo) & (F.col("cluster_id") < hi)).select("term_id", "cluster_id", "weight").toPandas()
+        rows = rows.sort_values(["term_id", "cluster_id"])   # one block's entries
+        terms, starts = np.unique(rows["term_id"].to_numpy(dtype=np.int64), return_index=True)
+        shared = points.sparkSession.sparkContext.broadcast((
+            terms, np.append(starts, len(rows)), rows["cluster_id"].to_numpy(dtype=np.int64) - lo,
+            rows["weight"].to_numpy(dtype=float), np.asarray(c2[lo:hi], dtype=float)))
+        docs = docs.mapInPandas(_best_in_block_fn(shared, lo, hi, part), docs.schema)
+    return docs.select("doc_id", "cluster_id", "distance")
+
+
+def assign_sparse_long(points: DataFrame, cent: DataFrame, k: int, c2: list[float], measure: str, nnz: int) -> DataFrame:
+    """:func:`nearest_center_rows` in the output form of :func:`assign_sparse_rows`."""
+    picked = nearest_center_rows(points, cent, k, c2, measure, nnz)
+    first = points.groupBy("doc_id").agg(F.min("term_id").alias("_t0"))
+    return points.join(picked, "doc_id").join(first, "doc_id").select(
         "doc_id", "term_id", "weight", (F.col("term_id") == F.col("_t0")).alias("_first"), "cluster_id", "distance")
 
 
@@ -184,28 +187,25 @@ def sparse_center_stats(old: DataFrame, new: DataFrame) -> dict[int, dict]:
     n = F.coalesce(F.col("n.weight"), F.lit(0.0))
     rows = (old.alias("o").join(new.alias("n"), ["cluster_id", "term_id"], "full")
             .groupBy("cluster_id").agg(
-                F.sum((o - n) * (o - n)).alias("diff2"), F.sum(o * o).alias("o2"), F.sum(n * n).alias("n2"),
-                F.sum(o * n).alias("dot"), F.sum(F.abs(o - n)).alias("l1"), F.max(F.abs(o - n)).alias("linf"),
+                F.sum(o * o).alias("o2"), F.sum(n * n).alias("n2"), F.sum(o * n).alias("dot"),
                 F.count(F.col("n.weight")).alias("nnz"))
             .collect())
     return {r["cluster_id"]: r.asDict() for r in rows}
 
 
-def _shift(st: dict, measure: str) -> float:
-    if measure == "sq_euclidean":
-        return st["diff2"]
-    if measure == "euclidean":
-        return math.sqrt(st["diff2"])
-    if measure == "manhattan":
-        return st["l1"]
-    if measure == "chebyshev":
-        return st["linf"]
-    if measure == "cosine":
-        den = math.sqrt(st["o2"]) * math.sqrt(st["n2"])
-        if den == 0:
-            return 0.0 if st["o2"] == 0 and st["n2"] == 0 else 1.0
-        return 1.0 - st["dot"] / max(den, st["dot"])
-    raise ValueError(f"no movement rule for measure {measure!r}")
+def sparse_shifts(spark, stats: dict[int, dict], k: int, measure: str) -> list[float]:
+    """Movement of every centre in the measure's own sparse form (k rows)."""
+    m = distance(measure)
+    rows = [(j, float(stats[j]["o2"]), float(stats[j]["n2"]), float(stats[j]["dot"])) for j in sorted(stats)]
+    if m.parts is not None:
+        o2, n2, dot = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+        moved = dict(zip([r[0] for r in rows], np.asarray(m.parts(o2, n2, dot)).tolist()))
+    elif rows:
+        d = m.sparse(F.col("o2"), F.col("n2"), F.col("dot")).alias("d")
+        moved = {r["j"]: r["d"] for r in spark.createDataFrame(rows, "j int, o2 double, n2 double, dot double").select("j", d).collect()}
+    else:
+        moved = {}
+    return [moved.get(j, 0.0) for j in range(k)]
 
 
 def seed_centroids_sparse(points: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -225,8 +225,8 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
     nnz = sum(s["nnz"] for s in st.values())
     it, converged, shifts = 0, False, []
     def assign(cent, c2, nnz):
-        if k > cfg.array_max_k:
-            return assign_sparse_long(pts, cent, k, c2, cfg.measure, nnz <= cfg.broadcast_max_values)
+        if k > cfg.array_max_k and distance(cfg.measure).parts is not None:
+            return assign_sparse_long(pts, cent, k, c2, cfg.measure, nnz)
         return assign_sparse_rows(pts, cent, k, c2, cfg.measure, nnz * k <= cfg.broadcast_max_values)
 
     for it in range(1, cfg.max_iter + 1):
@@ -234,7 +234,7 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
         sums = cut_lineage(centroid_sums(rows))          # the one pass over the points
         new = cut_lineage(update_sparse(rows, cent, sums))
         st = sparse_center_stats(cent, new)
-        moved = [_shift(st[j], cfg.measure) if j in st else 0.0 for j in range(k)]
+        moved = sparse_shifts(pts.sparkSession, st, k, cfg.measure)
         shifts.append(moved)
         cent, c2 = new, [st.get(j, {}).get("n2", 0.0) or 0.0 for j in range(k)]
         nnz = sum(s["nnz"] for s in st.values())
@@ -260,80 +260,84 @@ def _dense_literal(c) -> Column:
     return F.array(*[F.lit(float(v)) for v in c])
 
 
-def check_dense_size(k: int, d: int) -> None:
-    if k * d > DENSE_LITERAL_MAX:
-        raise ValueError(f"{k} centres x {d} dims exceed the inline limit {DENSE_LITERAL_MAX}; "
-                         "use the sparse long form")
-
-
-def _assign_batches_fn(centers: np.ndarray, measure: str, vec_col: str):
+def _best_dense_fn(shared, first: int, measure: str, vec_col: str):
     tile = distance(measure).tile
 
     def run(batches):
         for pdf in batches:
+            best_d = pdf["distance"].to_numpy(dtype=float, copy=True)
+            best_c = pdf["cluster_id"].to_numpy(dtype=np.int64, copy=True)
             if len(pdf):
                 x = np.stack([np.asarray(v, dtype=float) for v in pdf[vec_col]])
-                d = np.round(tile(x, centers), 9)
-                best = d.argmin(axis=1)              # first minimum: lowest cluster id on ties
-                pdf = pdf.assign(cluster_id=best.astype("int32"), distance=d[np.arange(len(best)), best])
-            else:
-                pdf = pdf.assign(cluster_id=pd.Series(dtype="int32"), distance=pd.Series(dtype="float64"))
-            yield pdf
+                d = np.round(tile(x, shared.value), 9)
+                j = d.argmin(axis=1)                 # first minimum: lowest cluster id on ties
+                dj = d[np.arange(len(j)), j]
+                better = (best_c < 0) | (dj < best_d)
+                best_d, best_c = np.where(better, dj, best_d), np.where(better, j + first, best_c)
+            yield pdf.assign(distance=best_d, cluster_id=best_c.astype("int32"))
     return run
 
 
 def assign_dense(points: DataFrame, centers: list, measure: str, vec_col: str = "vec",
                  max_k_expr: int = 32) -> DataFrame:
-    """Adds ``cluster_id`` and ``distance`` (9 dp) to every point. Up to ``max_k_expr``
-    centres the distances are built-in expressions over inlined centres; beyond that one
-    expression per centre would swamp the planner, so Arrow batches of points are
-    compared with the (size-checked) centre matrix in numpy."""
-    check_dense_size(len(centers), len(centers[0]) if centers else 0)
-    if len(centers) > max_k_expr:
-        schema = T.StructType(points.schema.fields + [T.StructField("cluster_id", T.IntegerType()),
-                                                      T.StructField("distance", T.DoubleType())])
-        return points.mapInPandas(_assign_batches_fn(np.asarray(centers, dtype=float), measure, vec_col), schema)
-    fn = distance(measure).dense
-    cand = F.array(*[F.struct(F.round(fn(F.col(vec_col), _dense_literal(c)), 9).alias("d"),
-                              F.lit(j).alias("c")) for j, c in enumerate(centers)])
-    best = F.array_min(cand)
-    return points.select("*", best["c"].alias("cluster_id"), best["d"].alias("distance"))
-
-
-def dense_means(assigned: DataFrame, d: int, vec_col: str = "vec") -> dict[int, tuple[int, list[float]]]:
+    """Adds ``cluster_id`` and ``distance`` (9 dp) to every point. A few small centres are
+    inlined and compared by built-in expressions. Beyond that Arrow batches of points go past
+    blocks of centres (each a broadcast of bounded size) and keep a running best, so neither
+    the plan nor a task's memory grows with the number of centres."""
+    k, d = len(centers), len(centers[0]) if centers else 0
+    m = distance(measure)
+    if m.tile is None or (k <= max_k_expr and k * d <= DENSE_LITERAL_MAX):
+        cand = F.array(*[F.struct(F.round(m.dense(F.col(vec_col), _dense_literal(c)), 9).alias("d"),
+                                  F.lit(j).alias("c")) for j, c in enumerate(centers)])
+        best = F.array_min(cand)
+        return points.select("*", best["c"].alias("cluster_id"), best["d"].alias("distance"))
+    out = points.withColumn("cluster_id", F.lit(-1)).withColumn("distance", F.lit(0.0))
+    step = max(1, DENSE_BLOCK_VALUES // max(1, d))
+    for first in range(0, k, step):
+        block = np.asarray(centers[first:first + step], dtype=float)
+        out = out.mapInPandas(_best_dense_fn(points.sparkSession.sparkContext.broadcast(block), first, measure, vec_col), out.schema)
+    return out
+
+
+def dense_means(assigned: DataFrame, vec_col: str = "vec") -> dict[int, tuple[int, list[float]]]:
+    """Size and mean per cluster, partial sums of whole vectors (k rows)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     rows = assigned.groupBy("cluster_id").agg(
-        F.count("*").alias("n"), *[F.avg(F.col(vec_col)[i]).alias(f"m{i}") for i in range(d)]).collect()
-    return {r["cluster_id"]: (r["n"], [r[f"m{i}"] for i in range(d)]) for r in rows}
+        F.count("*").alias("n"), vector_to_array(Summarizer.mean(array_to_vector(vec_col))).alias("m")).collect()
+    return {r["cluster_id"]: (r["n"], list(r["m"])) for r in rows}
 
 
-def _np_shift(a, b, measure: str) -> float:
-    t = distance(measure).tile
-    return float(t(np.asarray([a], dtype=float), np.asarray([b], dtype=float))[0, 0])
+def dense_shifts(spark, old: list, new: list, measure: str) -> list[float]:
+    """Movement of every centre in the measure itself."""
+    m = distance(measure)
+    if m.tile is not None:
+        return [float(m.tile(np.asarray([a], dtype=float), np.asarray([b], dtype=float))[0, 0]) for a, b in zip(old, new)]
+    rows = spark.createDataFrame([(j, list(a), list(b)) for j, (a, b) in enumerate(zip(old, new))], "j int, a array<double>, b array<double>")
+    return [r["d"] for r in rows.select("j", m.dense(F.col("a"), F.col("b")).alias("d")).orderBy("j").collect()]
 
 
 def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansConfig(),
                  id_col: str = "point_id", vec_col: str = "vec") -> KMeansResult:
     pts = cut_lineage(points.select(id_col, vec_col))
     centers = [list(map(float, c)) for c in centers]
-    k, d = len(centers), len(centers[0])
-    check_dense_size(k, d)
-    sizes = {j: 0 for j in range(k)}
+    k = len(centers)
     it, converged, shifts = 0, False, []
     for it in range(1, cfg.max_iter + 1):
-        means = dense_means(assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k), d, vec_col)
+        means = dense_means(assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k), vec_col)
         new = [means[j][1] if j in means else centers[j] for j in range(k)]
-        sizes = {j: (means[j][0] if j in means else 0) for j in range(k)}
-        moved = [_np_shift(centers[j], new[j], cfg.measure) for j in range(k)]
+        moved = dense_shifts(pts.sparkSession, centers, new, cfg.measure)
         shifts.append(moved)
         centers = new
         if all(m <= cfg.delta for m in moved):
             converged = True
             break
-    final = assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k)
+    final = cut_lineage(assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k))
+    sizes = {r["cluster_id"]: r["count"] for r in final.groupBy("cluster_id").count().collect()}   # of the final centres
     out = (final.select("cluster_id", id_col, F.lit(1.0).alias("weight"), "distance")
            .where(F.col("weight") >= F.lit(cfg.threshold)))
     spark = points.sparkSession
-    cdf = spark.createDataFrame([(j, int(sizes[j]), centers[j]) for j in range(k)],
+    cdf = spark.createDataFrame([(j, int(sizes.get(j, 0)), centers[j]) for j in range(k)],
                                 "cluster_id int, n long, center array<double>")
     return KMeansResult(cdf, out, it, converged, shifts)
 

@@ -9,7 +9,6 @@ report) stay readable.
 from __future__ import annotations
 
 from canopus.config import KMeansConfig, VectorizeConfig
-from canopus.functions.stopwords import stop_pattern
 
 WS = r"[ \t\n\x0B\f\r]+"
 
@@ -18,6 +17,13 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def stop_pattern(terms, years: bool) -> str:
+    """Written from the specification: each literal any number of times, in the given order; or a
+    year of 19xx or 20xx with any number of year signs."""
+    literals = "".join("(?:" + "".join("\\" + c if c in r".^$*+?()[]{}|\\" else c for c in t) + ")*" for t in terms)
+    return f"(?:{literals})" + ("|(?:19|20)[0-9]{2}年*" if years else "")
+
+
 def tagdocs_ctes(cfg: VectorizeConfig = VectorizeConfig()) -> list[str]:
     drop = 1 if cfg.drop_last_field else 0
     pat = _q(stop_pattern(cfg.stop_terms, cfg.drop_years))
@@ -176,15 +182,16 @@ def seeds_sql(ids_table: str, id_col: str, k: int, seed: int) -> str:
             f"ORDER BY h, {id_col} LIMIT {k})")
 
 
-def kmeans_sparse_ctes(cfg: KMeansConfig, pts: str = "tfidf", seeds: str | None = None) -> list[str]:
+def kmeans_sparse_ctes(cfg: KMeansConfig, pts: str = "tfidf", centers: str | None = None) -> list[str]:
     """Produces ``km_cent`` (cluster_id, term_id, weight), ``km_asg`` (doc_id, cluster_id, d),
     ``km_iters`` (iterations run)."""
     m = cfg.measure
     ctes = [
         f"km_x2 AS (SELECT doc_id, sum(weight * weight) AS x2 FROM {pts} GROUP BY doc_id)",
-        f"km_seeds AS ({seeds or seeds_sql('km_x2', 'doc_id', cfg.k, cfg.seed)})",
-        "km_ids AS (SELECT DISTINCT cluster_id FROM km_seeds)",
-        f"c0 AS (SELECT s.cluster_id, p.term_id, p.weight FROM km_seeds s JOIN {pts} p USING (doc_id))",
+        *([f"c0 AS (SELECT cluster_id, term_id, weight FROM {centers})"] if centers else [
+            f"km_seeds AS ({seeds_sql('km_x2', 'doc_id', cfg.k, cfg.seed)})",
+            f"c0 AS (SELECT s.cluster_id, p.term_id, p.weight FROM km_seeds s JOIN {pts} p USING (doc_id))"]),
+        "km_ids AS (SELECT DISTINCT cluster_id FROM c0)",
         "stop0 AS (SELECT false AS done, 0 AS iters)",
     ]
 
@@ -223,13 +230,14 @@ def kmeans_sparse_ctes(cfg: KMeansConfig, pts: str = "tfidf", seeds: str | None
     return ctes
 
 
-def kmeans_dense_ctes(cfg: KMeansConfig, pts: str = "emb") -> list[str]:
+def kmeans_dense_ctes(cfg: KMeansConfig, pts: str = "emb", centers: str | None = None) -> list[str]:
     """``pts`` has (point_id, vec DOUBLE[]). Produces ``kd_cent`` (cluster_id, center) and
     ``kd_asg`` (point_id, cluster_id, d)."""
     m = cfg.measure
     ctes = [
-        f"kd_seeds AS ({seeds_sql(pts, 'point_id', cfg.k, cfg.seed)})",
-        f"d0 AS (SELECT s.cluster_id, p.vec AS center FROM kd_seeds s JOIN {pts} p USING (point_id))",
+        *([f"d0 AS (SELECT cluster_id, center FROM {centers})"] if centers else [
+            f"kd_seeds AS ({seeds_sql(pts, 'point_id', cfg.k, cfg.seed)})",
+            f"d0 AS (SELECT s.cluster_id, p.vec AS center FROM kd_seeds s JOIN {pts} p USING (point_id))"]),
         "dstop0 AS (SELECT false AS done)",
         f"dims AS (SELECT unnest(range(1, (SELECT max(len(vec)) FROM {pts}) + 1)) AS i)",
     ]
@@ -281,11 +289,11 @@ def _intra_ctes(cap: int) -> list[str]:
     return [
         f"capped AS (SELECT label AS cluster_id, point_id, vec, row_number() OVER (PARTITION BY label ORDER BY point_id) AS rn "
         f"FROM emb QUALIFY rn <= {cap})",
-        "isizes AS (SELECT cluster_id, count(*) AS n_points FROM capped GROUP BY cluster_id)",
+        f"isizes AS (SELECT label AS cluster_id, count(*) AS n_total, least(count(*), {cap}) AS n_used FROM emb GROUP BY label)",
         f"ipairs AS (SELECT a.cluster_id, {dense_dist('sq_euclidean', 'a.vec', 'b.vec')} AS d FROM capped a "
         f"JOIN capped b ON a.cluster_id = b.cluster_id AND a.rn < b.rn)",
         "iagg AS (SELECT cluster_id, count(*) AS n_pairs, sum(d) AS s, min(d) AS mn, max(d) AS mx FROM ipairs GROUP BY cluster_id)",
-        "intra AS (SELECT s.cluster_id, s.n_points, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
+        "intra AS (SELECT s.cluster_id, s.n_total, s.n_used, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
         "a.mn AS min_dist, a.mx AS max_dist, (a.s / nullif(a.n_pairs, 0) - a.mn) / nullif(a.mx - a.mn, 0) AS density "
         "FROM isizes s LEFT JOIN iagg a USING (cluster_id))",
         "inter AS (SELECT count(*) AS n_pairs, max(d) AS max_dist, min(d) AS min_dist, sum(d) / nullif(count(*), 0) AS avg_dist, "
@@ -355,9 +363,18 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
         "members": with_(rep, "SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) - 1 "
                               "AS member_rank FROM clustered"),
         "cluster_sizes": with_(rep, "SELECT cluster_id, n FROM csizes"),
-        "intra_stats": with_(emb_intra, "SELECT cluster_id, n_points, n_pairs, round(avg_dist, 6) AS avg_dist, "
+        "intra_stats": with_(emb_intra, "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist, "
                                         "round(min_dist, 6) AS min_dist, round(max_dist, 6) AS max_dist, "
                                         "round(density, 6) AS density FROM intra"),
+        "intra_stats_capped": with_(_label_centers_cte() + _intra_ctes(CAP),
+                                    "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist, round(min_dist, 6) "
+                                    "AS min_dist, round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM intra"),
+        "intra_avg_full": with_(_label_centers_cte() + _intra_ctes(10**12),
+                                "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM intra"),
+        "intra_avg_full_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, 10**12),
+                                       "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM sintra"),
+        "kmeans_dense_manhattan": with_([EMB_CTE] + kmeans_dense_ctes(KM_DENSE.with_(measure="manhattan")),
+                                        "SELECT cluster_id, point_id, round(d, 4) AS distance FROM kd_asg"),
         "inter_pairs": with_(_label_centers_cte(), "SELECT cluster_id_1, cluster_id_2, round(d, 6) AS distance FROM lpairs"),
         "inter_stats": with_(emb_intra, "SELECT n_pairs, round(max_dist, 6) AS max_dist, round(min_dist, 6) AS min_dist, "
                                         "round(avg_dist, 6) AS avg_dist, round(density, 6) AS density FROM inter"),
@@ -373,7 +390,7 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
             f"SELECT 3, cluster_id_1, cluster_id_2, 'The distance between cluster : ' || cluster_id_1 || ' and cluster : ' "
             f"|| cluster_id_2 || ' is ' || {_fmt('d')} FROM lpairs"])),
         "intra_stats_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
-                                    "SELECT cluster_id, n_points, n_pairs, round(avg_dist, 6) AS avg_dist, round(min_dist, 6) "
+                                    "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist, round(min_dist, 6) "
                                     "AS min_dist, round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM sintra"),
         "inter_pairs_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
                                     "SELECT cluster_id_1, cluster_id_2, round(d, 6) AS distance FROM spairs"),
@@ -428,9 +445,9 @@ def sparse_eval_ctes(measure: str, cap: int) -> list[str]:
         "ON a.cluster_id = b.cluster_id AND a.term_id = b.term_id AND a.rn < b.rn GROUP BY a.cluster_id, a.rn, b.rn)",
         f"sipairs AS (SELECT a.cluster_id, {d} AS d FROM snrm a JOIN snrm b ON a.cluster_id = b.cluster_id AND a.rn < b.rn "
         f"LEFT JOIN sdots dt ON dt.cluster_id = a.cluster_id AND dt.r1 = a.rn AND dt.r2 = b.rn)",
-        "sisz AS (SELECT cluster_id, count(*) AS n_points FROM scap GROUP BY cluster_id)",
+        f"sisz AS (SELECT cluster_id, count(*) AS n_total, least(count(*), {cap}) AS n_used FROM clustered GROUP BY cluster_id)",
         "siagg AS (SELECT cluster_id, count(*) AS n_pairs, sum(d) AS s, min(d) AS mn, max(d) AS mx FROM sipairs GROUP BY cluster_id)",
-        "sintra AS (SELECT s.cluster_id, s.n_points, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
+        "sintra AS (SELECT s.cluster_id, s.n_total, s.n_used, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
         "a.mn AS min_dist, a.mx AS max_dist, (a.s / nullif(a.n_pairs, 0) - a.mn) / nullif(a.mx - a.mn, 0) AS density "
         "FROM sisz s LEFT JOIN siagg a USING (cluster_id))",
         "scn AS (SELECT cluster_id, sum(weight * weight) AS n2 FROM km_cent GROUP BY cluster_id)",
@@ -458,3 +475,80 @@ def estimate_t_sparse_sql(cfg: VectorizeConfig, km: KMeansConfig) -> str:
         f"SELECT (SELECT m FROM ns) AS n_sample, round(sum(d) / count(*), 6) AS avg_distance, "
         f"round(sum(d) / count(*) * {km.canopy_factor}, 6) AS t1, "
         f"round(sum(d) / count(*) * {km.canopy_factor} / 2, 6) AS t2 FROM cons")
+
+
+# ----------------------------------------------------------------------------- canopies
+
+def _founder_ctes(near: str, n: str) -> list[str]:
+    """The sequential greedy pass over points numbered from 1 in id order. ``near`` has the
+    pairs (r1 < r2) closer than T2. The state is the list of founders so far. Produces
+    ``founder(cluster_id, rn)``."""
+    return [
+        f"prev AS (SELECT r2 AS rn, list(r1) AS before FROM {near} GROUP BY r2)",
+        f"steps(rn, founders) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT s.rn + 1, CASE WHEN "
+        f"list_has_any(coalesce(p.before, []::BIGINT[]), s.founders) THEN s.founders ELSE list_append(s.founders, s.rn + 1) END "
+        f"FROM steps s LEFT JOIN prev p ON p.rn = s.rn + 1 WHERE s.rn < (SELECT {n}))",
+        f"founder AS (SELECT CAST(unnest(range(len(founders))) AS INTEGER) AS cluster_id, unnest(founders) AS rn "
+        f"FROM steps WHERE rn = (SELECT {n}))",
+    ]
+
+
+def canopy_dense_ctes(cfg: KMeansConfig) -> list[str]:
+    """``cano(cluster_id, center)`` over the embeddings."""
+    d = dense_dist("sq_euclidean", "a.vec", "b.vec")
+    return [
+        EMB_CTE,
+        f"ns AS (SELECT count(*) // {round(1 / cfg.canopy_fraction)} AS m FROM emb)",
+        f"smp AS (SELECT point_id, vec, row_number() OVER (ORDER BY md5(concat_ws('|', '{cfg.seed}', "
+        f"CAST(point_id AS VARCHAR))), point_id) - 1 AS r FROM emb QUALIFY r < (SELECT m FROM ns))",
+        f"cons AS (SELECT {d} AS d FROM smp a JOIN smp b ON b.r = a.r + 1)",
+        f"t AS (SELECT sum(d) / count(*) * {cfg.canopy_factor} AS t1, sum(d) / count(*) * {cfg.canopy_factor} / 2 AS t2 FROM cons)",
+        "ord AS (SELECT point_id, vec, row_number() OVER (ORDER BY point_id) AS rn FROM emb)",
+        f"pd AS (SELECT a.rn AS r1, b.rn AS r2, {d} AS d FROM ord a JOIN ord b ON a.rn < b.rn)",
+        "near AS (SELECT r1, r2 FROM pd, t WHERE d < t2)",
+        *_founder_ctes("near", "max(rn) FROM ord"),
+        "member AS (SELECT f.cluster_id, f.rn FROM founder f UNION ALL SELECT f.cluster_id, p.r2 FROM founder f "
+        "JOIN pd p ON p.r1 = f.rn, t WHERE p.d < t1 UNION ALL SELECT f.cluster_id, p.r1 FROM founder f JOIN pd p ON p.r2 = f.rn, t WHERE p.d < t1)",
+        "cdims AS (SELECT unnest(range(1, (SELECT max(len(vec)) FROM emb) + 1)) AS i)",
+        "cano AS (SELECT cluster_id, list(v ORDER BY i) AS center FROM (SELECT m.cluster_id, cdims.i, avg(o.vec[cdims.i]) AS v "
+        "FROM member m JOIN ord o USING (rn) CROSS JOIN cdims GROUP BY m.cluster_id, cdims.i) GROUP BY cluster_id)",
+    ]
+
+
+def canopy_sparse_ctes(v: VectorizeConfig, cfg: KMeansConfig) -> list[str]:
+    """``cano(cluster_id, term_id, weight)`` over the TF-IDF vectors."""
+    d = sparse_dist(cfg.measure, "a.x2", "b.x2", "coalesce(dt.dot, 0.0)")
+    return vectorize_ctes(v) + [
+        "ids AS (SELECT DISTINCT doc_id FROM tfidf)",
+        f"ns AS (SELECT count(*) // {round(1 / cfg.canopy_fraction)} AS m FROM ids)",
+        "ord AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM ids)",
+        "ov AS (SELECT o.rn, t.term_id, t.weight AS w FROM ord o JOIN tfidf t USING (doc_id))",
+        "onrm AS (SELECT rn, sum(w * w) AS x2 FROM ov GROUP BY rn)",
+        "odot AS (SELECT a.rn AS r1, b.rn AS r2, sum(a.w * b.w) AS dot FROM ov a JOIN ov b ON a.term_id = b.term_id "
+        "AND a.rn < b.rn GROUP BY a.rn, b.rn)",
+        f"pd AS (SELECT a.rn AS r1, b.rn AS r2, {d} AS d FROM onrm a JOIN onrm b ON a.rn < b.rn "
+        f"LEFT JOIN odot dt ON dt.r1 = a.rn AND dt.r2 = b.rn)",
+        f"smp AS (SELECT o.rn, row_number() OVER (ORDER BY md5(concat_ws('|', '{cfg.seed}', CAST(o.doc_id AS VARCHAR))), o.doc_id) - 1 "
+        f"AS r FROM ord o QUALIFY r < (SELECT m FROM ns))",
+        "cons AS (SELECT p.d FROM smp a JOIN smp b ON b.r = a.r + 1 JOIN pd p ON p.r1 = least(a.rn, b.rn) AND p.r2 = greatest(a.rn, b.rn))",
+        f"t AS (SELECT sum(d) / count(*) * {cfg.canopy_factor} AS t1, sum(d) / count(*) * {cfg.canopy_factor} / 2 AS t2 FROM cons)",
+        "near AS (SELECT r1, r2 FROM pd, t WHERE d < t2)",
+        *_founder_ctes("near", "max(rn) FROM ord"),
+        "member AS (SELECT f.cluster_id, f.rn FROM founder f UNION ALL SELECT f.cluster_id, p.r2 FROM founder f "
+        "JOIN pd p ON p.r1 = f.rn, t WHERE p.d < t1 UNION ALL SELECT f.cluster_id, p.r1 FROM founder f JOIN pd p ON p.r2 = f.rn, t WHERE p.d < t1)",
+        "msize AS (SELECT cluster_id, count(*) AS n FROM member GROUP BY cluster_id)",
+        "cano AS (SELECT m.cluster_id, o.term_id, sum(o.w) / any_value(s.n) AS weight FROM member m JOIN ov o USING (rn) "
+        "JOIN msize s USING (cluster_id) GROUP BY m.cluster_id, o.term_id)",
+    ]
+
+
+def canopy_queries(v: VectorizeConfig, dense: KMeansConfig, sparse: KMeansConfig) -> dict[str, str]:
+    recursive = lambda ctes, select: with_(ctes, select).replace("WITH ", "WITH RECURSIVE ", 1)
+    return {
+        "canopy_centers": recursive(canopy_dense_ctes(dense), "SELECT cluster_id, list_transform(center, lambda x: round(x, 6)) AS center FROM cano"),
+        "kmeans_canopy": recursive(canopy_dense_ctes(dense) + kmeans_dense_ctes(dense, centers="cano"),
+                                   "SELECT cluster_id, point_id, round(d, 4) AS distance FROM kd_asg"),
+        "canopy_centers_sparse": recursive(canopy_sparse_ctes(v, sparse), "SELECT cluster_id, term_id, round(weight, 6) AS weight FROM cano"),
+        "kmeans_canopy_sparse": recursive(canopy_sparse_ctes(v, sparse) + kmeans_sparse_ctes(sparse, centers="cano"),
+                                          "SELECT cluster_id, doc_id, round(d, 4) AS distance FROM km_asg"),
+    }

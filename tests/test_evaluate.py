@@ -17,7 +17,7 @@ def test_h4_intra(spark):
     pts = _pts(spark, [(0, 1, 0), (0, 2, 1), (0, 3, 3), (1, 4, 10), (1, 5, 12), (2, 6, 20)])
     got = {r["cluster_id"]: r for r in ev.intra_stats(pts, "sq_euclidean", 1000).collect()}
     c0 = got[0]
-    assert (c0["n_points"], c0["n_pairs"]) == (3, 3)
+    assert (c0["n_used"], c0["n_pairs"]) == (3, 3)
     assert c0["avg_dist"] == pytest.approx(14 / 3) and c0["min_dist"] == 1 and c0["max_dist"] == 9
     assert c0["density"] == pytest.approx((14 / 3 - 1) / 8)
     assert got[1]["avg_dist"] == 4 and got[1]["density"] is None
@@ -41,7 +41,7 @@ def test_h6_pairs_are_unordered(spark):
     assert keys == [(11, 22), (11, 33), (22, 33)]
 
 
-@pytest.mark.parametrize("cap,block", [(None, 3), (7, 2), (1000, 256)])
+@pytest.mark.parametrize("cap,block", [(None, 3), (7, 2), (1000, 256)])   # None: closed form
 def test_tiles_match_brute_force(spark, cap, block):
     rng = np.random.default_rng(11)
     rows = [(int(c), int(i), rng.normal(size=3).tolist()) for i, c in enumerate(rng.integers(0, 3, size=40))]
@@ -54,7 +54,21 @@ def test_tiles_match_brute_force(spark, cap, block):
         d = [float(((a - b) ** 2).sum()) for a, b in itertools.combinations(vs, 2)]
         assert got[c]["n_pairs"] == len(d)
         assert got[c]["avg_dist"] == pytest.approx(sum(d) / len(d))
-        assert got[c]["min_dist"] == pytest.approx(min(d)) and got[c]["max_dist"] == pytest.approx(max(d))
+        assert (got[c]["n_total"], got[c]["n_used"]) == (sum(cc == c for cc, _, _ in rows), len(vs))
+        if cap is None:
+            assert got[c]["min_dist"] is None and got[c]["max_dist"] is None and got[c]["density"] is None
+        else:
+            assert got[c]["min_dist"] == pytest.approx(min(d)) and got[c]["max_dist"] == pytest.approx(max(d))
+
+
+def test_closed_form_cosine_with_zero_vectors(spark):
+    vs = [[1.0, 0.0], [0.0, 2.0], [0.0, 0.0], [0.0, 0.0], [3.0, 3.0]]
+    df = spark.createDataFrame([(0, i, v) for i, v in enumerate(vs)], "cluster_id int, point_id long, vec array<double>")
+    exact = ev.intra_stats(df, "cosine", 100).first()
+    assert ev.intra_stats(df, "cosine").first()["avg_dist"] == pytest.approx(exact["avg_dist"])
+    long = spark.createDataFrame([(i, t, w) for i, v in enumerate(vs) for t, w in enumerate(v) if w], "doc_id long, term_id int, weight double")
+    pts = df.select("cluster_id", F.col("point_id").alias("doc_id"))
+    assert ev.intra_stats_sparse(pts, long, "cosine").first()["avg_dist"] == pytest.approx(exact["avg_dist"])
 
 
 def test_report_lines(spark):

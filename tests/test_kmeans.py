@@ -96,7 +96,7 @@ def test_unknown_measure(spark):
 
 
 @pytest.mark.parametrize("measure", ["sq_euclidean", "cosine"])
-def test_long_form_assignment_equals_array_form(spark, measure):
+def test_long_form_assignment_equals_array_form(spark, measure, monkeypatch):
     import numpy as np
     from canopus.operators import kmeans as km
     rng = np.random.default_rng(5)
@@ -108,18 +108,54 @@ def test_long_form_assignment_equals_array_form(spark, measure):
     cent = spark.createDataFrame(cent_rows, "cluster_id int, term_id int, weight double")
     c2 = [sum(w * w for c, _, w in cent_rows if c == j) for j in range(12)]
     a = km.assign_sparse_rows(pts, cent, 12, c2, measure).where("_first").select("doc_id", "cluster_id", "distance")
-    for bc in (True, False):
-        b = km.assign_sparse_long(pts, cent, 12, c2, measure, bc).where("_first").select("doc_id", "cluster_id", "distance")
+    for block in (km.CENTER_BLOCK_VALUES, 8):
+        monkeypatch.setattr(km, "CENTER_BLOCK_VALUES", block)
+        b = km.nearest_center_rows(pts, cent, 12, c2, measure, len(cent_rows))
         assert sorted(a.collect()) == sorted(b.collect())
 
 
 @pytest.mark.parametrize("measure", ["sq_euclidean", "cosine", "manhattan"])
-def test_dense_batch_assignment_equals_expressions(spark, measure):
+def test_dense_batch_assignment_equals_expressions(spark, measure, monkeypatch):
     from canopus.operators import kmeans as km
     rng = np.random.default_rng(9)
     pts = spark.createDataFrame([(i, [float(x) for x in rng.integers(0, 4, size=5)]) for i in range(120)],
                                 "point_id long, vec array<double>")
     centers = [[float(x) for x in rng.integers(0, 4, size=5)] for _ in range(6)] + [[1.0] * 5, [1.0] * 5]
     a = km.assign_dense(pts, centers, measure).select("point_id", "cluster_id", "distance")
-    b = km.assign_dense(pts, centers, measure, max_k_expr=0).select("point_id", "cluster_id", "distance")
-    assert sorted(a.collect()) == sorted(b.collect())
+    for block in (km.DENSE_BLOCK_VALUES, 10):
+        monkeypatch.setattr(km, "DENSE_BLOCK_VALUES", block)
+        b = km.assign_dense(pts, centers, measure, max_k_expr=0).select("point_id", "cluster_id", "distance")
+        assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_many_dense_centers_plan_quickly(spark):
+    import time
+    from canopus.operators import evaluate as ev
+    from canopus.operators import kmeans as km
+    rng = np.random.default_rng(2)
+    centers = rng.normal(size=(32, 1024)).tolist()
+    pts = spark.createDataFrame([(i, c) for i, c in enumerate(centers)], "point_id long, vec array<double>")
+    t = time.time()
+    got = km.assign_dense(pts, centers, "sq_euclidean")
+    pairs = ev.inter_pairs(pts.select(F.col("point_id").cast("int").alias("cluster_id"), F.col("vec").alias("center")))
+    got._jdf.queryExecution().executedPlan(), pairs._jdf.queryExecution().executedPlan()
+    assert time.time() - t < 10
+    assert [r["cluster_id"] for r in got.orderBy("point_id").collect()] == list(range(32))
+    assert pairs.count() == 32 * 31 // 2
+    big = km.assign_dense(pts.limit(3), centers * 64, "sq_euclidean")   # 2,097,152 values
+    assert big.count() == 3
+
+
+def test_custom_measure_runs_both_forms(spark):
+    from canopus.config import KMeansConfig
+    from canopus.functions.distance import distance, register_distance
+    from canopus.operators import kmeans as km
+    sq = distance("sq_euclidean")
+    register_distance("halved", lambda x, c: sq.dense(x, c) / 2, lambda x2, c2, dot: sq.sparse(x2, c2, dot) / 2)
+    pts = spark.createDataFrame([(i, [float(i % 2) * 9, float(i)]) for i in range(20)], "point_id long, vec array<double>")
+    a = km.kmeans_dense_random(pts, KMeansConfig(k=2, measure="halved", max_iter=4))
+    b = km.kmeans_dense_random(pts, KMeansConfig(k=2, max_iter=4, delta=0.02))
+    assert {r["point_id"]: r["cluster_id"] for r in a.points.collect()} == {r["point_id"]: r["cluster_id"] for r in b.points.collect()}
+    vecs = spark.createDataFrame([(f"d{i}", t, 1.0 + i % 3) for i in range(12) for t in range(i % 2, 6, 2)], "doc_id string, term_id int, weight double")
+    s = km.kmeans_sparse_random(vecs, KMeansConfig(k=2, measure="halved", max_iter=3, array_max_k=0))
+    assert s.points.count() == 12 and len(s.shifts[0]) == 2
