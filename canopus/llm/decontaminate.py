@@ -74,7 +74,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
     postings = rows.select("row", "doc_id", "text_key", "n_words", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("pos", "term"))
     own = F.col("pos") == 0
     return cut_lineage(postings.join(known, "term").select(
-        "row", F.col("term_id").cast("int").alias("term_id"), "pos", *(F.when(own, F.col(c)).alias(c) for c in ("doc_id", "text_key", "n_words"))),
+        "row", "term_id", "pos", *(F.when(own, F.col(c)).alias(c) for c in ("doc_id", "text_key", "n_words"))),
         "postings")
 
 
