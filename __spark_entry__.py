@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,9 +28,17 @@ from canopus.operators import ngrams as ng  # noqa: E402
 from canopus.operators import topk as tk  # noqa: E402
 from canopus.operators import vectorize as vz  # noqa: E402
 from canopus.plans import reports as rp  # noqa: E402
-from canopus.session import ship_package  # noqa: E402
+from canopus.session import ensure_checkpoint_dir, ship_package  # noqa: E402
+from canopus.sources import stages  # noqa: E402
 from canopus.sources.points import read_embeddings  # noqa: E402
-from canopus.sources.tags import documents_tag_docs, tag_tokens  # noqa: E402
+from canopus.sources.tags import (  # noqa: E402
+    documents_as_tag_lines,
+    documents_tag_docs,
+    parse_tag_lines,
+    read_documents,
+    read_tag_lines,
+    tag_tokens,
+)  # noqa: E402
 
 
 def _optional(module: str):
@@ -57,6 +66,9 @@ KM_SPARSE_CANOPY = KM_WORKED.with_(measure="sq_euclidean")             # canopy
 DUMP = DumpConfig(top_n=50, line_points=100)
 CAP = 25
 EVAL_CAP = 1000
+EMPTY_WEIGHT = 0.5      # centre of a cluster that stays empty, on the first term
+SUBSTRING = 3
+THRESHOLD = 0.52        # of 1 / (1 + distance)
 
 _memo: dict = {}
 
@@ -334,28 +346,84 @@ def q_evaluate_report(spark, sf):
     return ev.evaluation_report(intra, ev.inter_stats(pairs), pairs)
 
 
-def q_report_text(spark, sf):
-    pts = _clustered(spark, sf)
-    return rp.report_text(_top_terms(spark, sf), pts, tk.cluster_sizes(pts), DUMP)
+def _model(spark, sf, empty: bool):
+    """Points, the model's cluster ids with sizes, and top terms; ``empty`` adds a cluster that
+    no document is assigned to (its centre is far from all of them)."""
+    pts, centers = _clustered(spark, sf), _kmeans(spark, sf, WORKED_V, KM_WORKED).centers
+    if empty:
+        centers = centers.unionByName(spark.range(1).select(
+            F.lit(KM_WORKED.k).alias("cluster_id"), F.lit(0).alias("term_id"), F.lit(EMPTY_WEIGHT).alias("weight")))
+    rounded = centers.select("cluster_id", "term_id", F.round("weight", 9).alias("weight"))
+    terms = tk.top_terms(rounded, _stages(spark, sf, WORKED_V).dictionary, DUMP.top_n)
+    return pts, tk.cluster_sizes(pts, clusters=centers), terms
 
 
-def q_report_csv(spark, sf):
-    return rp.report_csv(_clustered(spark, sf), DUMP)
+def _report_q(kind, empty=False, cfg=DUMP):
+    def q(spark, sf):
+        pts, sizes, terms = _model(spark, sf, empty)
+        if kind == "text":
+            return rp.report_text(terms, pts, sizes, cfg)
+        if kind == "csv":
+            return rp.report_csv(pts, cfg, sizes=sizes)
+        if kind == "json":
+            return rp.report_json(terms, pts, sizes, cfg)
+        return rp.report_graph(pts, sizes, cfg, terms=terms)[kind == "edges"]
+    return q
+
+
+# ------------------------------------------------------------------ stage folders
+
+def _folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages_{uuid.uuid4().hex}"
+
+
+def q_tag_lines_text(spark, sf):
+    """Tag lines written to and scanned from text files."""
+    out = _folder(spark)
+    documents_as_tag_lines(read_documents(spark, sf)).write.text(out)
+    return tag_tokens(parse_tag_lines(read_tag_lines(spark, out), DEFAULT_V))
+
 
+def _stage_q(name, make, back=lambda df: df):
+    def q(spark, sf):
+        out = _folder(spark)
+        stages.write_stage(make(spark, sf), out, name)
+        return back(stages.read_stage(spark, out, name))
+    return q
+
+
+q_stage_tagdocs = _stage_q("tagdocs", lambda spark, sf: documents_tag_docs(spark, sf, DEFAULT_V), tag_tokens)
+q_stage_vectors = _stage_q("tfidf", lambda spark, sf: _stages(spark, sf, WORKED_V).tfidf,
+                           lambda df: df.select("doc_id", "term_id", _r("weight")))
+q_stage_seeds = _stage_q("seeds", lambda spark, sf: km.seed_centroids_sparse(_points(spark, sf, WORKED_V), _seeds(spark, sf, WORKED_V, KM_WORKED)),
+                         lambda df: df.select("cluster_id", "term_id", _r("weight")))
 
-def q_report_graph_nodes(spark, sf):
-    pts = _clustered(spark, sf)
-    return rp.report_graph(pts, tk.cluster_sizes(pts), DUMP)[0]
 
+def q_stage_final_clusters(spark, sf):
+    """The last of several iterations in a clusters folder."""
+    out = _folder(spark)
+    seeds = km.seed_centroids_sparse(_points(spark, sf, WORKED_V), _seeds(spark, sf, WORKED_V, KM_WORKED))
+    last = _kmeans(spark, sf, WORKED_V, KM_WORKED).centers
+    both = seeds.withColumn("iter", F.lit(0)).unionByName(last.withColumn("iter", F.lit(10))).unionByName(seeds.withColumn("iter", F.lit(9)))
+    stages.write_stage(both, out, "clusters")
+    return stages.final_clusters(stages.read_stage(spark, out, "clusters")).select("cluster_id", "term_id", _r("weight"))
 
-def q_report_graph_edges(spark, sf):
-    pts = _clustered(spark, sf)
-    return rp.report_graph(pts, tk.cluster_sizes(pts), DUMP)[1]
 
+def q_dictionary_text(spark, sf):
+    out = _folder(spark)
+    stages.write_dictionary_text(_stages(spark, sf, WORKED_V).dictionary, out)
+    return stages.read_dictionary(spark, out, "text")
 
-def q_report_json(spark, sf):
-    pts = _clustered(spark, sf)
-    return rp.report_json(_top_terms(spark, sf), pts, tk.cluster_sizes(pts), DUMP)
+
+def q_dictionary_parquet(spark, sf):
+    out = _folder(spark)
+    stages.write_stage(_stages(spark, sf, WORKED_V).dictionary, out, "dictionary")
+    return stages.read_dictionary(spark, f"{out}/dictionary", "sequencefile")
+
+
+def q_kmeans_threshold(spark, sf):
+    res = _kmeans(spark, sf, WORKED_V, KM_WORKED.with_(threshold=THRESHOLD))
+    return res.points.select("cluster_id", "doc_id", _r("distance", 4))
 
 
 def q_dump_points(spark, sf):
@@ -440,11 +508,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intra_stats_sparse": q_intra_stats_sparse,
     "inter_pairs_sparse": q_inter_pairs_sparse,
     "inter_stats_sparse": q_inter_stats_sparse,
-    "report_text": q_report_text,
-    "report_csv": q_report_csv,
-    "report_graph_nodes": q_report_graph_nodes,
-    "report_graph_edges": q_report_graph_edges,
-    "report_json": q_report_json,
+    "report_text": _report_q("text"),
+    "report_csv": _report_q("csv"),
+    "report_graph_nodes": _report_q("nodes"),
+    "report_graph_edges": _report_q("edges"),
+    "report_json": _report_q("json"),
+    "report_text_empty_cluster": _report_q("text", True),
+    "report_csv_empty_cluster": _report_q("csv", True),
+    "report_graph_nodes_empty_cluster": _report_q("nodes", True),
+    "report_json_empty_cluster": _report_q("json", True),
+    "report_text_substring": _report_q("text", cfg=DUMP.with_(substring=SUBSTRING)),
+    "report_graph_nodes_substring": _report_q("nodes", cfg=DUMP.with_(substring=SUBSTRING)),
+    "tag_lines_text": q_tag_lines_text,
+    "stage_tagdocs": q_stage_tagdocs,
+    "stage_vectors": q_stage_vectors,
+    "stage_seeds": q_stage_seeds,
+    "stage_final_clusters": q_stage_final_clusters,
+    "dictionary_text": q_dictionary_text,
+    "dictionary_parquet": q_dictionary_parquet,
+    "kmeans_threshold": q_kmeans_threshold,
     "dump_points": q_dump_points,
     "estimate_t": q_estimate_t,
     "canopy_centers": q_canopy_centers,
@@ -480,7 +562,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     q = O.all_queries(DEFAULT_V=DEFAULT_V, WORKED_V=WORKED_V, STOP_V=STOP_V, SIGMA_V=SIGMA_V,
                       KM_DEFAULT=KM_DEFAULT, KM_WORKED=KM_WORKED, KM_DENSE=KM_DENSE, DUMP=DUMP,
-                      CAP=CAP, EVAL_CAP=EVAL_CAP)
+                      CAP=CAP, EVAL_CAP=EVAL_CAP, EMPTY_WEIGHT=EMPTY_WEIGHT, SUBSTRING=SUBSTRING, THRESHOLD=THRESHOLD)
     q |= O.canopy_queries(WORKED_V, KM_DENSE, KM_SPARSE_CANOPY)
     q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
     q["kmeans_worked_long"] = q["kmeans_worked"]   # same semantics, other physical assignment

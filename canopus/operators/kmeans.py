@@ -57,6 +57,12 @@ def random_seeds(ids: DataFrame, k: int, seed: int, id_col: str = "doc_id") -> D
     return top.select((F.row_number().over(w) - 1).cast("int").alias("cluster_id"), id_col)
 
 
+def above_threshold(points: DataFrame, threshold: float) -> DataFrame:
+    """Classification threshold (P8): a point's density at its centre, ``1 / (1 + distance)``,
+    must reach it; 0 keeps every point."""
+    return points.where(1 / (1 + F.col("distance")) >= threshold) if threshold > 0 else points
+
+
 # ----------------------------------------------------------------------------- sparse
 
 def prepare_sparse_points(vecs: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -242,8 +248,7 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
             converged = True
             break
     rows = assign(cent, c2, nnz)
-    out = (rows.where("_first").select("cluster_id", "doc_id", F.lit(1.0).alias("weight"), "distance")
-           .where(F.col("weight") >= F.lit(cfg.threshold)))
+    out = above_threshold(rows.where("_first").select("cluster_id", "doc_id", F.lit(1.0).alias("weight"), "distance"), cfg.threshold)
     return KMeansResult(cent, out, it, converged, shifts)
 
 
@@ -334,8 +339,7 @@ def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansCon
             break
     final = cut_lineage(assign_dense(pts, centers, cfg.measure, vec_col, cfg.array_max_k))
     sizes = {r["cluster_id"]: r["count"] for r in final.groupBy("cluster_id").count().collect()}   # of the final centres
-    out = (final.select("cluster_id", id_col, F.lit(1.0).alias("weight"), "distance")
-           .where(F.col("weight") >= F.lit(cfg.threshold)))
+    out = above_threshold(final.select("cluster_id", id_col, F.lit(1.0).alias("weight"), "distance"), cfg.threshold)
     spark = points.sparkSession
     cdf = spark.createDataFrame([(j, int(sizes.get(j, 0)), centers[j]) for j in range(k)],
                                 "cluster_id int, n long, center array<double>")

@@ -37,8 +37,13 @@ def top_terms(centers: DataFrame, dictionary: DataFrame, n: int = 10, substring:
     return out.select("cluster_id", F.col("rank").cast("int"), "term_id", term.alias("term"), "weight")
 
 
-def cluster_sizes(points: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
-    return points.groupBy(cluster_col).agg(F.count("*").alias("n"))
+def cluster_sizes(points: DataFrame, cluster_col: str = "cluster_id", clusters: DataFrame | None = None) -> DataFrame:
+    """``(cluster_id, n)``; with ``clusters`` (any table with the cluster ids) a row for each of
+    them, 0 where no point is assigned."""
+    n = points.groupBy(cluster_col).agg(F.count("*").alias("n"))
+    if clusters is None:
+        return n
+    return clusters.select(cluster_col).distinct().join(n, cluster_col, "left").select(cluster_col, F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def member_ranks(points: DataFrame, id_col: str = "doc_id", cluster_col: str = "cluster_id") -> DataFrame:

@@ -4,7 +4,8 @@
   cluster_job    random or canopy seeds -> k-means -> clusters + clustered points (Q2)
   dump_job       top terms + report in the chosen format + raw point dump (Q3)
   run_all        Q1 then Q2 then Q3 (Q4)
-  dump_clusters  standalone report with optional evaluation (Q5) - see plans.reports
+  report_job     standalone report from folders: clusters, dictionary, optionally points and
+                 vectors (for the evaluation) (Q5)
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import functions as F
 
 from canopus.config import DumpConfig, KMeansConfig, VectorizeConfig
 from canopus.operators import kmeans as km
-from canopus.operators.evaluate import evaluation_report, inter_stats
+from canopus.operators.evaluate import evaluation_report, inter_pairs_sparse, inter_stats, intra_stats_sparse
 from canopus.operators.topk import top_terms
 from canopus.operators.vectorize import Stages, vectorize
 from canopus.plans.reports import dump_clusters, dump_points_lines, write_lines
-from canopus.sources.stages import read_stage, write_stage
+from canopus.sources.stages import final_clusters, read_dictionary, read_stage, write_stage
 from canopus.sources.tags import parse_tag_lines, read_tag_lines
 
 
@@ -41,10 +42,15 @@ def vectorize_job(spark: SparkSession, path: str | DataFrame, out_dir: str,
 def cluster_job(spark: SparkSession, out_dir: str, cfg: KMeansConfig = KMeansConfig()) -> km.KMeansResult:
     vecs = read_stage(spark, out_dir, "tfidf")
     if cfg.init == "random":
-        res = km.kmeans_sparse_random(vecs, cfg)
+        pts = km.prepare_sparse_points(vecs)
+        ids = km.random_seeds(pts.select("doc_id").distinct(), cfg.k, cfg.seed, "doc_id")
+        write_stage(km.seed_centroids_sparse(pts, ids), out_dir, "seeds")
+        k = ids.count()
+        res = km.kmeans_sparse(pts, read_stage(spark, out_dir, "seeds"), k, cfg, prepared=True)
     elif cfg.init == "canopy":
         from canopus.operators.canopy import kmeans_canopy_sparse
-        res, _, _ = kmeans_canopy_sparse(vecs, cfg)
+        res, _, seeds = kmeans_canopy_sparse(vecs, cfg)
+        write_stage(seeds, out_dir, "seeds")
     else:
         raise ValueError(f"unknown init {cfg.init!r}: 'random' or 'canopy'")
     write_stage(res.centers.withColumn("iter", F.lit(res.iterations)), out_dir, "clusters")
@@ -52,29 +58,40 @@ def cluster_job(spark: SparkSession, out_dir: str, cfg: KMeansConfig = KMeansCon
     return res
 
 
+def report_job(spark: SparkSession, clusters_path: str, dictionary_path: str, out: str,
+               cfg: DumpConfig = DumpConfig(), dictionary_fmt: str = "parquet", points_path: str | None = None,
+               vectors_path: str | None = None) -> None:
+    """Standalone report (Q5): the model and the dictionary (``text`` or ``sequencefile`` /
+    ``parquet``) from their folders; without ``points_path`` the clusters are listed alone.
+    ``cfg.evaluate`` needs points and vectors."""
+    centers = final_clusters(spark.read.parquet(clusters_path)).drop("iter")
+    points = spark.read.parquet(points_path) if points_path else None
+    terms = top_terms(centers, read_dictionary(spark, dictionary_path, dictionary_fmt), cfg.top_n, cfg.substring)
+    evaluation = None
+    if cfg.evaluate:
+        if points is None or vectors_path is None:
+            raise ValueError("the evaluation needs clustered points and their vectors")
+        evaluation = evaluation_rows(points, spark.read.parquet(vectors_path), centers, cfg)
+    dump_clusters(cfg.fmt, out, points, terms, cfg, clusters=centers, evaluation=evaluation)
+
+
 def dump_job(spark: SparkSession, out_dir: str, report_dir: str, cfg: DumpConfig = DumpConfig(top_n=50)) -> None:
-    from canopus.sources.stages import final_clusters
-    centers = final_clusters(read_stage(spark, out_dir, "clusters")).drop("iter")
+    base = out_dir.rstrip("/")
+    report_job(spark, f"{base}/clusters", f"{base}/dictionary", f"{report_dir}/clusters_dump", cfg.with_(evaluate=False),
+               points_path=f"{base}/points")
     points = read_stage(spark, out_dir, "points")
-    dictionary = read_stage(spark, out_dir, "dictionary")
-    terms = top_terms(centers, dictionary, cfg.top_n, cfg.substring)
-    dump_clusters(cfg.fmt, f"{report_dir}/clusters_dump", points, terms, cfg)
     write_lines(dump_points_lines(points), f"{report_dir}/cluster_points_dump", ["cluster_id", "id"])
     if cfg.evaluate:
-        evaluate_sparse_job(spark, out_dir, report_dir, cfg)
+        centers = final_clusters(read_stage(spark, out_dir, "clusters")).drop("iter")
+        rows = evaluation_rows(points, read_stage(spark, out_dir, "tfidf"), centers, cfg)
+        write_lines(rows, f"{report_dir}/cluster_evaluate_result", ["section", "key1", "key2"])
 
 
-def evaluate_sparse_job(spark: SparkSession, out_dir: str, report_dir: str, cfg: DumpConfig) -> None:
-    """Evaluation report (E4/K9) over the clustered TF-IDF points and final centres."""
-    from canopus.operators.evaluate import inter_pairs_sparse, intra_stats_sparse
-    from canopus.sources.stages import final_clusters
-    points = read_stage(spark, out_dir, "points")
-    vecs = read_stage(spark, out_dir, "tfidf")
-    centers = final_clusters(read_stage(spark, out_dir, "clusters")).drop("iter")
+def evaluation_rows(points: DataFrame, vecs: DataFrame, centers: DataFrame, cfg: DumpConfig) -> DataFrame:
+    """Evaluation report (E4/K9) over clustered TF-IDF points and the final centres."""
     intra = intra_stats_sparse(points, vecs, cfg.measure, cfg.eval_max_points)
     pairs = inter_pairs_sparse(centers, cfg.measure)
-    rep = evaluation_report(intra, inter_stats(pairs), pairs)
-    write_lines(rep, f"{report_dir}/cluster_evaluate_result", ["section", "key1", "key2"])
+    return evaluation_report(intra, inter_stats(pairs), pairs)
 
 
 def run_all(spark: SparkSession, path: str | DataFrame, out_dir: str, report_dir: str,

@@ -301,7 +301,8 @@ def _intra_ctes(cap: int) -> list[str]:
     ]
 
 
-def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_DENSE, DUMP, CAP, EVAL_CAP) -> dict[str, str]:
+def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_DENSE, DUMP, CAP, EVAL_CAP, EMPTY_WEIGHT, SUBSTRING,
+                THRESHOLD) -> dict[str, str]:
     v = vectorize_ctes
     tab = "chr(9)"
     pos = ("SELECT doc_id, CAST(pos AS INTEGER) AS pos, tag FROM (SELECT doc_id, unnest(range(len(tags))) AS pos, "
@@ -309,15 +310,43 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
     tfidf_sel = "SELECT doc_id, term_id, round(weight, 6) AS weight FROM tfidf"
     worked_km = v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED)
     clustered = "clustered AS (SELECT cluster_id, doc_id, 1.0 AS weight, round(d, 6) AS distance FROM km_asg)"
-    sizes = "csizes AS (SELECT cluster_id, count(*) AS n FROM clustered GROUP BY cluster_id)"
+    sizes = ("csizes AS (SELECT c.cluster_id, count(k.doc_id) AS n FROM (SELECT DISTINCT cluster_id FROM model) c "
+             "LEFT JOIN clustered k USING (cluster_id) GROUP BY c.cluster_id)")
     top = (f"tt AS (SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term_id, term, weight FROM (SELECT c.cluster_id, "
            f"c.term_id, d.term, round(c.weight, 9) AS weight, row_number() OVER (PARTITION BY c.cluster_id ORDER BY "
-           f"round(c.weight, 9) DESC, c.term_id) AS rank FROM km_cent c JOIN dictionary d USING (term_id)) "
+           f"round(c.weight, 9) DESC, c.term_id) AS rank FROM model c JOIN dictionary d USING (term_id)) "
            f"WHERE rank <= {DUMP.top_n})")
-    rep = worked_km + [clustered, sizes, top]
+    model = "model AS (SELECT cluster_id, term_id, weight FROM km_cent)"
+    with_empty = (f"model AS (SELECT cluster_id, term_id, weight FROM km_cent UNION ALL SELECT {KM_WORKED.k}, 0, {EMPTY_WEIGHT})")
+    rep = worked_km + [clustered, model, sizes, top]
+    rep_empty = worked_km + [clustered, with_empty, sizes, top]
     dist_q = lambda m: with_(_label_centers_cte(), f"SELECT e.point_id, round({dense_dist(m, 'e.vec', 'lc.center')}, 6) AS distance "
                                                   "FROM emb e JOIN lc USING (label)")
     emb_intra = _label_centers_cte() + _intra_ctes(EVAL_CAP)
+
+    def text(cut: str = "") -> str:
+        return " UNION ALL ".join([
+            "SELECT cluster_id, 0 AS section, 0 AS seq, '' AS sort_id, 'VL-' || cluster_id || '{n=' || n || '}' AS line FROM csizes",
+            f"SELECT cluster_id, 1, 0, '', {tab} || 'Top Terms:' FROM csizes",
+            f"SELECT cluster_id, 1, rank, '', {tab} || {tab} || term{cut} || ' => ' || {_fmt('weight')} FROM tt",
+            f"SELECT cluster_id, 2, 0, '', {tab} || 'Weight : [props - optional]:  Point:' FROM csizes",
+            f"SELECT cluster_id, 2, 1, doc_id, {tab} || {_fmt('weight', '%.1f')} || ' : [distance=' || {_fmt('distance')} "
+            f"|| ']: ' || doc_id{cut} FROM clustered"])
+
+    csv = (f"SELECT cluster_id, CAST((rn - 1) // {DUMP.line_points} AS BIGINT) AS chunk, "
+           f"CAST(cluster_id AS VARCHAR) || ',' || string_agg(doc_id, ',' ORDER BY doc_id) AS line "
+           f"FROM (SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) "
+           f"AS rn FROM clustered) GROUP BY cluster_id, chunk "
+           f"UNION ALL SELECT cluster_id, 0::BIGINT, CAST(cluster_id AS VARCHAR) FROM csizes WHERE n = 0")
+
+    def nodes(cut: str = "") -> str:
+        return (f"SELECT 'c' || c.cluster_id AS node_id, 'cluster' AS kind, 'VL-' || c.cluster_id AS label, n, "
+                f"(SELECT string_agg(term{cut}, ',' ORDER BY rank) FROM tt WHERE tt.cluster_id = c.cluster_id) AS terms FROM csizes c "
+                f"UNION ALL SELECT 'p' || doc_id, 'point', doc_id{cut}, NULL, NULL FROM clustered")
+
+    json_rows = ("SELECT 'cluster' AS kind, cluster_id, CAST(NULL AS INTEGER) AS rank, 'VL-' || cluster_id "
+                 "AS label, CAST(n AS DOUBLE) AS value FROM csizes UNION ALL SELECT 'term', cluster_id, rank, "
+                 "term, weight FROM tt UNION ALL SELECT 'point', cluster_id, NULL, doc_id, distance FROM clustered")
     q = {
         "tag_parse": with_(tagdocs_ctes(DEFAULT_V), pos),
         "stop_filter": with_(tagdocs_ctes(STOP_V), pos),
@@ -397,24 +426,27 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
         "inter_stats_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, EVAL_CAP),
                                     "SELECT n_pairs, round(max_dist, 6) AS max_dist, round(min_dist, 6) AS min_dist, "
                                     "round(avg_dist, 6) AS avg_dist, round(density, 6) AS density FROM sinter"),
-        "report_text": with_(rep, " UNION ALL ".join([
-            "SELECT cluster_id, 0 AS section, 0 AS seq, '' AS sort_id, 'VL-' || cluster_id || '{n=' || n || '}' AS line FROM csizes",
-            f"SELECT cluster_id, 1, 0, '', {tab} || 'Top Terms:' FROM csizes",
-            f"SELECT cluster_id, 1, rank, '', {tab} || {tab} || term || ' => ' || {_fmt('weight')} FROM tt",
-            f"SELECT cluster_id, 2, 0, '', {tab} || 'Weight : [props - optional]:  Point:' FROM csizes",
-            f"SELECT cluster_id, 2, 1, doc_id, {tab} || {_fmt('weight', '%.1f')} || ' : [distance=' || {_fmt('distance')} "
-            f"|| ']: ' || doc_id FROM clustered"])),
-        "report_csv": with_(rep, f"SELECT cluster_id, CAST((rn - 1) // {DUMP.line_points} AS BIGINT) AS chunk, "
-                                 f"CAST(cluster_id AS VARCHAR) || ',' || string_agg(doc_id, ',' ORDER BY doc_id) AS line "
-                                 f"FROM (SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) "
-                                 f"AS rn FROM clustered) GROUP BY cluster_id, chunk"),
-        "report_graph_nodes": with_(rep, "SELECT 'c' || cluster_id AS node_id, 'cluster' AS kind, 'VL-' || cluster_id AS label, "
-                                         "n FROM csizes UNION ALL SELECT 'p' || doc_id, 'point', doc_id, NULL FROM clustered"),
+        "report_text": with_(rep, text()),
+        "report_text_empty_cluster": with_(rep_empty, text()),
+        "report_text_substring": with_(rep, text(f"[:{SUBSTRING}]")),
+        "report_csv": with_(rep, csv),
+        "report_csv_empty_cluster": with_(rep_empty, csv),
+        "report_graph_nodes": with_(rep, nodes()),
+        "report_graph_nodes_empty_cluster": with_(rep_empty, nodes()),
+        "report_graph_nodes_substring": with_(rep, nodes(f"[:{SUBSTRING}]")),
         "report_graph_edges": with_(rep, "SELECT 'c' || cluster_id AS source, 'p' || doc_id AS target, weight, distance "
                                          "FROM clustered"),
-        "report_json": with_(rep, "SELECT 'cluster' AS kind, cluster_id, CAST(NULL AS INTEGER) AS rank, 'VL-' || cluster_id "
-                                  "AS label, CAST(n AS DOUBLE) AS value FROM csizes UNION ALL SELECT 'term', cluster_id, rank, "
-                                  "term, weight FROM tt UNION ALL SELECT 'point', cluster_id, NULL, doc_id, distance FROM clustered"),
+        "report_json": with_(rep, json_rows),
+        "report_json_empty_cluster": with_(rep_empty, json_rows),
+        "tag_lines_text": with_(tagdocs_ctes(DEFAULT_V), pos),
+        "stage_tagdocs": with_(tagdocs_ctes(DEFAULT_V), pos),
+        "stage_vectors": with_(v(WORKED_V), tfidf_sel),
+        "stage_seeds": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=0)),
+                             "SELECT cluster_id, term_id, round(weight, 6) AS weight FROM c0"),
+        "stage_final_clusters": with_(worked_km, "SELECT cluster_id, term_id, round(weight, 6) AS weight FROM km_cent"),
+        "dictionary_text": with_(v(WORKED_V), "SELECT term_id, term FROM dictionary"),
+        "dictionary_parquet": with_(v(WORKED_V), "SELECT term_id, term FROM dictionary"),
+        "kmeans_threshold": with_(worked_km, f"SELECT cluster_id, doc_id, round(d, 4) AS distance FROM km_asg WHERE 1 / (1 + d) >= {THRESHOLD}"),
         "dump_points": with_(rep, f"SELECT cluster_id, doc_id AS id, 'Key: ' || cluster_id || ': Value: ' || "
                                   f"{_fmt('weight', '%.1f')} || ' : [distance=' || {_fmt('distance')} || ']: ' || doc_id AS line "
                                   f"FROM clustered"),
