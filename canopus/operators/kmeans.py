@@ -65,10 +65,15 @@ def above_threshold(points: DataFrame, threshold: float) -> DataFrame:
 
 # ----------------------------------------------------------------------------- sparse
 
+BUCKET_BYTES = 128 << 20
+ENTRY_BYTES = 24   # one (doc_id, term_id, weight) entry, about
+
+
 def prepare_sparse_points(vecs: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    spark = vecs.sparkSession
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The doc-bucketed table of points. As a bucket is one scan task for good, their number
+    follows the measured size (about ``BUCKET_BYTES`` each), at least one per core."""
     pts = vecs.select("doc_id", F.col("term_id").cast("int"), F.col("weight").cast("double"))
+    p = num_partitions or max(vecs.sparkSession.sparkContext.defaultParallelism, math.ceil(pts.count() * ENTRY_BYTES / BUCKET_BYTES))
     return write_bucketed(pts, "doc_id", p, ["doc_id", "term_id"], prefix="canopus_points")
 
 

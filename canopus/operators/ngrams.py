@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopus.functions.llr import llr
+from canopus.operators.ranking import broadcast_if_small
+from canopus.session import cut_lineage
 
 
 def ngram_occurrences(tag_docs: DataFrame, n: int) -> DataFrame:
@@ -32,11 +34,12 @@ def ngram_occurrences(tag_docs: DataFrame, n: int) -> DataFrame:
 def llr_scores(tag_docs: DataFrame, n: int = 2) -> DataFrame:
     """``(gram, head, tail, k11, k12, k21, k22, llr)`` for every distinct n-gram."""
     occ = ngram_occurrences(tag_docs, n)
-    grams = occ.groupBy("gram", "head", "tail").agg(F.count("*").alias("k11"))
-    heads = occ.groupBy("head").agg(F.count("*").alias("head_n"))
-    tails = occ.groupBy("tail").agg(F.count("*").alias("tail_n"))
-    total = occ.count()  # one scalar: the number of n-grams of this size
-    scored = grams.join(heads, "head").join(tails, "tail")
+    # the one pass over the texts; heads, tails and the total are sums over the distinct grams
+    grams = cut_lineage(occ.groupBy("gram", "head", "tail").agg(F.count("*").alias("k11")), "ngrams")
+    heads = cut_lineage(grams.groupBy("head").agg(F.sum("k11").alias("head_n")), "ngram_heads")
+    tails = cut_lineage(grams.groupBy("tail").agg(F.sum("k11").alias("tail_n")), "ngram_tails")
+    total = grams.agg(F.sum("k11").alias("t")).first()["t"] or 0
+    scored = grams.join(broadcast_if_small(heads), "head").join(broadcast_if_small(tails), "tail")
     k11 = F.col("k11")
     k12 = F.col("head_n") - k11
     k21 = F.col("tail_n") - k11

@@ -32,7 +32,13 @@ def with_global_index(df: DataFrame, order_cols: list[str | Column], name: str =
     return tagged.select(*cols, (start + local).alias(name)), total
 
 
-def broadcast_if(df: DataFrame, n_rows: int, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the measured row count is within ``max_rows``;
-    otherwise the planner keeps a shuffle join (AQE may still convert it)."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the measured size of the rows (strings by their bytes, other
+    values 8 each) is within ``max_bytes``; otherwise the planner keeps a shuffle join (AQE
+    may still convert it). ``df`` should be a written table."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 16 if t == "string" else F.lit(8) for c, t in df.dtypes), F.lit(16))
+    total = df.agg(F.sum(size.cast("long")).alias("s")).first()["s"] or 0
+    return F.broadcast(df) if total <= max_bytes else df

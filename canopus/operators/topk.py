@@ -29,8 +29,7 @@ def top_terms(centers: DataFrame, dictionary: DataFrame, n: int = 10, substring:
     w = Window.partitionBy("cluster_id").orderBy(F.col("weight").desc(), F.col("term_id"))
     top = (centers.select("cluster_id", "term_id", "weight", F.row_number().over(w).alias("rank"))
            .where(F.col("rank") <= n))
-    # k * n rows are joined against the dictionary; the small side is the top list
-    out = dictionary.select("term_id", "term").join(F.broadcast(top), "term_id")
+    out = dictionary.select("term_id", "term").join(top, "term_id")   # k * n rows; the planner picks the join by size
     term = F.col("term")
     if substring is not None and substring >= 0:
         term = F.substring(term, 1, substring)

@@ -19,16 +19,13 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopus.config import VectorizeConfig
 from canopus.operators.ngrams import ngram_tokens
-from canopus.operators.ranking import broadcast_if, with_global_index
-
-# Dictionary and DF tables up to this many rows are broadcast to the big side.
-BROADCAST_MAX_ROWS = 4_000_000
+from canopus.operators.ranking import broadcast_if_small, with_global_index
+from canopus.session import cut_lineage
 
 
 def doc_terms(tag_docs: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) -> DataFrame:
@@ -52,9 +49,8 @@ def build_dictionary(counts: DataFrame, min_support: int) -> tuple[DataFrame, in
     return ranked.select(F.col("term_id").cast("int"), "term", "cf"), size
 
 
-def term_frequency(dt: DataFrame, dictionary: DataFrame, dict_size: int) -> DataFrame:
-    d = broadcast_if(dictionary.select("term", "term_id"), dict_size, BROADCAST_MAX_ROWS)
-    return dt.join(d, "term").select("doc_id", "term_id", "tf")
+def term_frequency(dt: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return dt.join(broadcast_if_small(dictionary.select("term", "term_id")), "term").select("doc_id", "term_id", "tf")
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -64,8 +60,9 @@ def document_frequency(tf: DataFrame) -> DataFrame:
 
 def corpus_stats(tf: DataFrame) -> DataFrame:
     """1 row: distinct terms and documents present in the TF vectors."""
-    return tf.agg(F.countDistinct("term_id").alias("n_features"),
-                  F.countDistinct("doc_id").alias("n_docs"))
+    # two counts of their own: two DISTINCTs in one aggregate would copy every row
+    counts = (tf.select("term_id").distinct().count(), tf.select("doc_id").distinct().count())
+    return tf.sparkSession.createDataFrame([counts], "n_features long, n_docs long")
 
 
 def df_sigma(df: DataFrame) -> DataFrame:
@@ -94,10 +91,9 @@ def max_df_threshold_col(n_docs: Column, max_df: Column) -> Column:
     return (n_docs.cast("float") * q).cast("long")
 
 
-def prune_by_df(tf: DataFrame, df: DataFrame, min_df: int, threshold: int, df_size: int) -> DataFrame:
+def prune_by_df(tf: DataFrame, df: DataFrame, min_df: int, threshold: int) -> DataFrame:
     keep = df.where((F.col("df") >= min_df) & (F.col("df") <= threshold))
-    return tf.join(broadcast_if(keep, df_size, BROADCAST_MAX_ROWS), "term_id").select(
-        "doc_id", "term_id", "tf", "df")
+    return tf.join(broadcast_if_small(keep), "term_id").select("doc_id", "term_id", "tf", "df")
 
 
 def weight_col(tf: Column, df: Column, n_docs: int, min_df: int, scheme: str) -> Column:
@@ -175,13 +171,13 @@ class Stages:
 
 
 def vectorize(tag_docs: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) -> Stages:
-    """Run A1..A9: one lazy plan per stage, with the per-document counts persisted
-    because three stages read them."""
-    dt = doc_terms(tag_docs, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    """Run A1..A9. The per-document counts, TF and DF are each written once and read back by
+    the stages that use them; pruning and weighting stay lazy plans over TF and DF."""
+    dt = cut_lineage(doc_terms(tag_docs, cfg), "doc_terms")
     counts = term_counts(dt)
-    dictionary, v = build_dictionary(counts, cfg.min_support)
-    tf = term_frequency(dt, dictionary, v)
-    df = document_frequency(tf).persist(StorageLevel.MEMORY_AND_DISK)
+    dictionary, _ = build_dictionary(counts, cfg.min_support)
+    tf = cut_lineage(term_frequency(dt, dictionary), "tf")
+    df = cut_lineage(document_frequency(tf), "df")
     n_docs = tf.select("doc_id").distinct().count()
     n_features = df.count()
     std = None
@@ -189,7 +185,7 @@ def vectorize(tag_docs: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) ->
         std = df_sigma(df).first()["sigma_std"] or 0.0
     max_df = max_df_percent_value(n_docs, cfg.max_df_percent, cfg.max_df_sigma, std) if n_docs else 0
     threshold = max_df_threshold(n_docs, max_df)
-    pruned = prune_by_df(tf, df, cfg.min_df, threshold, n_features)
+    pruned = prune_by_df(tf, df, cfg.min_df, threshold)
     weighted = tfidf(pruned, n_docs, cfg)
     return Stages(tag_docs, dt, counts, dictionary, tf, df, pruned, weighted,
                   n_docs, n_features, max_df, threshold, std)

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,9 @@ from canopus.config import DumpConfig, KMeansConfig, VectorizeConfig
 from canopus.operators import kmeans as km
 from canopus.operators.evaluate import evaluation_report, inter_pairs_sparse, inter_stats, intra_stats_sparse
 from canopus.operators.topk import top_terms
-from canopus.operators.vectorize import Stages, vectorize
+from canopus.operators.vectorize import Stages, doc_terms, term_counts, vectorize
 from canopus.plans.reports import dump_clusters, dump_points_lines, write_lines
+from canopus.session import intermediates
 from canopus.sources.stages import final_clusters, read_dictionary, read_stage, write_stage
 from canopus.sources.tags import parse_tag_lines, read_tag_lines
 
@@ -28,19 +31,31 @@ def vectorize_job(spark: SparkSession, path: str | DataFrame, out_dir: str,
     lines = read_tag_lines(spark, path) if isinstance(path, str) else path
     tag_docs = parse_tag_lines(lines, cfg)
     write_stage(tag_docs, out_dir, "tagdocs")
-    st = vectorize(read_stage(spark, out_dir, "tagdocs"), cfg)
-    write_stage(st.dictionary, out_dir, "dictionary")
-    write_stage(st.tf, out_dir, "tf")
-    write_stage(st.df, out_dir, "df")
-    write_stage(spark.createDataFrame([(st.n_features, st.n_docs, st.max_df, st.threshold)],
-                                      "n_features long, n_docs long, max_df long, threshold long"), out_dir, "stats")
-    write_stage(st.pruned, out_dir, "pruned")
-    write_stage(st.tfidf, out_dir, "tfidf")
-    return st
+    with intermediates(spark):   # what stays is in the stage folders
+        st = vectorize(read_stage(spark, out_dir, "tagdocs"), cfg)
+        write_stage(st.dictionary, out_dir, "dictionary")
+        write_stage(st.tf, out_dir, "tf")
+        write_stage(st.df, out_dir, "df")
+        write_stage(spark.createDataFrame([(st.n_features, st.n_docs, st.max_df, st.threshold)],
+                                          "n_features long, n_docs long, max_df long, threshold long"), out_dir, "stats")
+        write_stage(st.pruned, out_dir, "pruned")
+        write_stage(st.tfidf, out_dir, "tfidf")
+    tag_docs = read_stage(spark, out_dir, "tagdocs")
+    dt = doc_terms(tag_docs, cfg)   # no stage of its own: computed again if used
+    return replace(st, tag_docs=tag_docs, doc_terms=dt, term_counts=term_counts(dt),
+                   **{name: read_stage(spark, out_dir, name) for name in ("dictionary", "tf", "df", "pruned", "tfidf")})
 
 
 def cluster_job(spark: SparkSession, out_dir: str, cfg: KMeansConfig = KMeansConfig()) -> km.KMeansResult:
     vecs = read_stage(spark, out_dir, "tfidf")
+    with intermediates(spark):
+        res = _cluster(spark, vecs, out_dir, cfg)
+        write_stage(res.centers.withColumn("iter", F.lit(res.iterations)), out_dir, "clusters")
+        write_stage(res.points, out_dir, "points")
+    return replace(res, centers=read_stage(spark, out_dir, "clusters").drop("iter"), points=read_stage(spark, out_dir, "points"))
+
+
+def _cluster(spark: SparkSession, vecs: DataFrame, out_dir: str, cfg: KMeansConfig) -> km.KMeansResult:
     if cfg.init == "random":
         pts = km.prepare_sparse_points(vecs)
         ids = km.random_seeds(pts.select("doc_id").distinct(), cfg.k, cfg.seed, "doc_id")
@@ -53,8 +68,6 @@ def cluster_job(spark: SparkSession, out_dir: str, cfg: KMeansConfig = KMeansCon
         write_stage(seeds, out_dir, "seeds")
     else:
         raise ValueError(f"unknown init {cfg.init!r}: 'random' or 'canopy'")
-    write_stage(res.centers.withColumn("iter", F.lit(res.iterations)), out_dir, "clusters")
-    write_stage(res.points, out_dir, "points")
     return res
 
 

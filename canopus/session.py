@@ -1,41 +1,38 @@
-"""Session helpers: a configured SparkSession and reliable lineage cuts.
+"""Session helpers: a configured SparkSession, reliable lineage cuts and their release.
 
-Library code never picks a storage location on its own on a cluster: lineage is cut
-with ``DataFrame.checkpoint`` into the folder the cluster names in
-``spark.checkpoint.dir``. Only a local-mode session without that setting (tests,
-``bench.py``) gets a fresh scratch folder.
+Library code never picks a master, a memory size or a shuffle width, and no storage location
+on a cluster: intermediates go to the folder the cluster names in ``spark.checkpoint.dir``.
+Only a local-mode session without that setting (tests, ``bench.py``) gets a fresh scratch
+folder. What was written there is deleted when its result is released.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "canopus",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
+    """The running or a new session. Master and shuffle partitions are set only if given, so
+    what ``spark-submit`` or the cluster's defaults say stays."""
+    b = (SparkSession.builder.appName(app)
          .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-         .config("spark.driver.memory", "16g")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
@@ -84,6 +81,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/ABFS) for checkpoints")
 
 
+_written: dict[int, list[tuple[str, str | None]]] = {}   # by session: folders and tables of intermediates
+
+
+def _record(spark: SparkSession, path: str, table: str | None = None) -> None:
+    _written.setdefault(id(spark.sparkContext), []).append((path, table))
+
+
+def release(spark: SparkSession, first: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the intermediates written since the ``first``-th, but for the folders ``keep``.
+    DataFrames that read them can't be used afterwards."""
+    sc = spark.sparkContext
+    written = _written.get(id(sc), [])
+    for path, table in written[first:]:
+        if path in keep:
+            continue
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+    written[first:] = [x for x in written[first:] if x[0] in keep]
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Intermediates written inside are deleted at its end: for jobs that store their result."""
+    first = len(_written.setdefault(id(spark.sparkContext), []))
+    try:
+        yield
+    finally:
+        release(spark, first)
+
+
+def new_folder(spark: SparkSession, prefix: str) -> str:
+    """A new name in the checkpoint folder, deleted with the other intermediates."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}_{uuid.uuid4().hex}"
+    _record(spark, path)
+    return path
+
+
 def cut_lineage(df: DataFrame, prefix: str = "canopus_stage") -> DataFrame:
     """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -92,7 +128,7 @@ def cut_lineage(df: DataFrame, prefix: str = "canopus_stage") -> DataFrame:
     statistics that AQE uses for its join decisions.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}_{uuid.uuid4().hex}"
+    path = new_folder(spark, prefix)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -110,4 +146,5 @@ def write_bucketed(df: DataFrame, key: str, num_buckets: int, sort_cols: list[st
     if sort_cols:
         w = w.sortBy(*sort_cols)
     w.format("parquet").option("path", f"{base}/{name}").saveAsTable(name)
+    _record(spark, f"{base}/{name}", name)
     return spark.table(name)
