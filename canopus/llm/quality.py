@@ -43,8 +43,9 @@ class QualityRules:
     min_left: float = 0.3
 
 
-def line_hash(line: Column) -> Column:
-    """60 bits of its MD5, as SQL engines agree on."""
+def normal_hash(line: Column) -> Column:
+    """Of the normalised line, 60 bits of its MD5, as SQL engines agree on."""
+    line = F.lower(F.trim(F.regexp_replace(line, ASCII_SPACE, " ")))
     return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
 
 
@@ -75,7 +76,7 @@ def base_columns(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.transform("lines", lambda x: F.struct(
-            line_hash(F.lower(F.trim(F.regexp_replace(x, ASCII_SPACE, " ")))).alias("key"),
+            normal_hash(x).alias("key"),
             F.size(words(x)).alias("n"))).alias("lines"))
 
 
@@ -87,32 +88,49 @@ def common_lines(lines: DataFrame, documents_per_host: DataFrame, rules: Quality
             .where(F.col("documents") > F.col("host_documents") * rules.max_share).select("host", "key"))
 
 
-def judge(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str = "doc_id", text_col: str = "text",
-          host_col: str = "source") -> DataFrame:
-    """Per row ``doc_id``, the base figures, ``base_failed``, ``kept`` and, after them,
-    ``left_words`` (outside common lines) and ``text_key`` (tells rows of an id apart)."""
+def _analyse(docs: DataFrame, rules: QualityRules, id_col: str, text_col: str, host_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' figures, and their common lines ``(row, doc_id, text_key, key, n)``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
                        text_and_host_key(text_col, host_col).alias("text_key"), F.monotonically_increasing_id().alias("row"))
     base = cut_lineage(base_columns(rows).drop("text"), "quality_base")
     # of a document's distinct lines the two smallest hashes: a line's "other" is the smaller one that isn't its own
     least = F.slice(F.sort_array(F.array_distinct(F.transform("lines", lambda x: x["key"]))), 1, 2)
-    lines = (base.where(F.size("lines") > 0).select("row", "host", least.alias("least"), F.explode("lines").alias("line"))
-             .select("row", "host", F.col("line.key").alias("key"), F.col("line.n").alias("n"), F.when(
+    lines = (base.where(F.size("lines") > 0).select("row", "doc_id", "text_key", "host", least.alias("least"), F.explode("lines").alias("line"))
+             .select("row", "doc_id", "text_key", "host", F.col("line.key").alias("key"), F.col("line.n").alias("n"), F.when(
                  F.col("line.key") == F.get("least", F.lit(0)), F.coalesce(F.get("least", F.lit(1)), F.lit(0)))
                  .otherwise(F.get("least", F.lit(0))).alias("other")))
     per_host = base.groupBy("host").agg(F.count("*").alias("host_documents"))
-    common = broadcast_if_small(cut_lineage(common_lines(lines, per_host, rules), "common_lines"))
-    removed = lines.join(common, ["host", "key"]).groupBy("row").agg(F.sum("n").alias("removed"))
+    common = broadcast_if_small(cut_lineage(common_lines(lines.select("host", "key", "other"), per_host, rules), "common_lines"))
+    return base.drop("lines", "host"), lines.join(common, ["host", "key"])
+
+
+def judge(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str = "doc_id", text_col: str = "text",
+          host_col: str = "source") -> DataFrame:
+    """Per row ``doc_id``, the base figures, ``base_failed``, ``kept`` and, after them,
+    ``left_words`` (outside common lines) and ``text_key`` (tells rows of an id apart)."""
+    base, found = _analyse(docs, rules, id_col, text_col, host_col)
+    removed = found.groupBy("row").agg(F.sum("n").alias("removed"))
     failed = ((F.col("n_words") < rules.min_words)
               | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
-    return (base.drop("lines", "host").join(removed, "row", "left")
+    return (base.join(removed, "row", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     failed.alias("base_failed"), (~failed & (left >= rules.min_left * F.col("n_words"))).alias("kept"),
                     left.alias("left_words"), "text_key"))
 
 
+def without_common_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """``docs`` with the common lines taken out of ``text``; all else as it is."""
+    _, found = _analyse(docs, rules, "doc_id", "text", "source")
+    keys = cut_lineage(found.groupBy("doc_id", "text_key").agg(F.collect_set("key").alias("keys")), "common_of_documents")   # a document's lines
+    keys = broadcast_if_small(keys)
+    same = docs["doc_id"].eqNullSafe(keys["doc_id"]) & (text_and_host_key() == keys["text_key"])
+    kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda x: ~F.array_contains(keys["keys"], normal_hash(x))), "\n")
+    text = F.when(keys["keys"].isNull(), docs["text"]).otherwise(kept)
+    return docs.join(keys, same, "left").select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
+
+
 def text_and_host_key(text_col: str = "text", host_col: str = "source") -> Column:
     """With the id, tells rows apart whose verdicts may differ."""
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(host_col).cast("string"), F.lit("")))

@@ -269,9 +269,15 @@ def test_common_lines_deplete_but_copies_do_not(spark):
         rows.append((100 + i, f"{notice}\n{prose(6)}", "a"))                    # little else: depleted
         rows.append((200 + i, copy if i % 2 else copy.replace("a", "z", i), "a"))   # copies, exact and changed
         rows.append((300 + i, f"{notice}\n{prose(6)}" if i < 5 else prose(70), "b"))   # not common on this host
-    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    made = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality.judge(made).collect()}
     assert not any(r.base_failed for r in got.values())
     assert {i for i, r in got.items() if not r.kept} == set(range(100, 140))
+    cleaned = quality.without_common_lines(made)
+    assert cleaned.columns == made.columns
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    for i, t, host in rows:
+        assert texts[i] == "\n".join(x for x in t.split("\n") if host == "b" or x.lower() != notice), i
 
 
 # ------------------------------------------------------------------ 6 decontamination
