@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from canopus.llm import decontaminate, packing, quality, simhash
 from canopus.llm.common import read_table
 from canopus.llm.queries import PACK_END
-from canopus.session import cut_lineage, ship_package
+from canopus.session import intermediates, new_folder, ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        out = new_folder(spark, f"pipeline_{name}")
+        with intermediates(spark):   # the stage's own tables go; its result stays until it is released
+            stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
     return docs
 
 
