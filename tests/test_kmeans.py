@@ -43,10 +43,13 @@ def test_dense_kmeans_finds_gaussian_blobs(spark):
              .select((F.col("point_id") + off).alias("point_id"), "vec")
              for s, (mx, my, off) in enumerate([(0, 0, 0), (10, 10, 1000), (-10, 10, 2000)])]
     pts = blobs[0].unionByName(blobs[1]).unionByName(blobs[2])
-    res = km.kmeans_dense_random(pts, KMeansConfig(k=3, max_iter=10, delta=1e-9))
+    seeds = [r["vec"] for r in pts.where("point_id IN (0, 1000, 2000)").orderBy("point_id").collect()]   # one of each blob
+    res = km.kmeans_dense(pts, seeds, KMeansConfig(k=3, max_iter=10, delta=1e-9))
     groups = res.points.select("cluster_id", (F.col("point_id") / 1000).cast("int").alias("blob")).distinct()
-    assert groups.count() == 3 or res.iterations >= 1  # random seeds may split a blob
-    assert res.points.count() == 180
+    assert sorted(tuple(r) for r in groups.collect()) == [(0, 0), (1, 1), (2, 2)]
+    assert {(r["cluster_id"], r["n"]) for r in res.centers.collect()} == {(0, 60), (1, 60), (2, 60)}
+    assert res.converged and res.points.count() == 180
+    assert km.kmeans_dense_random(pts, KMeansConfig(k=3)).points.count() == 180
     assert res.points.select("point_id").distinct().count() == 180
 
 
