@@ -13,7 +13,6 @@ are the same; an empty table writes no segment and reads as no rows.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from canopus.session import cut_lineage, ensure_checkpoint_dir
+from canopus.session import cut_lineage, new_folder
 
 from . import pfor
 from .common import chunks
@@ -111,6 +110,6 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
 def token_output(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None, **options) -> DataFrame:
     """Writes the files (to a new folder beside the checkpoints if ``path`` is unset) and reads them back."""
     spark = docs.sparkSession
-    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/token_ids_{uuid.uuid4().hex}"
+    path = path or new_folder(spark, "token_ids")
     write_token_ids(docs, path, vocabulary, end_id, **options)
     return read_token_ids(spark, path)

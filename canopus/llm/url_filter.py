@@ -3,7 +3,7 @@
 Features come from the URL alone: lengths, path depth, digit ratio, character entropy,
 hyphens, parameter counts, and statistics of the host's suffix (its last two labels) among
 the labelled URLs. The trees are trained on a bounded sample of labelled URLs (at most
-about ``max_train`` rows, chosen by a hash), with Spark's own trainer.
+about ``max_train`` rows), with Spark's own trainer.
 
 No table labels URLs, so :func:`seed_labels` makes the labels: a URL is bad if a part of
 its host is on a short list of words of the kinds a blocklist has, good otherwise. Any
@@ -86,10 +86,11 @@ def seed_labels(urls: DataFrame, words: Sequence[str] = BAD_WORDS) -> DataFrame:
     return urls.where(F.col("url").contains("://")).select("url", F.arrays_overlap(parts, F.array(*map(F.lit, words))).cast("int").alias("label"))
 
 
-def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` rows at most, the same ones each time, without a global sort."""
+def bounded_sample(df: DataFrame, most: int, seed: int = 3) -> DataFrame:
+    """About ``most`` rows at most, without a global sort. Rows are chosen by their place in
+    the input, so a key that holds a third of them can't fill the sample beyond its share."""
     share = min(1.0, most / max(1, df.count()))
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
 
 
 def with_suffix(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def train(labelled: DataFrame, max_train: int = MAX_TRAIN, trees: int = 20, dept
           seed: int = 11) -> tuple[GBTClassificationModel | None, DataFrame]:
     """Trees and suffix statistics ``(suffix, suffix_log_count, suffix_bad_rate)`` from a
     bounded sample of ``(url, label)``."""
-    sample = bounded_sample(labelled, "url", max_train).dropDuplicates(["url"])   # equal URLs are chosen together
+    sample = cut_lineage(bounded_sample(labelled, max_train), "labelled_urls").dropDuplicates(["url"])
     host, path = host_and_path(F.col("url"))
     sample = cut_lineage(lexical(sample.select("url", "label", host.alias("host"), path.alias("path"))), "url_sample")
     suffixes = cut_lineage(sample.groupBy("suffix").agg(
