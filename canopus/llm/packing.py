@@ -161,6 +161,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY
             yield pa.RecordBatch.from_arrays([*cols, pa.array(bins), pa.array(offset)],
                                              names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    ranked = pieces.join(counts.select("task", "length", "before"), ["task", "length"])
+    # a merge join: the counts grow with the tasks, so they are no table to broadcast
+    ranked = pieces.join(counts.select("task", "length", "before").hint("merge"), ["task", "length"])
     return ranked.withColumn("rank", F.col("before") + F.col("number")).mapInArrow(
         place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
