@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,18 +32,16 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def chunks(texts: Iterable[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """Lists of texts of about ``limit`` bytes together, in order; null becomes empty."""
-    part: list[bytes] = []
-    size = 0
-    for t in texts:
-        part.append(t or b"")
-        size += len(part[-1])
-        if size >= limit:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of a binary column of about ``limit`` bytes each, with the place of their first
+    value, so that only one run is held as Python objects; null becomes empty."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        held += n
+        if held >= limit or i == len(sizes) - 1:
+            yield start, [t or b"" for t in column.slice(start, i + 1 - start).to_pylist()]
+            start, held = i + 1, 0
 
 
 #: A table is broadcast if it has at most so many rows of a few numbers (about 10 MB of them).

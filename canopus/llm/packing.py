@@ -120,8 +120,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_c
         seen = [0] * (capacity + 1)
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            at = 0
-            for part in chunks(b.column("text").to_pylist()):
+            for at, part in chunks(b.column("text")):
                 out: list[list] = [[] for _ in schema]
                 for key, data in zip(ids[at : at + len(part)], encoder.encode(part), strict=True):
                     data += end
@@ -131,7 +130,6 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_c
                         for col, v in zip(out, (key, k // (4 * capacity), k // 4, n, zlib.crc32(piece), task, seen[n]), strict=True):
                             col.append(v)
                         seen[n] += 1
-                at += len(part)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     return rows.mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task bigint, number bigint")

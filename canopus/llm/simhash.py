@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t, shingle) for part in chunks(b.column("text").to_pylist()) for t in part]
+            fps = [fingerprint(t, shingle) for _, part in chunks(b.column("text")) for t in part]
             cols = [b.column("doc_id"), b.column("text_key"), pa.array(np.array(fps, np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays(cols, schema=schema)
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+
 #: A space, or the mark that the library writes for it.
 _MARK = "▁"
 _PARTS = re.compile(r"\n| *[^ \n]+| +")
@@ -127,14 +129,9 @@ def _trim(c: Counter, keep: int) -> Counter:
     return Counter({k: n - floor for k, n in top[:-1] if n > floor})
 
 
-def _text_chunks(batch: pa.RecordBatch, limit: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
-    texts = batch.column("text").to_pylist()
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= limit or i == len(texts) - 1:
-            yield start, texts[start : i + 1]
-            start, size = i + 1, 0
+def _text_chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
+    for at, part in chunks(batch.column("text")):
+        yield at, [t.decode("utf-8", "replace") for t in part]
 
 
 def frequent_pre_tokens(docs: DataFrame, table_size: int = TABLE_SIZE, summary: int = SUMMARY) -> list[str]:
@@ -160,7 +157,7 @@ def frequent_pre_tokens(docs: DataFrame, table_size: int = TABLE_SIZE, summary:
             yield pa.RecordBatch.from_pydict({"keys": [list(found)], "ns": [list(found.values())]},
                                              schema=pa.schema([("keys", pa.list_(pa.string())), ("ns", pa.list_(pa.int64()))]))
 
-    parts = docs.select("text").mapInArrow(summarise, "keys array<string>, ns array<bigint>")
+    parts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(summarise, "keys array<string>, ns array<bigint>")
     rdd = parts.rdd.map(lambda r: Counter(dict(zip(r[0], r[1], strict=True))))
     if not rdd.getNumPartitions():
         return []
@@ -188,6 +185,6 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, table_size
                      b.column("n_bytes").slice(at, len(texts)).cast(pa.int64()),
                      pa.array(counter.counts(texts, known), pa.int64())], schema=schema)
 
-    sized = rows.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    sized = rows.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.col("text").cast("binary").alias("text"))
     return (sized.mapInArrow(measure, "doc_id bigint, n_bytes bigint, n_tokens bigint")
             .withColumn("over_limit", F.col("n_tokens") > limit))

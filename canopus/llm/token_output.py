@@ -59,15 +59,13 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, pe
 
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            at = 0
-            for part in chunks(b.column("text").to_pylist()):
+            for at, part in chunks(b.column("text")):
                 for key, data in zip(ids[at : at + len(part)], encoder.encode(part), strict=True):
                     held.append(data + end)
                     keys.append(key)
                     size += len(held[-1]) // 4
                     if size >= segment_ids:
                         yield flush()
-                at += len(part)
         if held:
             yield flush()
 

@@ -6,7 +6,9 @@ parts letters from the signs after them: a word of Latin-1 letters with ASCII si
 end has the ids of the lower-case letters, then those of the signs. Lower-case letters
 alone need no other step before the merges, so they go straight to the tokenizer's model.
 Any other word is encoded as it is. Two bounded caches per Python worker, of words and of such parts, hold
-ids as little-endian 32-bit integers.
+ids as little-endian 32-bit integers. Over half of a corpus's different words occur once, so
+a word is kept from its second occurrence on (a table of bits tells, now and then wrongly,
+whether it was there before).
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ import os
 import re
 from array import array
 
-WORDS, PARTS = 500_000, 300_000
+WORDS, PARTS = 300_000, 50_000
+_SEEN = 1 << 21
 _LONGEST_KEY = 200
 _LETTERS_SIGNS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _LOWER = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100)))
@@ -56,7 +59,7 @@ class _Words(dict):
 
     def __init__(self, parts: _Parts):
         super().__init__()
-        self.parts = parts
+        self.parts, self.seen = parts, bytearray(_SEEN)
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -65,9 +68,12 @@ class _Words(dict):
             data = self.parts[text]
         else:
             data = self.parts.letters(m[1].lower()) + (self.parts[m[2]] if m[2] else b"")
-        if len(self) >= WORDS:
-            self.clear()
-        if len(word) <= _LONGEST_KEY:
+        place = hash(word) % _SEEN
+        if not self.seen[place]:
+            self.seen[place] = 1
+        elif len(word) <= _LONGEST_KEY:
+            if len(self) >= WORDS:
+                self.clear()
             self[word] = data
         return data
 
