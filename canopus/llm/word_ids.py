@@ -17,7 +17,7 @@ import os
 import re
 from array import array
 
-WORDS, PARTS = 300_000, 50_000
+WORDS, PARTS = 600_000, 100_000
 _SEEN = 1 << 21
 _LONGEST_KEY = 200
 _LETTERS_SIGNS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
