@@ -8,8 +8,11 @@ the host's documents hold it. Common lines are removed; a document of which less
 ``min_left`` of its words remain is depleted and rejected.
 
 Copies of a document count once, else every line of an often copied clean text would be
-common: documents are told apart by the smallest hash among their *other* lines, which
-copies share, even with some lines changed, and unrelated documents don't.
+common. Lines in more than ``min_docs`` different texts of the host are *frequent*; a line
+with a quarter of its sketch (its smallest hashes of 3-word windows) in frequent lines is a
+changed copy of one. A document is told apart by the smallest window hash of its remaining,
+own lines, however many frequent lines stand beside them; one without own lines is a copy
+and told apart by its smallest window hash that frequent lines have.
 
 DataFrame operations only. A line of a third of all documents is counted by partial
 aggregation; the common lines are broadcast only if they are few (measured), else joined.
@@ -32,6 +35,8 @@ from .common import ASCII_SPACE, broadcast_if_small, by_key, words
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+#: Window hashes kept of a line, and the share of them in frequent lines that makes it a changed copy.
+SKETCH, ALIKE = 8, 0.25
 
 
 @dataclass(frozen=True)
@@ -43,10 +48,22 @@ class QualityRules:
     min_left: float = 0.3
 
 
+def normal(line: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(line, ASCII_SPACE, " ")))
+
+
 def normal_hash(line: Column) -> Column:
     """Of the normalised line, 60 bits of its MD5, as SQL engines agree on."""
-    line = F.lower(F.trim(F.regexp_replace(line, ASCII_SPACE, " ")))
-    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(normal(line)), 1, 15), 16, 10).cast("long")
+
+
+def sketch(words: Column) -> Column:
+    """The smallest hashes of the 3-word windows of ``words``; of all of them if they are fewer."""
+    def of(w: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, 3)))
+        return F.slice(F.sort_array(F.array_distinct(windows)), 1, SKETCH)
+
+    return F.get(F.transform(F.array(words), of), F.lit(0))   # bound to a variable, the words are split once
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
@@ -77,12 +94,36 @@ def base_columns(docs: DataFrame) -> DataFrame:
         F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.transform("lines", lambda x: F.struct(
             normal_hash(x).alias("key"),
-            F.size(words(x)).alias("n"))).alias("lines"))
+            F.size(words(x)).alias("n"),
+            sketch(words(normal(x))).alias("sketch"))).alias("lines"))
+
+
+def copy_groups(base: DataFrame, rules: QualityRules) -> tuple[DataFrame, DataFrame]:
+    """``(row, group)`` of rows with lines, equal for copies, and the frequent lines ``(host, key)``."""
+    keys = F.array_distinct(F.transform("lines", lambda x: x["key"]))
+    least = F.transform("lines", lambda x: F.get(x["sketch"], F.lit(0)))
+    rows = base.where(F.size("lines") > 0).select("row", "host", "lines", F.sort_array(keys).alias("keys"), least.alias("least"))
+    lines = rows.select("host", F.xxhash64("keys").alias("text"), F.explode("keys").alias("key"))
+    frequent = cut_lineage(lines.groupBy("host", "key").agg(F.count_distinct("text").alias("texts"))
+                           .where(F.col("texts") > rules.min_docs).select("host", "key"), "frequent_lines")
+    frequent = broadcast_if_small(frequent)
+    each = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.key", "line.sketch")
+    # a frequent line's sketch from any of its documents: equal keys have equal sketches
+    windows = (each.join(frequent, ["host", "key"]).groupBy("host", "key").agg(F.first("sketch").alias("sketch"))
+               .select("host", F.explode("sketch").alias("window")).distinct())
+    windows = broadcast_if_small(cut_lineage(windows, "frequent_windows"))
+    size = F.size("sketch").alias("size")
+    alike = (each.dropDuplicates(["row", "key"]).select("row", "host", "key", size, F.get("sketch", F.lit(0)).alias("least"), F.explode("sketch").alias("window"))
+             .join(windows, ["host", "window"]).groupBy("row", "key").agg(F.count("*").alias("found"), F.min("window").alias("window"), F.first("size").alias("size"), F.first("least").alias("least"))
+             .where(F.col("found") >= ALIKE * F.col("size")))
+    alike = cut_lineage(alike.groupBy("row").agg(F.collect_set("least").alias("copied"), F.min("window").alias("shared")), "copied_lines")   # a document's lines
+    own = F.array_except("least", F.coalesce("copied", F.array().cast("array<bigint>")))
+    return rows.join(alike, "row", "left").select("row", F.coalesce(F.array_min(own), "shared").alias("group")), frequent
 
 
 def common_lines(lines: DataFrame, documents_per_host: DataFrame, rules: QualityRules) -> DataFrame:
-    """``(host, key)`` of lines above the limits; ``lines`` is ``(host, key, other)``."""
-    often = (lines.groupBy("host", "key").agg(F.count_distinct("other").alias("documents"))
+    """``(host, key)`` of lines above the limits; ``lines`` is ``(host, key, group)``."""
+    often = (lines.groupBy("host", "key").agg(F.count_distinct("group").alias("documents"))
              .where(F.col("documents") > rules.min_docs))
     return (often.join(documents_per_host, "host")
             .where(F.col("documents") > F.col("host_documents") * rules.max_share).select("host", "key"))
@@ -94,14 +135,14 @@ def _analyse(docs: DataFrame, rules: QualityRules, id_col: str, text_col: str, h
                        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
                        text_and_host_key(text_col, host_col).alias("text_key"), F.monotonically_increasing_id().alias("row"))
     base = cut_lineage(base_columns(rows).drop("text"), "quality_base")
-    # of a document's distinct lines the two smallest hashes: a line's "other" is the smaller one that isn't its own
-    least = F.slice(F.sort_array(F.array_distinct(F.transform("lines", lambda x: x["key"]))), 1, 2)
-    lines = (base.where(F.size("lines") > 0).select("row", "doc_id", "text_key", "host", least.alias("least"), F.explode("lines").alias("line"))
-             .select("row", "doc_id", "text_key", "host", F.col("line.key").alias("key"), F.col("line.n").alias("n"), F.when(
-                 F.col("line.key") == F.get("least", F.lit(0)), F.coalesce(F.get("least", F.lit(1)), F.lit(0)))
-                 .otherwise(F.get("least", F.lit(0))).alias("other")))
+    groups, frequent = copy_groups(base, rules)
+    groups = cut_lineage(groups, "copy_groups")
+    lines = (base.select("row", "doc_id", "text_key", "host", F.explode("lines").alias("line"))
+             .select("row", "doc_id", "text_key", "host", F.col("line.key").alias("key"), F.col("line.n").alias("n"))
+             .join(frequent, ["host", "key"]))
     per_host = base.groupBy("host").agg(F.count("*").alias("host_documents"))
-    common = broadcast_if_small(cut_lineage(common_lines(lines.select("host", "key", "other"), per_host, rules), "common_lines"))
+    common = common_lines(lines.select("row", "host", "key").join(groups, "row"), per_host, rules)
+    common = broadcast_if_small(cut_lineage(common, "common_lines"))
     return base.drop("lines", "host"), lines.join(common, ["host", "key"])
 
 

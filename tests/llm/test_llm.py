@@ -280,6 +280,24 @@ def test_common_lines_deplete_but_copies_do_not(spark):
         assert texts[i] == "\n".join(x for x in t.split("\n") if host == "b" or x.lower() != notice), i
 
 
+@pytest.mark.parametrize("frame", [20, 60])
+def test_documents_of_a_frame_and_a_line_of_their_own_are_depleted(spark, frame):
+    rng = random.Random(frame)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    shared = [prose(6) for _ in range(frame)]
+    whole = [prose(12) for _ in range(12)]
+    rows = [(i, "\n".join([*shared, prose(5)]), "a") for i in range(120)]
+    for i in range(120, 320):   # copies of a clean text, one word changed in two lines each
+        lines = [x.split() for x in whole]
+        for k in rng.sample(range(12), 2):
+            lines[k][rng.randrange(12)] = prose(1)
+        rows.append((i, "\n".join(map(" ".join, lines)), "a"))
+    rows += [(i, prose(60), "a") for i in range(320, 400)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(range(120))
+
+
 # ------------------------------------------------------------------ 6 decontamination
 
 def brute_contamination(t, items, n=10):
