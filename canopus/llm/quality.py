@@ -4,7 +4,7 @@ Base rules look at one document: its words, symbols, repeated lines and words in
 3-word windows. The cross-document rule hashes each normalised line (lower case, white
 space as one space) and counts, per host (``source``), the distinct documents that hold
 it. A line is *common* if more than ``min_docs`` of them and more than ``max_share`` of
-the host's documents hold it. Common lines are removed; a document of which less than
+the host's documents, counted in the same way and without empty ones, hold it. Common lines are removed; a document of which less than
 ``min_left`` of its words remain is depleted and rejected.
 
 Copies of a document count once, else every line of an often copied clean text would be
@@ -99,7 +99,7 @@ def base_columns(docs: DataFrame) -> DataFrame:
 
 
 def copy_groups(base: DataFrame, rules: QualityRules) -> tuple[DataFrame, DataFrame]:
-    """``(row, group)`` of rows with lines, equal for copies, and the frequent lines ``(host, key)``."""
+    """``(row, host, group)`` of rows with lines, equal for copies, and the frequent lines ``(host, key)``."""
     keys = F.array_distinct(F.transform("lines", lambda x: x["key"]))
     least = F.transform("lines", lambda x: F.get(x["sketch"], F.lit(0)))
     rows = base.where(F.size("lines") > 0).select("row", "host", "lines", F.sort_array(keys).alias("keys"), least.alias("least"))
@@ -118,7 +118,7 @@ def copy_groups(base: DataFrame, rules: QualityRules) -> tuple[DataFrame, DataFr
              .where(F.col("found") >= ALIKE * F.col("size")))
     alike = cut_lineage(alike.groupBy("row").agg(F.collect_set("least").alias("copied"), F.min("window").alias("shared")), "copied_lines")   # a document's lines
     own = F.array_except("least", F.coalesce("copied", F.array().cast("array<bigint>")))
-    return rows.join(alike, "row", "left").select("row", F.coalesce(F.array_min(own), "shared").alias("group")), frequent
+    return rows.join(alike, "row", "left").select("row", "host", F.coalesce(F.array_min(own), "shared").alias("group")), frequent
 
 
 def common_lines(lines: DataFrame, documents_per_host: DataFrame, rules: QualityRules) -> DataFrame:
@@ -140,8 +140,8 @@ def _analyse(docs: DataFrame, rules: QualityRules, id_col: str, text_col: str, h
     lines = (base.select("row", "doc_id", "text_key", "host", F.explode("lines").alias("line"))
              .select("row", "doc_id", "text_key", "host", F.col("line.key").alias("key"), F.col("line.n").alias("n"))
              .join(frequent, ["host", "key"]))
-    per_host = base.groupBy("host").agg(F.count("*").alias("host_documents"))
-    common = common_lines(lines.select("row", "host", "key").join(groups, "row"), per_host, rules)
+    per_host = groups.groupBy("host").agg(F.count_distinct("group").alias("host_documents"))
+    common = common_lines(lines.select("row", "host", "key").join(groups.drop("host"), "row"), per_host, rules)
     common = broadcast_if_small(cut_lineage(common, "common_lines"))
     return base.drop("lines", "host"), lines.join(common, ["host", "key"])
 

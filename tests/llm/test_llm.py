@@ -298,6 +298,16 @@ def test_documents_of_a_frame_and_a_line_of_their_own_are_depleted(spark, frame)
     assert {r.doc_id for r in got if not r.kept} == set(range(120))
 
 
+def test_share_of_common_lines_is_of_distinct_documents(spark):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    notice, copy = prose(60), "\n".join(prose(30) for _ in range(3))
+    rows = [(i, f"{notice}\n{prose(6)}", "a") for i in range(18)] + [(i, prose(70), "a") for i in range(18, 100)]
+    rows += [(i, copy, "a") for i in range(100, 1800)] + [(i, None if i % 2 else "", "a") for i in range(1800, 2000)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert {r.doc_id for r in got if not r.kept and r.n_words} == set(range(18))
+
+
 # ------------------------------------------------------------------ 6 decontamination
 
 def brute_contamination(t, items, n=10):
