@@ -2,8 +2,9 @@
 
 Features come from the URL alone: lengths, path depth, digit ratio, character entropy,
 hyphens, parameter counts, and statistics of the host's suffix (its last two labels) among
-the labelled URLs. The trees are trained on a bounded sample of labelled URLs (at most
-about ``max_train`` rows), with Spark's own trainer.
+all labelled URLs. The trees are trained on a bounded sample of labelled URLs (at most
+about ``max_train`` rows), with Spark's own trainer; there a URL's own labels are left out
+of its suffix's statistics, so that a suffix of this URL alone looks like an unseen one.
 
 No table labels URLs, so :func:`seed_labels` makes the labels: a URL is bad if a part of
 its host is on a short list of words of the kinds a blocklist has, good otherwise. Any
@@ -77,7 +78,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         (count(url, "0123456789") / F.greatest(F.length(url), F.lit(1))).alias("digit_ratio"), entropy(url).alias("entropy"),
         entropy(F.col("host")).alias("host_entropy"), count(F.col("host"), "-").alias("hyphens"),
         F.when(query == "", 0).otherwise(count(query, "&") + 1).alias("parameters"), F.col("url").contains("#").cast("int").alias("has_fragment"),
-        F.substring_index("host", ".", -2).alias("suffix")).withColumn("fragment", F.coalesce("has_fragment", F.lit(0))).drop("has_fragment")
+        suffix_of(F.col("host")).alias("suffix")).withColumn("fragment", F.coalesce("has_fragment", F.lit(0))).drop("has_fragment")
 
 
 def seed_labels(urls: DataFrame, words: Sequence[str] = BAD_WORDS) -> DataFrame:
@@ -93,20 +94,29 @@ def bounded_sample(df: DataFrame, most: int, seed: int = 3) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
 
 
+def suffix_of(host: Column) -> Column:
+    return F.substring_index(host, ".", -2)
+
+
 def with_suffix(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
-    return (rows.join(broadcast_if_small(suffixes), "suffix", "left")
-            .fillna({"suffix_log_count": 0.0, "suffix_bad_rate": 0.5}))
+    """``rows`` with their suffix's statistics, less ``own_n`` labels of which ``own_bad`` are bad if they have these."""
+    own_n, own_bad = (F.col(c) if c in rows.columns else F.lit(0) for c in ("own_n", "own_bad"))
+    n, bad = F.coalesce("suffix_n", F.lit(0)) - own_n, F.coalesce("suffix_bad", F.lit(0)) - own_bad
+    return rows.join(broadcast_if_small(suffixes), "suffix", "left").select(
+        *rows.columns, F.log1p(n).alias("suffix_log_count"), ((bad + 0.5) / (n + 1)).alias("suffix_bad_rate"))
 
 
 def train(labelled: DataFrame, max_train: int = MAX_TRAIN, trees: int = 20, depth: int = 4,
           seed: int = 11) -> tuple[GBTClassificationModel | None, DataFrame]:
-    """Trees and suffix statistics ``(suffix, suffix_log_count, suffix_bad_rate)`` from a
-    bounded sample of ``(url, label)``."""
-    sample = cut_lineage(bounded_sample(labelled, max_train), "labelled_urls").dropDuplicates(["url"])
+    """Trees from a bounded sample of ``(url, label)``, and ``(suffix, suffix_n, suffix_bad)`` of all of it."""
     host, path = host_and_path(F.col("url"))
-    sample = cut_lineage(lexical(sample.select("url", "label", host.alias("host"), path.alias("path"))), "url_sample")
-    suffixes = cut_lineage(sample.groupBy("suffix").agg(
-        F.log1p(F.count("*")).alias("suffix_log_count"), ((F.sum("label") + 0.5) / (F.count("*") + 1)).alias("suffix_bad_rate")), "url_suffixes")
+    suffixes = cut_lineage(labelled.groupBy(suffix_of(host).alias("suffix")).agg(
+        F.count("label").alias("suffix_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("suffix_bad")), "url_suffixes")
+    sample = cut_lineage(bounded_sample(labelled, max_train).dropDuplicates(["url"]), "labelled_urls")
+    own = labelled.join(broadcast_if_small(sample.select("url")), "url").groupBy("url").agg(
+        F.count("label").alias("own_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("own_bad"))
+    sample = sample.join(own, "url")
+    sample = cut_lineage(lexical(sample.select("url", "label", "own_n", "own_bad", host.alias("host"), path.alias("path"))), "url_sample")
     if sample.select("label").distinct().count() < 2:
         return None, suffixes
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix(sample, suffixes))

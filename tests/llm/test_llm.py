@@ -401,6 +401,20 @@ def test_urls(spark):
     assert sum((got[i].verdict == "block") == ("-" in u) for i, u in rows[400:]) >= 195
 
 
+def test_suffix_statistics_cover_all_labelled_urls(spark):
+    made = [(f"http://h{i}.s{i % 300}.example/{i}", int(i % 300 < 30)) for i in range(1200)] + [("http://casino.alone.test/", 1)] * 3
+    labelled = spark.createDataFrame(made, "url string, label int").repartition(3)
+    model, suffixes = url_filter.train(labelled, max_train=120)
+    assert model is not None
+    rows = spark.createDataFrame([(f"s{i}.example", 0, 0) for i in range(300)] + [("alone.test", 0, 0), ("alone.test", 3, 3), ("new.test", 0, 0)],
+                                 "suffix string, own_n int, own_bad int")
+    got = {(r.suffix, r.own_n): (r.suffix_log_count, r.suffix_bad_rate) for r in url_filter.with_suffix(rows, suffixes).collect()}
+    for i in range(300):
+        assert got[f"s{i}.example", 0] == pytest.approx((np.log(5), 0.9 if i < 30 else 0.1)), i
+    assert got["alone.test", 0] == pytest.approx((np.log(4), 3.5 / 4))
+    assert got["alone.test", 3] == got["new.test", 0] == (0.0, 0.5)   # alone but for its own labels, as an unseen one
+
+
 def test_url_rules_and_odd(spark):
     urls = {1: ("http://A.Net/x", "a.net", "/x", "net/", "block"), 2: ("http://www.example.net/en/1?q#f", "www.example.net", "/en/1", "example.net/en/", "allow"),
             3: ("http://myexample.com/de/", "myexample.com", "/de/", None, None), 4: ("x://example.com/de/?", "example.com", "/de/", "example.com/de/", "block"),
