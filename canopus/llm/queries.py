@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, license_scan, packing, quality, sharding, simhash, token_count, token_output, url_filter
+from . import (decontaminate, hard_negatives, html_extract, license_scan, mixing, packing, quality, sharding, simhash, token_count,
+               token_output, url_filter, whitening)
 from .common import read_table
 from .oracle import CONTAMINATION_SQL, QUALITY_SQL
 
@@ -56,10 +58,24 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), OUTPUT_END)
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=noisy)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_simhash_near_dedup, op3_token_counts, op4_best_fit_packing, op5_quality_rules, op6_benchmark_decontamination,
-        op7_html_extraction, op8_url_filters, op9_sharding, op10_token_output)
+        op7_html_extraction, op8_url_filters, op9_sharding, op10_token_output, op11_source_mixing, op12_hard_negatives,
+        op13_embedding_whitening)
 }
 #: The others have no SQL form (hash bits, token ids, trained models, random draws, HTML): see the tests.
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": QUALITY_SQL, "op6_benchmark_decontamination": CONTAMINATION_SQL}
