@@ -294,6 +294,11 @@ def q_intra_avg_full(spark, sf):
     return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
 
 
+def q_intra_avg_full_manhattan(spark, sf):
+    s = ev.intra_stats(_label_points(spark, sf), "manhattan")
+    return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
+
+
 def q_intra_avg_full_sparse(spark, sf):
     s = ev.intra_stats_sparse(_clustered(spark, sf).select("cluster_id", "doc_id"), _points(spark, sf, WORKED_V), KM_WORKED.measure)
     return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
@@ -317,7 +322,7 @@ def q_inter_pairs(spark, sf):
 
 
 def q_inter_stats(spark, sf):
-    s = ev.inter_stats(_pairs(spark, sf))
+    s = ev.inter_stats_of_centers(_label_centers(spark, sf), "sq_euclidean")
     return s.select("n_pairs", _r("max_dist"), _r("min_dist"), _r("avg_dist"), _r("density"))
 
 
@@ -336,14 +341,14 @@ def q_inter_pairs_sparse(spark, sf):
 
 
 def q_inter_stats_sparse(spark, sf):
-    s = ev.inter_stats(_pairs_sparse(spark, sf))
+    s = ev.inter_stats_of_centers(_kmeans(spark, sf, WORKED_V, KM_WORKED).centers, KM_WORKED.measure)
     return s.select("n_pairs", _r("max_dist"), _r("min_dist"), _r("avg_dist"), _r("density"))
 
 
 def q_evaluate_report(spark, sf):
     intra = ev.intra_stats(_label_points(spark, sf), "sq_euclidean", EVAL_CAP)
     pairs = _pairs(spark, sf)
-    return ev.evaluation_report(intra, ev.inter_stats(pairs), pairs)
+    return ev.evaluation_report(intra, ev.inter_stats_of_centers(_label_centers(spark, sf), "sq_euclidean"), pairs)
 
 
 def _model(spark, sf, empty: bool):
@@ -439,7 +444,7 @@ def q_canopy_centers(spark, sf):
     emb = _emb(spark, sf)
     t = cn.estimate_t(emb, KM_DENSE.canopy_fraction, KM_DENSE.canopy_factor, "sq_euclidean", KM_DENSE.seed).first()
     c = cn.canopy_centers(emb, t["t1"], t["t2"], "sq_euclidean")
-    return c.select("cluster_id", F.transform("center", lambda x: F.round(x, 6)).alias("center"))
+    return c.select("cluster_id", F.transform("center", lambda x: F.round(x, 6) + 0.0).alias("center"))
 
 
 def q_kmeans_canopy(spark, sf):
@@ -485,6 +490,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ngrams_llr": q_ngrams_llr,
     "distance_sq_euclidean": _distance_q("sq_euclidean"),
     "distance_cosine": _distance_q("cosine"),
+    "distance_euclidean": _distance_q("euclidean"),
+    "distance_chebyshev": _distance_q("chebyshev"),
     "random_seeds": q_random_seeds,
     "assign_sparse": q_assign_sparse,
     "update_centroids": q_update_centroids,
@@ -500,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intra_stats": q_intra_stats,
     "intra_stats_capped": q_intra_stats_capped,
     "intra_avg_full": q_intra_avg_full,
+    "intra_avg_full_manhattan": q_intra_avg_full_manhattan,
     "intra_avg_full_sparse": q_intra_avg_full_sparse,
     "kmeans_dense_manhattan": q_kmeans_dense_manhattan,
     "inter_pairs": q_inter_pairs,

@@ -46,15 +46,34 @@ def _sparse_sq(x2, c2, dot):
     return F.greatest(x2 + c2 - F.lit(2.0) * dot, F.lit(0.0))
 
 
-def _rows(a: np.ndarray, b: np.ndarray, f, chunk: int = 64) -> np.ndarray:
+TILE_CELLS = 4_000_000   # numbers that a tile's working arrays may hold
+
+
+def _rows(a: np.ndarray, b: np.ndarray, f) -> np.ndarray:
     out = np.empty((a.shape[0], b.shape[0]))
+    chunk = max(1, TILE_CELLS // max(1, b.size))
     for i in range(0, a.shape[0], chunk):
-        out[i:i + chunk] = f(a[i:i + chunk, None, :] - b[None, :, :])
+        for j in range(0, b.shape[0], max(1, TILE_CELLS // max(1, b.shape[1]))):
+            c = b[j:j + max(1, TILE_CELLS // max(1, b.shape[1]))]
+            out[i:i + chunk, j:j + len(c)] = f(a[i:i + chunk, None, :] - c[None, :, :])
     return out
 
 
 def _tile_sq(a, b):
-    return _rows(a, b, lambda d: (d * d).sum(-1))
+    """One matrix product. Distances far below the squared norms, which the subtraction leaves
+    with fewer digits, are computed from the differences."""
+    if not a.size or not b.size:
+        return np.zeros((a.shape[0], b.shape[0]))
+    scale = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    d = a @ b.T
+    d *= -2.0
+    d += scale
+    i, j = np.nonzero(d <= 1e-3 * scale)
+    step = max(1, TILE_CELLS // a.shape[1])
+    for k in range(0, len(i), step):
+        diff = a[i[k:k + step]] - b[j[k:k + step]]
+        d[i[k:k + step], j[k:k + step]] = (diff * diff).sum(1)
+    return d
 
 
 def _tile_cosine(a, b):

@@ -1,27 +1,32 @@
 """Cluster evaluation.
 
 Intra-cluster: with ``max_points=None`` (default) the average over all pairs of a cluster
-comes from a closed form for squared Euclidean (``n sum|x|^2 - |sum x|^2``) and cosine
-distance (the norm of the summed unit vectors); minimum, maximum and density, which need the
-pairs, are NULL. With an explicit ``max_points`` (the original uses 1000) the first points in
+comes from a closed form for squared Euclidean (``n sum|x|^2 - |sum x|^2``), cosine (the norm
+of the summed unit vectors) and Manhattan distance (per cluster and entry, ``(2i - n - 1) x``
+summed over the values by rank ``i``); minimum, maximum and density, which need the pairs, are NULL. With an explicit ``max_points`` (the original uses 1000) the first points in
 id order are compared pairwise; ``n_total`` and ``n_used`` tell how many there are and how
 many were used. Pairs are never materialised as rows: each cluster's points are cut into blocks of ``block`` points, every (block_i <= block_j) tile becomes
 one ``applyInPandas`` group of at most 2*block points, and each tile returns a single row
 (pair count, sum, min, max). Tiles are then combined per cluster.
 
-Inter-cluster: distances between every pair of centres (i < j), then max / min / avg /
-scaled density. Density ``(avg-min)/(max-min)`` is NULL where the original yields NaN
+Inter-cluster: distances between every pair of centres (i < j), block by block, then max /
+min / avg / scaled density; the statistics alone need no row per pair. Density ``(avg-min)/(max-min)`` is NULL where the original yields NaN
 (0/0: one pair, equal distances, or no pairs).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopus.functions.distance import distance
+from canopus.operators.blocks import distances, one_pack, pack, read_block, tiles, with_tile
+from canopus.operators.ranking import with_global_index
 
 TILE_SCHEMA = "cluster_id int, n_pairs long, s double, mn double, mx double"
 DENSE_TILE_CELLS = 32_000_000  # tile-local dense matrix cells allowed (256 MB of doubles)
@@ -98,6 +103,20 @@ def _to_tiles(ranked: DataFrame, sizes: DataFrame, block: int, *cols: str) -> Da
             .select("cluster_id", "rn", *cols, "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
 
 
+def _manhattan_sums(base: DataFrame) -> DataFrame:
+    """``(cluster_id, n, s)`` with the sum ``s`` of all pair distances: per cluster and entry, a
+    value of rank i of n (from 1) is subtracted in n - i pairs and added in i - 1. Ranks come
+    from one distributed sort of the values; no point is copied, no cluster is in one task."""
+    sizes = base.groupBy("cluster_id").agg(F.count("*").alias("n"))
+    values = base.select("cluster_id", F.posexplode("vec").alias("dim", "v"))
+    ranked, _ = with_global_index(values, ["cluster_id", "dim", "v"], "_g")
+    starts = ranked.groupBy("cluster_id", "dim").agg(F.min("_g").alias("_s"))
+    rank = F.col("_g") - F.col("_s") + 1
+    parts = (ranked.join(starts, ["cluster_id", "dim"]).join(sizes, "cluster_id")
+             .groupBy("cluster_id").agg(F.sum((2 * rank - F.col("n") - 1) * F.col("v")).alias("s")))
+    return sizes.join(parts, "cluster_id", "left").select("cluster_id", "n", F.coalesce("s", F.lit(0.0)).alias("s"))
+
+
 def intra_stats(points: DataFrame, measure: str = "sq_euclidean", max_points: int | None = None,
                 cluster_col: str = "cluster_id", id_col: str = "point_id", vec_col: str = "vec",
                 block: int = 256) -> DataFrame:
@@ -118,9 +137,11 @@ def intra_stats(points: DataFrame, measure: str = "sq_euclidean", max_points: in
         total = (F.col("n") * F.col("x2") - F.col("v2") if measure == "sq_euclidean"
                  else _cosine_sum(F.col("m"), F.col("n") - F.col("m"), F.col("v2")))
         return _average_only(agg.select("cluster_id", "n", total.alias("s")))
+    if max_points is None and measure == "manhattan":
+        return _average_only(_manhattan_sums(base))
     ranked, sizes = _ranked(base, max_points)
-    tiles = _to_tiles(ranked, sizes, block, "vec")
-    return _combine(tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_tile_fn(measure), TILE_SCHEMA), sizes)
+    tiled = _to_tiles(ranked, sizes, block, "vec")
+    return _combine(tiled.groupBy("cluster_id", "lo", "hi").applyInPandas(_tile_fn(measure), TILE_SCHEMA), sizes)
 
 
 def label_centroids(points: DataFrame, cluster_col: str = "label", vec_col: str = "vec") -> DataFrame:
@@ -138,10 +159,66 @@ def _numbered(centers: DataFrame) -> tuple[DataFrame, int]:
     return r, ids.count()
 
 
+def _center_packs(centers: DataFrame) -> DataFrame:
+    """Packed centres (:mod:`.blocks`), dense ``(cluster_id, center)`` or long-form sparse
+    ``(cluster_id, term_id, weight)``, numbered by their cluster ids."""
+    no = F.col("cluster_id").cast("long").alias("no")
+    if "center" in centers.columns:
+        return pack(centers.select(no, F.col("center").alias("val")))
+    e = F.array_sort(F.collect_list(F.struct(F.col("term_id").cast("long").alias("term_id"), F.col("weight").cast("double").alias("weight"))))
+    rows = centers.groupBy("cluster_id").agg(e.alias("_e"))
+    return pack(rows.select(no, F.col("_e.term_id").alias("idx"), F.col("_e.weight").alias("val")), sparse=True)
+
+
+def _center_pairs(centers: DataFrame, measure: str, fn, schema: str) -> DataFrame:
+    """``fn(ids, other ids, distances, which pairs count)`` over blocks of centre pairs with
+    id < other id: packs of centres beside tiles of them, so a centre is copied to tasks but
+    never to its partners."""
+    tiled, n = tiles(_center_packs(centers))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own, tile = read_block(batch, i), read_block(batch, i, "t_")
+                if not len(own) or not len(tile) or own.nos[0] >= tile.nos[-1]:
+                    continue
+                for r, c, d in distances(own, tile, measure):
+                    a, b = own.nos[r:r + d.shape[0]], tile.nos[c:c + d.shape[1]]
+                    counts = a[:, None] < b[None, :]
+                    if counts.any():
+                        yield fn(a, b, d, counts)
+    packs = tiled.drop("tile")
+    parts = [with_tile(packs, one_pack(packs.where(tiled["tile"] == i))).mapInArrow(run, schema) for i in range(n)]
+    return reduce(DataFrame.unionByName, parts) if parts else centers.sparkSession.createDataFrame([], schema)
+
+
+def _pair_rows(a, b, d, counts):
+    x, y = np.nonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(a[x].astype("int32")), pa.array(b[y].astype("int32")), pa.array(d[x, y])],
+                                      names=["cluster_id_1", "cluster_id_2", "distance"])
+
+
+def _pair_sums(a, b, d, counts):
+    d = d[counts]
+    return pa.RecordBatch.from_arrays([pa.array([d.size]), pa.array([float(d.sum())]), pa.array([float(d.min())]), pa.array([float(d.max())])],
+                                      names=["n_pairs", "s", "mn", "mx"])
+
+
+def _has_blocks(centers: DataFrame, measure: str) -> bool:
+    m = distance(measure)
+    if "center" in centers.columns:
+        return m.tile is not None
+    if m.parts is None:
+        raise ValueError(f"measure {measure!r} has no sparse form")
+    return True
+
+
 def inter_pairs(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
     """``(cluster_id_1, cluster_id_2, distance)`` for every centre pair with id_1 < id_2: the
-    report's own output, k(k-1)/2 rows. Each centre is copied to the numbers of the centres
-    after it and joined with them by number, so no centre is part of the plan."""
+    report's own output, k(k-1)/2 rows. A measure with expressions only has its centres copied
+    to the numbers of the centres after them and joined by number."""
+    if _has_blocks(centers, measure):
+        return _center_pairs(centers, measure, _pair_rows, "cluster_id_1 int, cluster_id_2 int, distance double")
     ids, k = _numbered(centers)
     rows = centers.select(F.col("cluster_id").cast("int"), "center").join(ids, "cluster_id")
     after = F.when(F.col("_r") < k - 1, F.sequence(F.col("_r") + 1, F.lit(k - 1)))
@@ -151,6 +228,18 @@ def inter_pairs(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
         "cluster_id_1", "cluster_id_2", distance(measure).dense(F.col("_a"), F.col("_b")).alias("distance"))
 
 
+def inter_stats_of_centers(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
+    """:func:`inter_stats` without pair rows: blocks of centre pairs return one row each (count,
+    sum, minimum, maximum), so that the shuffle has as many rows as there are blocks."""
+    if not _has_blocks(centers, measure):
+        return inter_stats(inter_pairs(centers, measure))
+    agg = _center_pairs(centers, measure, _pair_sums, "n_pairs long, s double, mn double, mx double").agg(
+        F.coalesce(F.sum("n_pairs"), F.lit(0).cast("long")).alias("n_pairs"), F.max("mx").alias("max_dist"), F.min("mn").alias("min_dist"), F.sum("s").alias("s"))
+    agg = agg.withColumn("avg_dist", F.try_divide(F.col("s"), F.col("n_pairs").cast("double")))
+    return agg.select("n_pairs", "max_dist", "min_dist", "avg_dist", F.try_divide(
+        F.col("avg_dist") - F.col("min_dist"), F.col("max_dist") - F.col("min_dist")).alias("density"))
+
+
 def inter_stats(pairs: DataFrame) -> DataFrame:
     """1 row: ``(n_pairs, max_dist, min_dist, avg_dist, density)``."""
     avg = F.try_divide(F.sum("distance"), F.count("*").cast("double"))
@@ -276,33 +365,10 @@ def intra_stats_sparse(points: DataFrame, vecs: DataFrame, measure: str = "sq_eu
     ranked = ranked.join(per_doc, "_id", "left").select(
         "cluster_id", "_id", "rn", F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
         F.coalesce("val", F.array().cast("array<double>")).alias("val"))
-    tiles = _to_tiles(ranked, sizes, block, "idx", "val")
-    return _combine(tiles.groupBy("cluster_id", "lo", "hi").applyInPandas(_sparse_tile_fn(measure), TILE_SCHEMA), sizes)
+    tiled = _to_tiles(ranked, sizes, block, "idx", "val")
+    return _combine(tiled.groupBy("cluster_id", "lo", "hi").applyInPandas(_sparse_tile_fn(measure), TILE_SCHEMA), sizes)
 
 
 def inter_pairs_sparse(centers: DataFrame, measure: str = "sq_euclidean") -> DataFrame:
-    """Centre pairs for long-form centres ``(cluster_id, term_id, weight)``. Centres travel as
-    one row of arrays each past blocks of centres (a broadcast of bounded size); a task emits
-    finished pairs only, no centre's terms are copied to its partners."""
-    from canopus.operators.canopy import _arrays, _sparse_distances, _sparse_measure, _tiles, sparse_rows
-    dist = _sparse_measure(measure)
-    rows = sparse_rows(centers, "cluster_id")
-    ids = [(r["id"], r["n"]) for r in rows.select("id", F.size("idx").alias("n")).orderBy("id").collect()]   # k rows
-    spark, out = centers.sparkSession, None
-    for part in _tiles([n for _, n in ids]):
-        lo, hi = ids[part.start][0], ids[part.stop - 1][0]
-        block = rows.where((F.col("id") >= lo) & (F.col("id") <= hi)).orderBy("id").collect()   # one block
-        shared = spark.sparkContext.broadcast((
-            np.array([r["id"] for r in block]), _arrays(([r["idx"] for r in block], [r["val"] for r in block]))))
-
-        def run(batches, shared=shared):
-            other, b = shared.value
-            for pdf in batches:
-                own = pdf["id"].to_numpy()
-                for i, d in _sparse_distances(_arrays((pdf["idx"], pdf["val"])), b, dist):
-                    x, y = np.nonzero(own[i:i + len(d), None] < other[None, :])
-                    yield pd.DataFrame({"cluster_id_1": own[i + x].astype("int32"), "cluster_id_2": other[y].astype("int32"),
-                                        "distance": d[x, y]})
-        pairs = rows.mapInPandas(run, "cluster_id_1 int, cluster_id_2 int, distance double")
-        out = pairs if out is None else out.unionByName(pairs)
-    return out if out is not None else spark.createDataFrame([], "cluster_id_1 int, cluster_id_2 int, distance double")
+    """:func:`inter_pairs` for long-form centres ``(cluster_id, term_id, weight)``."""
+    return inter_pairs(centers, measure)

@@ -11,8 +11,9 @@ A document sharing no term with a centre still gets that centre as a candidate
 every centre moved by at most ``delta`` (in the chosen measure) or after ``max_iter``.
 
 Dense points are ``(point_id, vec ARRAY<DOUBLE>)``; a few small centres travel inside the
-expression as a folded literal, more of them as broadcast blocks.
-Only k-row tables (seed ids, per-cluster stats, dense centres) reach the driver.
+expression as a folded literal, more of them stay a table that packed points go past tile by
+tile (:mod:`.blocks`). Only seed ids, per-cluster numbers and a few small dense centres reach
+the driver.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from canopus.config import KMeansConfig
 from canopus.functions.distance import distance
+from canopus.operators.blocks import COLUMNS, PACK_TYPES, SCHEMA, distances, one_pack, pack, read_block, tiles, with_tile
 from canopus.session import cut_lineage, write_bucketed
 
 DENSE_LITERAL_MAX = 4_096   # k x d values that may be inlined as a literal; beyond, blocks of centres are broadcast
@@ -117,33 +118,57 @@ def _center_blocks(cent: DataFrame, k: int, nnz: int) -> list[tuple[int, int]]:
     return [(k * i // n, k * (i + 1) // n) for i in range(n)]
 
 
+BATCH_CELLS = 2_000_000   # (document, centre) products held at once by a task
+
+
 def _best_in_block_fn(shared, lo: int, hi: int, dist):
     """Updates the running best ``(distance, cluster_id)`` of document rows with the centres
-    ``lo`` to ``hi - 1``. A batch's dot products come from the centres' postings of its terms;
-    a centre sharing no term has dot product 0 and is a candidate like any other."""
+    ``lo`` to ``hi - 1``. The dot products of some documents with all these centres are one
+    sparse product: the documents' entries meet the postings of their terms. A centre sharing
+    no term has dot product 0 and is a candidate like any other."""
     def run(batches):
         terms, starts, centers, weights, c2 = shared.value
+        k = hi - lo
+        step = max(1, BATCH_CELLS // k)
         for pdf in batches:
             best_d = pdf["distance"].to_numpy(dtype=float, copy=True)
             best_c = pdf["cluster_id"].to_numpy(dtype=np.int64, copy=True)
-            for i, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
-                idx, val = np.asarray(idx, dtype=np.int64), np.asarray(val, dtype=float)
-                at = np.searchsorted(terms, idx)
-                hit = np.flatnonzero((at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == idx)) if len(terms) else []
-                dots = np.zeros(hi - lo)
-                if len(hit):
-                    a, b = starts[at[hit]], starts[at[hit] + 1]
-                    n = b - a
-                    pos = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                    dots = np.bincount(centers[pos], weights=np.repeat(val[hit], n) * weights[pos], minlength=hi - lo)
-                d = np.round(dist(float(val @ val), c2, dots), 9)
-                j = int(d.argmin())               # first minimum: lowest cluster id on ties
-                if best_c[i] < 0 or d[j] < best_d[i]:
-                    best_d[i], best_c[i] = d[j], lo + j
+            for i in range(0, len(pdf), step):
+                vals = [np.asarray(v, dtype=float) for v in pdf["val"].iloc[i:i + step]]
+                docs = len(vals)
+                lens = np.array([len(v) for v in vals])
+                idx = np.concatenate([np.asarray(v, dtype=np.int64) for v in pdf["idx"].iloc[i:i + step]])
+                val, doc = np.concatenate(vals), np.repeat(np.arange(docs), lens)
+                x2 = np.bincount(doc, weights=val * val, minlength=docs)
+                dots = np.zeros(docs * k)
+                if len(terms):
+                    at = np.minimum(np.searchsorted(terms, idx), len(terms) - 1)
+                    hit = np.flatnonzero(terms[at] == idx)
+                    a, n = starts[at[hit]], starts[at[hit] + 1] - starts[at[hit]]
+                    for part in _runs_of(n, BATCH_CELLS):
+                        m = n[part]
+                        pos = np.repeat(a[part] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                        cell = np.repeat(doc[hit[part]] * k, m) + centers[pos]
+                        dots += np.bincount(cell, weights=np.repeat(val[hit[part]], m) * weights[pos], minlength=docs * k)
+                d = np.round(dist(x2[:, None], c2[None, :], dots.reshape(docs, k)), 9)
+                j = d.argmin(axis=1)               # first minimum: lowest cluster id on ties
+                dj = d[np.arange(docs), j]
+                own = slice(i, i + docs)
+                better = (best_c[own] < 0) | (dj < best_d[own])
+                best_d[own], best_c[own] = np.where(better, dj, best_d[own]), np.where(better, lo + j, best_c[own])
             yield pdf.assign(distance=best_d, cluster_id=best_c.astype("int32"))
     return run
 
 
+def _runs_of(n: np.ndarray, most: int) -> list[slice]:
+    """Runs of entries with about ``most`` postings in all."""
+    if not len(n):
+        return []
+    run = np.cumsum(n) // most
+    edges = np.flatnonzero(np.diff(run)) + 1
+    return [slice(a, b) for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(n)], strict=True)]
+
+
 def nearest_center_rows(points: DataFrame, cent: DataFrame, k: int, c2: list[float], measure: str, nnz: int) -> DataFrame:
     """Exact nearest centre for many centres: ``(doc_id, cluster_id, distance)``, one row per
     document and nothing larger on the way. Documents travel as one row of arrays past
@@ -243,7 +268,7 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
     for it in range(1, cfg.max_iter + 1):
         rows = assign(cent, c2, nnz)
         sums = cut_lineage(centroid_sums(rows))          # the one pass over the points
-        new = cut_lineage(update_sparse(rows, cent, sums))
+        new = cut_lineage(update_sparse(rows, cent, sums))   # k x terms rows
         st = sparse_center_stats(cent, new)
         moved = sparse_shifts(pts.sparkSession, st, k, cfg.measure)
         shifts.append(moved)
@@ -253,8 +278,8 @@ def kmeans_sparse(points: DataFrame, seeds_long: DataFrame, k: int, cfg: KMeansC
             converged = True
             break
     rows = assign(cent, c2, nnz)
-    out = above_threshold(rows.where("_first").select("cluster_id", "doc_id", F.lit(1.0).alias("weight"), "distance"), cfg.threshold)
-    return KMeansResult(cent, out, it, converged, shifts)
+    final = cut_lineage(rows.where("_first").select("cluster_id", "doc_id", F.lit(1.0).alias("weight"), "distance"))   # read by every report
+    return KMeansResult(cent, above_threshold(final, cfg.threshold), it, converged, shifts)
 
 
 def kmeans_sparse_random(vecs: DataFrame, cfg: KMeansConfig = KMeansConfig()) -> KMeansResult:
@@ -277,17 +302,40 @@ def _best_dense_fn(shared, first: int, measure: str, vec_col: str):
         for pdf in batches:
             best_d = pdf["distance"].to_numpy(dtype=float, copy=True)
             best_c = pdf["cluster_id"].to_numpy(dtype=np.int64, copy=True)
-            if len(pdf):
-                x = np.stack([np.asarray(v, dtype=float) for v in pdf[vec_col]])
+            step = max(1, DENSE_BLOCK_VALUES // len(shared.value))
+            for i in range(0, len(pdf), step):
+                x = np.stack([np.asarray(v, dtype=float) for v in pdf[vec_col].iloc[i:i + step]])
                 d = np.round(tile(x, shared.value), 9)
                 j = d.argmin(axis=1)                 # first minimum: lowest cluster id on ties
                 dj = d[np.arange(len(j)), j]
-                better = (best_c < 0) | (dj < best_d)
-                best_d, best_c = np.where(better, dj, best_d), np.where(better, j + first, best_c)
+                own = slice(i, i + len(j))
+                better = (best_c[own] < 0) | (dj < best_d[own])
+                best_d[own], best_c[own] = np.where(better, dj, best_d[own]), np.where(better, j + first, best_c[own])
             yield pdf.assign(distance=best_d, cluster_id=best_c.astype("int32"))
     return run
 
 
+STRUCT_VALUES = 1_000_000   # centre values beside each point at once, for a measure without a block form
+
+
+def assign_dense_structs(points: DataFrame, centers: DataFrame, measure: str, vec_col: str = "vec") -> DataFrame:
+    """:func:`assign_dense` for a table of centres ``(cluster_id, center)`` and any measure: runs
+    of centres are one broadcast array of structs each, of bounded size, which the measure's
+    expression goes through; so the plan doesn't grow with the centres, their runs aside."""
+    m = distance(measure)
+    size = centers.agg(F.max("cluster_id").alias("last"), F.max(F.size("center")).alias("d")).first()
+    per = max(1, STRUCT_VALUES // max(1, size["d"] or 1))
+    best = F.struct(F.lit(float("inf")).alias("d"), F.lit(-1).alias("c"))
+    cols = points.columns
+    out = points.withColumn("_k", F.lit(0)).withColumn("_best", best)
+    for first in range(0, (size["last"] + 1) if size["last"] is not None else 0, per):
+        run = (centers.where((F.col("cluster_id") >= first) & (F.col("cluster_id") < first + per)).groupBy(F.lit(0).alias("_k"))
+               .agg(F.array_sort(F.collect_list(F.struct(F.col("cluster_id").cast("int").alias("c"), F.col("center").alias("v")))).alias("_run")))
+        cand = F.transform("_run", lambda s: F.struct(F.round(m.dense(F.col(vec_col), s["v"]), 9).alias("d"), s["c"].alias("c")))
+        out = out.join(F.broadcast(run), "_k", "left").withColumn("_best", F.least("_best", F.array_min(cand))).drop("_run")
+    return out.select(*cols, F.col("_best.c").alias("cluster_id"), F.col("_best.d").alias("distance"))
+
+
 def assign_dense(points: DataFrame, centers: list, measure: str, vec_col: str = "vec",
                  max_k_expr: int = 32) -> DataFrame:
     """Adds ``cluster_id`` and ``distance`` (9 dp) to every point. A few small centres are
@@ -296,6 +344,9 @@ def assign_dense(points: DataFrame, centers: list, measure: str, vec_col: str =
     the plan nor a task's memory grows with the number of centres."""
     k, d = len(centers), len(centers[0]) if centers else 0
     m = distance(measure)
+    if m.tile is None and k * d > DENSE_LITERAL_MAX:
+        table = points.sparkSession.createDataFrame([(j, [float(v) for v in c]) for j, c in enumerate(centers)], "cluster_id int, center array<double>")
+        return assign_dense_structs(points, table, measure, vec_col)
     if m.tile is None or (k <= max_k_expr and k * d <= DENSE_LITERAL_MAX):
         cand = F.array(*[F.struct(F.round(m.dense(F.col(vec_col), _dense_literal(c)), 9).alias("d"),
                                   F.lit(j).alias("c")) for j, c in enumerate(centers)])
@@ -327,8 +378,19 @@ def dense_shifts(spark, old: list, new: list, measure: str) -> list[float]:
     return [r["d"] for r in rows.select("j", m.dense(F.col("a"), F.col("b")).alias("d")).orderBy("j").collect()]
 
 
-def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansConfig(),
+def kmeans_dense(points: DataFrame, centers: list | DataFrame, cfg: KMeansConfig = KMeansConfig(),
                  id_col: str = "point_id", vec_col: str = "vec") -> KMeansResult:
+    """Lloyd iterations over dense points. ``centers``: a list, or a table ``(cluster_id, center)``
+    with ids 0..k-1. A few small centres travel inside the expressions; more of them stay a
+    table throughout (:func:`_kmeans_dense_table`)."""
+    if isinstance(centers, DataFrame):
+        size = centers.agg(F.count("*").alias("k"), F.max(F.size("center")).alias("d")).first()
+        if size["k"] > cfg.array_max_k or size["k"] * (size["d"] or 0) > DENSE_LITERAL_MAX:
+            return _kmeans_dense_table(points, centers, cfg, id_col, vec_col)
+        centers = [list(r["center"]) for r in centers.orderBy("cluster_id").collect()]   # at most DENSE_LITERAL_MAX values
+    elif len(centers) > cfg.array_max_k or len(centers) * len(centers[0]) > DENSE_LITERAL_MAX:
+        table = points.sparkSession.createDataFrame([(j, [float(v) for v in c]) for j, c in enumerate(centers)], "cluster_id int, center array<double>")
+        return _kmeans_dense_table(points, table, cfg, id_col, vec_col)
     pts = cut_lineage(points.select(id_col, vec_col))
     centers = [list(map(float, c)) for c in centers]
     k = len(centers)
@@ -351,6 +413,123 @@ def kmeans_dense(points: DataFrame, centers: list, cfg: KMeansConfig = KMeansCon
     return KMeansResult(cdf, out, it, converged, shifts)
 
 
+# ----------------------------------------------------------------------------- dense, centres as a table
+
+BEST_SCHEMA = f"{SCHEMA}, best_c binary, best_d binary"
+SUM_VALUES = 2_000_000   # partial sums that a task holds before it passes them on
+
+
+def _best_of_tile_fn(measure: str):
+    """Updates the running best of packs of points with the centres of the tile beside them."""
+    schema = pa.schema([*zip(COLUMNS, PACK_TYPES, strict=True), ("best_c", pa.binary()), ("best_d", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own, tile = read_block(batch, i), read_block(batch, i, "t_")
+                c, d = batch.column("best_c")[i].as_py(), batch.column("best_d")[i].as_py()
+                best_c = np.full(len(own), -1, dtype=np.int64) if c is None else np.frombuffer(c, "<i8").copy()
+                best_d = np.full(len(own), np.inf) if d is None else np.frombuffer(d, "<f8").copy()
+                for r, t, dist in distances(own, tile, measure):
+                    dist = np.round(dist, 9)
+                    j = dist.argmin(axis=1)          # first minimum: lowest cluster id on ties
+                    dj = dist[np.arange(len(j)), j]
+                    part = slice(r, r + len(j))
+                    better = (best_c[part] < 0) | (dj < best_d[part])
+                    best_d[part], best_c[part] = np.where(better, dj, best_d[part]), np.where(better, tile.nos[t + j], best_c[part])
+                row = [*(batch.column(x)[i].as_py() for x in COLUMNS), best_c.astype("<i8").tobytes(), best_d.astype("<f8").tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types, strict=True)], schema=schema)
+    return run
+
+
+def nearest_center_packs(packs: DataFrame, centers: DataFrame, measure: str) -> DataFrame:
+    """Packs with each point's nearest centre and distance. The packs go past one tile of centres
+    after the other, each a broadcast of bounded size; between tiles they are written."""
+    tiled, n = tiles(pack(centers.select(F.col("cluster_id").cast("long").alias("no"), F.col("center").alias("val"))))
+    state = packs.select(*COLUMNS, F.lit(None).cast("binary").alias("best_c"), F.lit(None).cast("binary").alias("best_d"))
+    for i in range(n):
+        tile = one_pack(tiled.where(F.col("tile") == i))
+        state = with_tile(state, tile).mapInArrow(_best_of_tile_fn(measure), BEST_SCHEMA)
+        if i < n - 1:
+            state = cut_lineage(state, "nearest")
+    return state
+
+
+def _cluster_sums(batches):
+    """Sizes and sums of the points by cluster: a task's own, in runs of bounded size."""
+    held: dict[int, list] = {}
+
+    def flush():
+        if held:
+            yield pa.RecordBatch.from_pydict({"cluster_id": pa.array(list(held), pa.int32()), "n": pa.array([v[0] for v in held.values()], pa.int64()),
+                                              "s": pa.array([v[1] for v in held.values()], pa.list_(pa.float64()))})
+            held.clear()
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            x = read_block(batch, i).matrix()
+            c = np.frombuffer(batch.column("best_c")[i].as_py(), "<i8")
+            order = np.argsort(c, kind="stable")
+            ids, first = np.unique(c[order], return_index=True)
+            sums, sizes = np.add.reduceat(x[order], first, axis=0), np.diff(np.append(first, len(c)))
+            for j, n, s in zip(ids.tolist(), sizes.tolist(), sums, strict=True):
+                old = held.get(j)
+                held[j] = [n, s] if old is None else [old[0] + n, old[1] + s]
+            if len(held) * x.shape[1] >= SUM_VALUES:
+                yield from flush()
+    yield from flush()
+
+
+def _point_rows(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(read_block(batch, i).nos), pa.array(np.frombuffer(batch.column("best_c")[i].as_py(), "<i8").astype("int32")),
+                pa.array(np.frombuffer(batch.column("best_d")[i].as_py(), "<f8"))], names=["_no", "cluster_id", "distance"])
+
+
+def _kmeans_dense_table(points: DataFrame, centers: DataFrame, cfg: KMeansConfig, id_col: str, vec_col: str) -> KMeansResult:
+    """:func:`kmeans_dense` for any number of centres, which stay a written table: points are
+    packed once, each iteration is one pass past tiles of centres, partial sums per task, and
+    a join of the means with the old centres. One row (the largest movement) reaches the
+    driver an iteration; ``shifts`` has it alone."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    m = distance(cfg.measure)
+    numbered = cut_lineage(points.select(id_col, vec_col, F.monotonically_increasing_id().alias("_no")))
+    blocks = m.tile is not None
+    packs = pack(numbered.select(F.col("_no").alias("no"), F.col(vec_col).alias("val"))) if blocks else None
+    cent = cut_lineage(centers.select(F.col("cluster_id").cast("int").alias("cluster_id"), "center"))
+
+    def sums(cent):
+        if blocks:
+            parts = nearest_center_packs(packs, cent, cfg.measure).mapInArrow(_cluster_sums, "cluster_id int, n long, s array<double>")
+        else:
+            parts = assign_dense_structs(numbered, cent, cfg.measure, vec_col).select("cluster_id", F.lit(1).cast("long").alias("n"), F.col(vec_col).alias("s"))
+        total = parts.groupBy("cluster_id").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
+        return total.select("cluster_id", "n", F.transform("s", lambda v: v / F.col("n")).alias("mean"))
+
+    it, converged, shifts = 0, False, []
+    for it in range(1, cfg.max_iter + 1):
+        new = cent.join(sums(cent), "cluster_id", "left").select("cluster_id", "center", F.coalesce("mean", "center").alias("mean"))
+        new = cut_lineage(new.select("cluster_id", F.col("mean").alias("center"), m.dense(F.col("center"), F.col("mean")).alias("moved")))
+        moved = new.agg(F.max("moved").alias("m")).first()["m"]
+        shifts.append([moved])
+        cent = new.drop("moved")
+        if moved is None or moved <= cfg.delta:
+            converged = True
+            break
+    if blocks:
+        rows = nearest_center_packs(packs, cent, cfg.measure).mapInArrow(_point_rows, "_no long, cluster_id int, distance double")
+        final = numbered.select(id_col, "_no").join(rows, "_no")
+    else:
+        final = assign_dense_structs(numbered, cent, cfg.measure, vec_col)
+    final = cut_lineage(final.select("cluster_id", id_col, F.lit(1.0).alias("weight"), "distance"))
+    sizes = final.groupBy("cluster_id").agg(F.count("*").alias("n"))
+    out = cent.join(sizes, "cluster_id", "left").select("cluster_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "center")
+    return KMeansResult(out, above_threshold(final, cfg.threshold), it, converged, shifts)
+
+
 def dense_seed_centers(points: DataFrame, k: int, seed: int, id_col: str = "point_id",
                        vec_col: str = "vec") -> list:
     seeds = random_seeds(points.select(id_col), k, seed, id_col)

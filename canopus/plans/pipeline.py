@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from canopus.config import DumpConfig, KMeansConfig, VectorizeConfig
 from canopus.operators import kmeans as km
-from canopus.operators.evaluate import evaluation_report, inter_pairs_sparse, inter_stats, intra_stats_sparse
+from canopus.operators.evaluate import evaluation_report, inter_pairs_sparse, inter_stats_of_centers, intra_stats_sparse
 from canopus.operators.topk import top_terms
 from canopus.operators.vectorize import Stages, doc_terms, term_counts, vectorize
 from canopus.plans.reports import dump_clusters, dump_points_lines, write_lines
@@ -104,7 +104,7 @@ def evaluation_rows(points: DataFrame, vecs: DataFrame, centers: DataFrame, cfg:
     """Evaluation report (E4/K9) over clustered TF-IDF points and the final centres."""
     intra = intra_stats_sparse(points, vecs, cfg.measure, cfg.eval_max_points)
     pairs = inter_pairs_sparse(centers, cfg.measure)
-    return evaluation_report(intra, inter_stats(pairs), pairs)
+    return evaluation_report(intra, inter_stats_of_centers(centers, cfg.measure), pairs)
 
 
 def run_all(spark: SparkSession, path: str | DataFrame, out_dir: str, report_dir: str,

@@ -285,12 +285,12 @@ def _label_centers_cte() -> list[str]:
             f"{dense_dist('sq_euclidean', 'a.center', 'b.center')} AS d FROM lc a JOIN lc b ON a.label < b.label)"]
 
 
-def _intra_ctes(cap: int) -> list[str]:
+def _intra_ctes(cap: int, measure: str = "sq_euclidean") -> list[str]:
     return [
         f"capped AS (SELECT label AS cluster_id, point_id, vec, row_number() OVER (PARTITION BY label ORDER BY point_id) AS rn "
         f"FROM emb QUALIFY rn <= {cap})",
         f"isizes AS (SELECT label AS cluster_id, count(*) AS n_total, least(count(*), {cap}) AS n_used FROM emb GROUP BY label)",
-        f"ipairs AS (SELECT a.cluster_id, {dense_dist('sq_euclidean', 'a.vec', 'b.vec')} AS d FROM capped a "
+        f"ipairs AS (SELECT a.cluster_id, {dense_dist(measure, 'a.vec', 'b.vec')} AS d FROM capped a "
         f"JOIN capped b ON a.cluster_id = b.cluster_id AND a.rn < b.rn)",
         "iagg AS (SELECT cluster_id, count(*) AS n_pairs, sum(d) AS s, min(d) AS mn, max(d) AS mx FROM ipairs GROUP BY cluster_id)",
         "intra AS (SELECT s.cluster_id, s.n_total, s.n_used, coalesce(a.n_pairs, 0) AS n_pairs, a.s / nullif(a.n_pairs, 0) AS avg_dist, "
@@ -373,6 +373,8 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
                             f"AND llr >= {DEFAULT_V.min_llr}"),
         "distance_sq_euclidean": dist_q("sq_euclidean"),
         "distance_cosine": dist_q("cosine"),
+        "distance_euclidean": dist_q("euclidean"),
+        "distance_chebyshev": dist_q("chebyshev"),
         "random_seeds": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=0)),
                               "SELECT cluster_id, doc_id FROM km_seeds"),
         "assign_sparse": with_(v(WORKED_V) + kmeans_sparse_ctes(KM_WORKED.with_(max_iter=0)),
@@ -400,6 +402,8 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
                                     "AS min_dist, round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM intra"),
         "intra_avg_full": with_(_label_centers_cte() + _intra_ctes(10**12),
                                 "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM intra"),
+        "intra_avg_full_manhattan": with_(_label_centers_cte() + _intra_ctes(10**12, "manhattan"),
+                                          "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM intra"),
         "intra_avg_full_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, 10**12),
                                        "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM sintra"),
         "kmeans_dense_manhattan": with_([EMB_CTE] + kmeans_dense_ctes(KM_DENSE.with_(measure="manhattan")),
@@ -577,7 +581,7 @@ def canopy_sparse_ctes(v: VectorizeConfig, cfg: KMeansConfig) -> list[str]:
 def canopy_queries(v: VectorizeConfig, dense: KMeansConfig, sparse: KMeansConfig) -> dict[str, str]:
     recursive = lambda ctes, select: with_(ctes, select).replace("WITH ", "WITH RECURSIVE ", 1)
     return {
-        "canopy_centers": recursive(canopy_dense_ctes(dense), "SELECT cluster_id, list_transform(center, lambda x: round(x, 6)) AS center FROM cano"),
+        "canopy_centers": recursive(canopy_dense_ctes(dense), "SELECT cluster_id, list_transform(center, lambda x: round(x, 6) + 0.0) AS center FROM cano"),
         "kmeans_canopy": recursive(canopy_dense_ctes(dense) + kmeans_dense_ctes(dense, centers="cano"),
                                    "SELECT cluster_id, point_id, round(d, 4) AS distance FROM kd_asg"),
         "canopy_centers_sparse": recursive(canopy_sparse_ctes(v, sparse), "SELECT cluster_id, term_id, round(weight, 6) AS weight FROM cano"),

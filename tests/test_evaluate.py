@@ -108,3 +108,30 @@ def test_sparse_intra_and_inter_match_dense(spark, measure):
     ps = {(r[0], r[1]): r[2] for r in ev.inter_pairs_sparse(cl, measure).collect()}
     pdn = {(r[0], r[1]): r[2] for r in ev.inter_pairs(cd, measure).collect()}
     assert ps.keys() == pdn.keys() and all(ps[k] == pytest.approx(pdn[k], abs=1e-9) for k in ps)
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine", "manhattan"])
+def test_inter_statistics_need_no_pair_rows(spark, measure, monkeypatch):
+    from canopus.operators import blocks
+    rng = np.random.default_rng(7)
+    c = rng.normal(size=(25, 3))
+    cents = spark.createDataFrame([(3 * i, v.tolist()) for i, v in enumerate(c)], "cluster_id int, center array<double>")
+    want = ev.inter_stats(ev.inter_pairs(cents, measure)).first()
+    assert want["n_pairs"] == 300
+    monkeypatch.setattr(blocks.tiles, "__defaults__", (20,))
+    monkeypatch.setattr(blocks.pack, "__defaults__", (False, 4, blocks.PACK_VALUES))
+    assert ev.inter_pairs(cents, measure).distinct().count() == 300
+    got = ev.inter_stats_of_centers(cents, measure).first()
+    assert got["n_pairs"] == 300 and all(got[k] == pytest.approx(want[k]) for k in ("max_dist", "min_dist", "avg_dist", "density"))
+    one = ev.inter_stats_of_centers(cents.where("cluster_id = 0"), measure).first()
+    assert one["n_pairs"] == 0 and one["max_dist"] is None and one["avg_dist"] is None and one["density"] is None
+
+
+def test_manhattan_average_without_pairs(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(c), i, rng.integers(0, 5, 3).astype(float).tolist()) for i, c in enumerate(rng.integers(0, 3, 60))] + [(7, 99, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "cluster_id int, point_id long, vec array<double>")
+    got = {r["cluster_id"]: r for r in ev.intra_stats(df, "manhattan").collect()}
+    want = {r["cluster_id"]: r for r in ev.intra_stats(df, "manhattan", 1000).collect()}
+    assert got.keys() == want.keys() and got[7]["avg_dist"] is None
+    assert all(got[c]["avg_dist"] == pytest.approx(want[c]["avg_dist"]) and got[c]["n_pairs"] == want[c]["n_pairs"] for c in (0, 1, 2))

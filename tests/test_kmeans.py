@@ -162,3 +162,47 @@ def test_custom_measure_runs_both_forms(spark):
     vecs = spark.createDataFrame([(f"d{i}", t, 1.0 + i % 3) for i in range(12) for t in range(i % 2, 6, 2)], "doc_id string, term_id int, weight double")
     s = km.kmeans_sparse_random(vecs, KMeansConfig(k=2, measure="halved", max_iter=3, array_max_k=0))
     assert s.points.count() == 12 and len(s.shifts[0]) == 2
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "manhattan"])
+def test_centers_as_a_table_give_the_same_clusters(spark, measure, monkeypatch):
+    """More centres than the literal path takes, in one tile and in many; empty clusters stay."""
+    from canopus.config import KMeansConfig
+    from canopus.operators import blocks, kmeans as km
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 9, size=(300, 4)).astype(float)
+    centers = rng.integers(0, 9, size=(40, 4)).astype(float).tolist() + [[99.0] * 4]
+    pts = spark.createDataFrame([(f"p{i}", v.tolist()) for i, v in enumerate(x)], "point_id string, vec array<double>")
+    cfg = KMeansConfig(max_iter=2, measure=measure, delta=0.0)
+    want = km.kmeans_dense(pts, centers, cfg.with_(array_max_k=64))   # expressions
+    picked = {r["point_id"]: (r["cluster_id"], round(r["distance"], 6)) for r in want.points.collect()}
+    cents = {r["cluster_id"]: (r["n"], r["center"]) for r in want.centers.collect()}
+    assert cents[40] == (0, [99.0] * 4)
+    for values in (blocks.TILE_VALUES, 30):
+        monkeypatch.setattr(blocks.tiles, "__defaults__", (values,))
+        monkeypatch.setattr(blocks.pack, "__defaults__", (False, 7, blocks.PACK_VALUES))
+        got = km.kmeans_dense(pts, centers, cfg)
+        assert {r["point_id"]: (r["cluster_id"], round(r["distance"], 6)) for r in got.points.collect()} == picked
+        back = {r["cluster_id"]: (r["n"], r["center"]) for r in got.centers.collect()}
+        assert back.keys() == cents.keys() and all(back[c][0] == cents[c][0] and np.allclose(back[c][1], cents[c][1]) for c in cents)
+        assert got.iterations == want.iterations and len(got.shifts[0]) == 1
+
+
+def test_custom_measure_with_many_centers_plans_quickly(spark):
+    import time
+    from canopus.config import KMeansConfig
+    from canopus.functions.distance import distance, register_distance
+    from canopus.operators import kmeans as km
+    register_distance("thirds", lambda x, c: distance("sq_euclidean").dense(x, c) / 3)
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(1000, 64)).tolist()
+    pts = spark.createDataFrame([(i, c) for i, c in enumerate(centers[:200])], "point_id long, vec array<double>")
+    table = spark.createDataFrame([(j, c) for j, c in enumerate(centers)], "cluster_id int, center array<double>")
+    table.count()
+    t = time.time()
+    got = km.assign_dense_structs(pts, table, "thirds")
+    got._jdf.queryExecution().executedPlan()
+    assert time.time() - t < 5
+    assert all(r["cluster_id"] == r["point_id"] and r["distance"] == 0 for r in got.collect())
+    res = km.kmeans_dense(pts, centers, KMeansConfig(max_iter=1, measure="thirds"))
+    assert res.points.where("cluster_id = point_id").count() == 200 and res.centers.count() == 1000
