@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from canopus.session import cut_lineage
 
-from .common import chunks
 from .word_ids import word_ids
 
 CAPACITY = 4096
@@ -120,9 +119,9 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_c
         seen = [0] * (capacity + 1)
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            for at, part in chunks(b.column("text")):
+            for at, part in encoder.runs(b.column("text")):
                 out: list[list] = [[] for _ in schema]
-                for key, data in zip(ids[at : at + len(part)], encoder.encode(part), strict=True):
+                for key, data in zip(ids[at : at + len(part)], part, strict=True):
                     data += end
                     for k in range(0, len(data), 4 * capacity):
                         piece = data[k : k + 4 * capacity]

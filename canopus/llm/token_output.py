@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from canopus.session import cut_lineage, new_folder
 
 from . import pfor
-from .common import chunks
 from .word_ids import word_ids
 
 #: Ids in a segment at least (but for a partition's last): a file has at most these and one document more.
@@ -59,8 +58,8 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, pe
 
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            for at, part in chunks(b.column("text")):
-                for key, data in zip(ids[at : at + len(part)], encoder.encode(part), strict=True):
+            for at, part in encoder.runs(b.column("text")):
+                for key, data in zip(ids[at : at + len(part)], part, strict=True):
                     held.append(data + end)
                     keys.append(key)
                     size += len(held[-1]) // 4
