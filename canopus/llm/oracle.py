@@ -15,24 +15,39 @@ WITH d AS (
 ), covered AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY r
 ), lines AS (
-  SELECT r, host, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
-         ('0x' || substr(md5(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')))), 1, 15))::BIGINT AS k
+  SELECT r, host, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS k,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT r, host, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r
-), least_two AS (
-  SELECT r, list_sort(list(DISTINCT k)) AS ks FROM lines GROUP BY r
+), different AS (
+  SELECT DISTINCT r, host, k FROM lines
+), texts AS (
+  SELECT r, list_sort(list(k)) AS ks FROM different GROUP BY r
+), frequent AS (
+  SELECT host, k FROM different JOIN texts USING (r) GROUP BY host, k HAVING count(DISTINCT ks) > 10
+), touched AS (
+  SELECT x.r, x.host, x.k, f.k IS NOT NULL AS often, string_split(x.k, ' ') AS ws
+  FROM different x LEFT JOIN frequent f ON f.host = x.host AND f.k = x.k
+  WHERE x.r IN (SELECT r FROM different JOIN frequent USING (host, k))
+), sketched AS (
+  SELECT r, host, k, often, list_slice(list_sort(list_distinct(list_transform(range(1, greatest(len(ws) - 2, 1) + 1),
+         lambda i: array_to_string(list_slice(ws, i, i + 2), ' ')))), 1, 8) AS sketch FROM touched
+), frequent_windows AS (
+  SELECT DISTINCT host, unnest(sketch) AS win FROM sketched WHERE often
+), changed AS (
+  SELECT r, k FROM (SELECT r, host, k, len(sketch) AS size, unnest(sketch) AS win FROM sketched WHERE NOT often)
+  JOIN frequent_windows USING (host, win) GROUP BY r, k, size HAVING count(*) >= 0.25 * size
+), own AS (
+  SELECT r, list_sort(list(k)) AS ks FROM touched x WHERE NOT often AND NOT EXISTS (SELECT 1 FROM changed c WHERE c.r = x.r AND c.k = x.k) GROUP BY r
 ), told AS (
-  SELECT host, l.r, k, n, CASE WHEN k = ks[1] THEN coalesce(ks[2], 0) ELSE ks[1] END AS other
-  FROM lines l JOIN least_two USING (r)
-), hosts AS (
-  SELECT host, count(*) AS docs FROM d GROUP BY host
+  SELECT r, own.ks IS NULL AS copy, coalesce(own.ks, [least]) AS of
+  FROM (SELECT r, min(k) AS least FROM touched WHERE often GROUP BY r) LEFT JOIN own USING (r)
 ), common AS (
-  SELECT host, k FROM (SELECT host, k, count(DISTINCT other) AS c FROM told GROUP BY host, k) JOIN hosts USING (host)
-  WHERE c > 10 AND c > docs * 0.01
+  SELECT host, k FROM touched JOIN told USING (r) WHERE often GROUP BY host, k HAVING count(DISTINCT (copy, of)) > 10
 ), removed AS (
-  SELECT r, sum(n) AS n FROM told JOIN common USING (host, k) GROUP BY r
+  SELECT r, sum(n) AS n FROM lines JOIN common USING (host, k) GROUP BY r
 ), stats AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words,
          length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,

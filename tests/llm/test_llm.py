@@ -495,3 +495,22 @@ def test_token_output(spark, docs, texts, odd, empty):
     got = token_output.token_output(odd, WORDS, 2).collect()
     assert collections.Counter(map(tuple, got)) == brute_output(sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0)))
     assert token_output.token_output(empty, WORDS, 2).count() == 0
+
+
+@pytest.mark.parametrize("size", [1000, 4000])
+def test_common_lines_do_not_depend_on_the_size_of_the_host(spark, size):
+    """Pages of one shared line are rejected beside any number of others; SQL has the same rule."""
+    import duckdb
+
+    from canopus.llm.oracle import QUALITY_SQL
+    rng = random.Random(size)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    notice = prose(60)
+    rows = [(i, f"{notice}\n{prose(6)}", "a") for i in range(30)] + [(i, prose(55), "a") for i in range(30, size)]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert {i for i, r in got.items() if not r.kept} == set(range(30))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows[:200])
+    want = {r[0]: r for r in con.execute(f"SELECT doc_id, kept, left_words FROM ({QUALITY_SQL})").fetchall()}
+    assert all(want[i][1:] == (got[i].kept, got[i].left_words) for i in want)
