@@ -44,14 +44,18 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, li
             start, held = i + 1, 0
 
 
-#: A table is broadcast if it has at most so many rows of a few numbers (about 10 MB of them).
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if it has at most ``rows`` rows; beyond that the join is
-    left to Catalyst (a shuffle join with skew handling). ``df`` should be a written table."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: A table is broadcast if it has at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if it has at most ``rows`` rows of at most ``size`` bytes in
+    all (measured as JSON, arrays and strings included); beyond that the join is left to Catalyst
+    (a shuffle join with skew handling). ``df`` should be a written table."""
+    if df.limit(rows + 1).count() > rows:
+        return df
+    held = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("s")).first()["s"] or 0
+    return F.broadcast(df) if held <= size else df
 
 
 def text_key(text_col: str = "text") -> Column:

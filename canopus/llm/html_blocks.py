@@ -2,19 +2,28 @@
 
 Made for this use alone: tags, implied ends, comments and raw-text elements are read;
 nothing is rendered. An element's *style* is its tag with class, id and role, digits as
-``0``; its path is the styles from the root. Inline tags neither break a block nor count.
+``0``; its key is a hash of its parent's key and its style, so a deep page costs no more
+than a flat one. Inline tags neither break a block nor count, but text in those that are
+called adverts, share links and the like is left out. Everything takes time in proportion
+to the page, well-formed or not: no tag is looked at twice.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from bisect import bisect_left
+from dataclasses import dataclass
 from html import unescape
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+from xxhash import xxh64_intdigest
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _DIGITS = re.compile(r"\d+")
+#: Names and roles of an element are read from so many characters of its tag at most.
+TAG_CHARS = 4_096
+#: Elements that lie deeper are read as ended at once: their text belongs to the one above.
+MAX_DEPTH = 128
 
 # HTML's own element lists.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,16 +49,28 @@ _NAMES = re.compile(
            discussion|widgets?|pagination|pager|toolbar|tagcloud|copyright)
         (?:[-_]*(?:bar|box|wrap|wrapper|container|list|area|section|block|inner|content|panel|links?|widget|items?|form|top|bottom|left|
            right|unit|slot|banner|notice|consent|thread|menu|nav|text|message|body|0)s?)*$""", re.X | re.I)
+#: Longer names are none of these.
+_LONGEST_NAME = 60
 
 
 @dataclass
 class Node:
-    path: str
+    """``key`` is that of the style path, ``main`` the article or main element it lies in (a
+    node, 0 for none) and ``shape`` a running hash of its children's styles."""
+    key: int
     parent: int
     tag: str
     furniture: bool   # it or one above it
-    main: int         # 2 in an article, 1 in a main element, else 0
-    children: list[str] = field(default_factory=list)
+    main: int
+    shape: int = 0
+
+
+def hash64(text: str, seed: int = 0) -> int:
+    return xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
+
+
+def _is_name(names: str) -> bool:
+    return any(len(n) <= _LONGEST_NAME and _NAMES.match(n) for n in names.split())
 
 
 def is_furniture(tag: str, names: str, role: str, in_article: bool) -> bool:
@@ -57,14 +78,91 @@ def is_furniture(tag: str, names: str, role: str, in_article: bool) -> bool:
         return True
     if tag in ("html", "body", "main", "article") and "comment" not in names.lower():
         return False
-    return any(_NAMES.match(n) for n in names.split())
+    return _is_name(names)
+
+
+def _named(rest: str) -> tuple[str, str]:
+    """Class and id, digits as 0, and role of a tag's attributes."""
+    if not rest:
+        return "", ""
+    found: dict[str, str] = {}
+    for a, b, c, d in _ATTRIBUTE.findall(rest[:TAG_CHARS]):
+        found.setdefault(a.lower(), b or c or d)   # the first counts
+    return _DIGITS.sub("0", f"{found.get('class', '')} {found.get('id', '')}").strip(), found.get("role", "").lower()
+
+
+class _Marks:
+    """Where the next of a character is; each is searched once for the whole page."""
+
+    def __init__(self, html: str):
+        self.html, self.at = html, {}
 
+    def find(self, mark: str, start: int) -> int:
+        """The place of the first ``mark`` from ``start`` on, the page's length if there is none."""
+        if mark not in self.at:
+            self.at[mark] = [m.start() for m in re.finditer(mark, self.html)]
+        known = self.at[mark]
+        k = bisect_left(known, start)
+        return known[k] if k < len(known) else len(self.html)
 
-def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
+
+def tags(html: str):
+    """``(start, end, closing, name, attributes)`` of tags, comments and declarations (these
+    without a name), in order; ``send`` goes on from another place. A tag ends at the first
+    ``>`` outside quotation marks or, if these don't pair up, at the first ``>`` of all;
+    without one there is no tag. Opening marks from which nothing pairs up are remembered."""
+    at, marks, size = 0, _Marks(html), len(html)
+    doomed: set[int] = set()
+    while True:
+        at = html.find("<", at)
+        if at < 0 or at + 1 >= size:
+            return
+        c = html[at + 1]
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 2)   # "<!-->" is a whole comment
+            item = at, size if stop < 0 else max(stop + 3, at + 5), False, "", ""
+        elif c in "!?":
+            stop = marks.find(">", at)
+            if stop >= size:
+                return
+            item = at, stop + 1, False, "", ""
+        else:
+            closing = c == "/"
+            name = _NAME.match(html, at + 1 + closing, at + 1 + closing + TAG_CHARS)
+            if name is None:
+                at += 1
+                continue
+            here, opened = name.end(), []
+            plain = marks.find(">", here)
+            if plain >= size:
+                return   # no tag ends any more
+            while True:
+                stop = marks.find(">", here)
+                first = min(marks.find('"', here), marks.find("'", here))
+                if first > stop:
+                    break
+                opened.append(first)
+                other = marks.find(html[first], first + 1) if first < size and first not in doomed else size
+                if stop >= size or other >= size:
+                    doomed.update(opened)
+                    stop = plain
+                    break
+                here = other + 1
+            item = at, stop + 1, closing, name[0].lower(), html[name.end() : stop]
+        sent = yield item
+        at = item[1]
+        if sent is not None:
+            at = sent
+            yield None   # the answer to send()
+
+
+def parse(html: str, host: str = "") -> tuple[list[Node], list[tuple[int, str]]]:
     """``(nodes, blocks)``: block elements in page order, and ``(node, text)`` of text blocks
     with references decoded and white space as single spaces; empty ones are left out."""
-    nodes = [Node("", -1, "", False, 0)]
+    nodes = [Node(hash64(host), -1, "", False, 0)]
     stack: list[int] = [0]
+    open_ = {"": 1}                   # open elements by tag
+    hidden: list[str] = []            # open inline elements from the first that is left out
     blocks: list[tuple[int, str]] = []
     pieces: list[str] = []
 
@@ -75,60 +173,76 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 blocks.append((stack[-1], text))
             pieces.clear()
 
+    def cut(k: int) -> None:
+        for i in stack[k:]:
+            open_[nodes[i].tag] -= 1
+        del stack[k:]
+
     def close(names: tuple[str, ...], stops: frozenset[str]) -> None:
+        if not any(open_.get(n) for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[k]].tag
             if tag in names:
-                del stack[k:]
+                cut(k)
                 return
             if tag in stops:
                 return
 
-    at, raw_ends = 0, {}
-    while True:
-        m = _TAG.search(html, at)
-        if m is None:
-            pieces.append(html[at:])
-            break
-        if m.start() > at:
-            pieces.append(html[at : m.start()])
-        at = m.end()
-        end, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    read, last = tags(html), 0
+    raw_ends: dict[str, tuple[re.Pattern, list[bool]]] = {}
+    for start, end, closing, tag, rest in read:
+        skip = None
+        if start > last and not hidden:
+            pieces.append(html[last:start])
+        last = end
         if not tag:
-            continue   # a comment or declaration is no white space
-        tag = tag.lower()
-        if end:
-            if tag in INLINE:
-                continue
+            pass   # a comment or declaration is no white space
+        elif tag in INLINE and not (hidden and not closing):
+            if closing:
+                if tag in hidden:
+                    del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+            elif rest:
+                names, role = _named(rest)
+                if (names and _is_name(names)) or role in ROLES:
+                    hidden.append(tag)
+        elif tag in INLINE:
+            if tag != "wbr" and len(hidden) < 64:
+                hidden.append(tag)
+        elif closing:
+            hidden.clear()
             flush()
-            if any(nodes[i].tag == tag for i in stack):
-                close((tag,), frozenset())
-            continue
-        if tag in RAW:
+            close((tag,), frozenset())
+        elif tag in RAW:
             flush()
             if tag not in raw_ends:
-                raw_ends[tag] = re.compile(rf"</{tag}\b[^>]*>", re.I)
-            stop = raw_ends[tag].search(html, at)
-            at = stop.end() if stop else len(html)
-            continue
-        if tag in INLINE:
-            continue
-        flush()
-        if tag in VOID:
-            continue
-        if tag in ENDS_P:
-            close(("p",), STOPS)
-        if tag in ENDS:
-            close(ENDS[tag], STOPS - set(ENDS[tag]))
-        found = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(rest)} if rest else {}
-        names = f"{found.get('class', '')} {found.get('id', '')}"
-        names, role = _DIGITS.sub("0", names).strip(), found.get("role", "").lower()
-        up = nodes[stack[-1]]
-        style = f"{tag}.{names}.{role}" if names or role else tag
-        main = max(up.main, {"article": 2, "main": 1}.get(tag, 1 if role == "main" else 0))
-        up.children.append(style)
-        nodes.append(Node(f"{up.path}/{style}", stack[-1], tag, up.furniture or is_furniture(tag, names, role, up.main == 2), main))
-        if not rest.endswith("/") or tag in ("p", "div", "article", "section"):
-            stack.append(len(nodes) - 1)
+                raw_ends[tag] = re.compile(rf"</{tag}\b[^<>]*>", re.I), [True]
+            pattern, more = raw_ends[tag]
+            stop = pattern.search(html, end) if more[0] else None
+            more[0] = stop is not None
+            last = skip = stop.end() if stop else len(html)
+        else:
+            hidden.clear()   # a block ends what an author left open
+            flush()
+            if tag not in VOID:
+                if tag in ENDS_P:
+                    close(("p",), STOPS)
+                if tag in ENDS:
+                    close(ENDS[tag], STOPS - set(ENDS[tag]))
+                names, role = _named(rest)
+                up = nodes[stack[-1]]
+                style = f"{tag}.{names}.{role}" if names or role else tag
+                up.shape = hash64(style, up.shape)
+                key = hash64(style, up.key)
+                is_main = tag in ("article", "main") or role == "main"
+                nodes.append(Node(key, stack[-1], tag, up.furniture or is_furniture(tag, names, role, up.main > 0 and nodes[up.main].tag == "article"),
+                                  len(nodes) if is_main else up.main))
+                if len(stack) < MAX_DEPTH and (not rest.endswith("/") or tag in ("p", "div", "article", "section")):
+                    stack.append(len(nodes) - 1)
+                    open_[tag] = open_.get(tag, 0) + 1
+        if skip is not None:
+            read.send(skip)
+    if last < len(html) and not hidden:
+        pieces.append(html[last:])
     flush()
     return nodes, blocks

@@ -358,9 +358,9 @@ def test_html_templates():
     <div class="ad">Buy</div><aside>Side</aside><!-- c --><section id="comments"><p>Nice!</p></section></article></main>
     <div class="sidebar-wrap"><p>More</p></div><footer>Foot</footer></body></html>"""
     nodes, blocks = parse(page)
-    assert " ".join(html_extract.main_blocks(nodes, blocks, frozenset(), "h")) == "Head & line One bold text Two lines <3 a b"
+    assert " ".join(html_extract.main_blocks(nodes, blocks)) == "Head & line One bold text Two lines <3 a b"
     plain = "<div class='content with-sidebar'><p>Kept</p></div><div id=sidebar>x</div>"
-    assert html_extract.main_blocks(*parse(plain), frozenset(), "h") == ["Kept"]
+    assert html_extract.main_blocks(*parse(plain)) == ["Kept"]
 
 
 def test_style_tree_removes_unmarked_noise(spark):
@@ -375,6 +375,51 @@ def test_style_tree_removes_unmarked_noise(spark):
     assert got == {i: f"{b} {b[::-1]}" for i, _, _, b in pages}
 
 
+def test_html_parts_of_a_page():
+    long, short = "Real text. " * 30, "<p>Read more</p>"
+    texts = lambda page: html_extract.main_blocks(*parse(page))
+    assert texts(f"<main><p>{long}</p></main><article>{short}</article>") == [long.strip()]
+    assert texts(f"<main><p>{long}</p><article>{short}</article><article>{short}</article></main>") == [long.strip()]
+    assert texts(f"<main><article><p>{long}</p></article><article>{short}</article></main>") == [long.strip()]
+    assert texts(f"<article>{short}</article><div><p>{long}</p></div>") == [long.strip()]
+    assert texts(f"<article><p>{long}</p></article><article><p>{long}</p></article>") == [long.strip()] * 2
+    assert texts("<article><p>One <a class='share' href=x>Share <b>it</b></a>two <span class=advert>Buy</span>three<b>four</b></p><p>five") == [
+        "One two threefour", "five"]
+    assert texts("<article><p>One <span class='ad'>never closed<p>two</p></article>") == ["One", "two"]
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a "' * 250_000, '<a "' * 250_000 + ">", '<a ">" ' * 150_000 + "'", "<a '\">" * 150_000,
+                                  "<div>" * 50_000 + "x", "<p><td>" + "<foo>" * 50_000 + "<h1>" * 50_000, "<!--" * 250_000, "</p>" * 250_000,
+                                  "<script>" * 100_000, "<" * 1_000_000, "<" + "a" * 1_000_000 + ">", "<p class='" + "x-" * 500_000 + "'>y"])
+def test_html_malformed_pages_take_linear_time(page):
+    import time
+
+    parse("<p>warm")
+    t = time.process_time()
+    nodes, blocks = parse(page)
+    html_extract.main_blocks(nodes, blocks)
+    assert time.process_time() - t < 12   # seconds a megabyte on a slow machine; well under half of it otherwise
+
+
+def test_style_tree_decides_inside_articles(spark):
+    """Unmarked noise in the article of every page goes, copies of one article stay."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    pages = []
+    for i in range(60):
+        body = prose(40)
+        pages.append((i, "http://h.org/a", f"<article><p>{body}</p><div class='box9'>Subscribe to our letter today</div></article>", body))
+    copy = prose(50)
+    for i in range(60, 130):   # a host that is mostly copies, exact and changed
+        text = copy if i < 100 else copy.replace("a", "z", i % 7)
+        pages.append((i, "http://c.org/a", f"<article><p>{text}</p></article>", text))
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string, body string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got == {i: b for i, _, _, b in pages}
+    plain = {i: " ".join(html_extract.main_blocks(*parse(h, "h.org"))) for i, u, h, _ in pages}
+    assert all(plain[i] != got[i] for i in range(60)) and all(plain[i] == got[i] for i in range(60, 130))
+
+
 def test_html_pages_and_odd(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in html_extract.extract(pages).collect()}
