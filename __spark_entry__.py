@@ -294,6 +294,10 @@ def q_intra_avg_full(spark, sf):
     return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
 
 
+def q_intra_stats_full(spark, sf):
+    return _intra_cols(ev.intra_stats_full(_label_points(spark, sf), "sq_euclidean"))
+
+
 def q_intra_avg_full_manhattan(spark, sf):
     s = ev.intra_stats(_label_points(spark, sf), "manhattan")
     return s.select("cluster_id", "n_total", "n_used", "n_pairs", _r("avg_dist"))
@@ -507,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intra_stats": q_intra_stats,
     "intra_stats_capped": q_intra_stats_capped,
     "intra_avg_full": q_intra_avg_full,
+    "intra_stats_full": q_intra_stats_full,
     "intra_avg_full_manhattan": q_intra_avg_full_manhattan,
     "intra_avg_full_sparse": q_intra_avg_full_sparse,
     "kmeans_dense_manhattan": q_kmeans_dense_manhattan,

@@ -126,14 +126,16 @@ def _packer(sparse: bool):
     return run
 
 
-def pack(rows: DataFrame, sparse: bool = False, points: int = PACK_POINTS, values: int = PACK_VALUES) -> DataFrame:
+def pack(rows: DataFrame, sparse: bool = False, points: int = PACK_POINTS, values: int = PACK_VALUES, pack_bits: int | None = None) -> DataFrame:
     """A written table of packs from ``(no, val)`` or, if ``sparse``, ``(no, idx, val)``, a row a
     vector. Packs hold runs of numbers, so they are as even as the numbers; widths are measured
-    and a pack of the widest vectors alone has at most 8 times ``values`` entries."""
+    and a pack of the widest vectors alone has at most 8 times ``values`` entries. With ``pack_bits``
+    a pack is what numbers have in common but for their last bits."""
     width = rows.agg(F.max(F.size("val")).alias("most"), F.avg(F.size("val")).alias("mean")).first()
     per = max(1, min(points, int(values / max(1.0, width["mean"] or 0, (width["most"] or 0) / 8))))
     cols = ["no", *(["idx"] if sparse else []), "val"]
-    keyed = rows.select(*cols, F.floor(F.col("no") / per).cast("long").alias("pack"))
+    number = F.shiftright("no", pack_bits) if pack_bits is not None else F.floor(F.col("no") / per)
+    keyed = rows.select(*cols, number.cast("long").alias("pack"))
     return cut_lineage(keyed.groupBy("pack").applyInPandas(_packer(sparse), SCHEMA), "packs")
 
 

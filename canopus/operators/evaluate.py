@@ -3,7 +3,8 @@
 Intra-cluster: with ``max_points=None`` (default) the average over all pairs of a cluster
 comes from a closed form for squared Euclidean (``n sum|x|^2 - |sum x|^2``), cosine (the norm
 of the summed unit vectors) and Manhattan distance (per cluster and entry, ``(2i - n - 1) x``
-summed over the values by rank ``i``); minimum, maximum and density, which need the pairs, are NULL. With an explicit ``max_points`` (the original uses 1000) the first points in
+summed over the values by rank ``i``); minimum, maximum and density, which need the pairs, are NULL
+here and exact in :func:`intra_stats_full`. With an explicit ``max_points`` (the original uses 1000) the first points in
 id order are compared pairwise; ``n_total`` and ``n_used`` tell how many there are and how
 many were used. Pairs are never materialised as rows: each cluster's points are cut into blocks of ``block`` points, every (block_i <= block_j) tile becomes
 one ``applyInPandas`` group of at most 2*block points, and each tile returns a single row
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from canopus.functions.distance import distance
 from canopus.operators.blocks import distances, one_pack, pack, read_block, tiles, with_tile
 from canopus.operators.ranking import with_global_index
+from canopus.session import cut_lineage
 
 TILE_SCHEMA = "cluster_id int, n_pairs long, s double, mn double, mx double"
 DENSE_TILE_CELLS = 32_000_000  # tile-local dense matrix cells allowed (256 MB of doubles)
@@ -144,6 +146,125 @@ def intra_stats(points: DataFrame, measure: str = "sq_euclidean", max_points: in
     return _combine(tiled.groupBy("cluster_id", "lo", "hi").applyInPandas(_tile_fn(measure), TILE_SCHEMA), sizes)
 
 
+PIVOTS = 32          # sampled points that neighbours are found by
+PACK_BITS = 10       # a pack of a cluster has at most 2 ** PACK_BITS points
+#: A measure as a metric, and back: pairs of distances are bounded by the triangle inequality.
+_METRICS = {"sq_euclidean": (np.sqrt, np.square), "euclidean": (np.asarray, np.asarray), "manhattan": (np.asarray, np.asarray),
+            "chebyshev": (np.asarray, np.asarray)}
+
+
+def _extreme_packs(base: DataFrame, measure: str) -> DataFrame:
+    """Packs of neighbouring points of one cluster: those nearest to one pivot, by distance. A
+    number is the cluster's place, the pivot and the place among its points."""
+    from canopus.operators.kmeans import assign_dense, random_seeds
+    seeds = random_seeds(base.select("_id"), PIVOTS, 7, "_id")
+    pivots = [list(r["vec"]) for r in base.join(seeds.select("_id"), "_id").select("vec").limit(PIVOTS).collect()]   # a few points
+    near = assign_dense(base.withColumnRenamed("cluster_id", "_cluster"), pivots, measure).select(
+        F.col("_cluster"), "_id", "vec", F.col("cluster_id").alias("_pivot"), F.col("distance").alias("_d"))
+    ranked, _ = with_global_index(near, ["_cluster", "_pivot", "_d", "_id"], "_g")
+    starts = ranked.groupBy("_cluster", "_pivot").agg(F.min("_g").alias("_s"))
+    clusters, _ = with_global_index(starts.select("_cluster").distinct(), ["_cluster"], "_c")
+    no = F.shiftleft(F.col("_c"), 40) + F.shiftleft(F.col("_pivot").cast("long"), 34) + F.col("_g") - F.col("_s")
+    rows = ranked.join(starts, ["_cluster", "_pivot"]).join(clusters, "_cluster").select(no.alias("no"), F.col("vec").alias("val"))
+    return pack(rows, points=1 << PACK_BITS, pack_bits=PACK_BITS)
+
+
+def _balls(block, bits: int) -> list[tuple[int, int, int, int]]:
+    """``(cluster, pack, first, end)`` of the packs in a block."""
+    key = block.nos >> bits
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return [(int(block.nos[a] >> 40), int(key[a]), int(a), int(b)) for a, b in zip(first, [*first[1:], len(key)], strict=True)]
+
+
+def _extremes_fn(measure: str, bits: int):
+    """For each pack beside a tile, least and largest distance to its cluster's later packs. A
+    pair of packs is opened only if the bounds by their balls (mean and radius) can beat the
+    cluster's best so far."""
+    to_metric, back = _METRICS[measure]
+    tile_of = distance(measure).tile
+
+    def ball(x):
+        mid = x.mean(axis=0)
+        return mid, float(to_metric(tile_of(x, mid[None, :])).max())
+
+    def run(batches):
+        best: dict[int, list[float]] = {}
+        floor: dict[int, float] = {}   # the means of two packs are no farther apart than some pair of their points
+        tile = parts = mids = radii = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = read_block(batch, i)
+                if tile is None:   # the same for all rows of the job
+                    tile = read_block(batch, i, "t_")
+                    matrix = tile.matrix().copy()
+                    parts = _balls(tile, bits)
+                    balls = [ball(matrix[a:b]) for _, _, a, b in parts]
+                    mids, radii = np.array([m for m, _ in balls]), np.array([r for _, r in balls])
+                x = own.matrix()
+                cluster, mine = int(own.nos[0] >> 40), int(own.nos[0] >> bits)
+                low, high = batch.column("mn")[i].as_py(), batch.column("mx")[i].as_py()
+                so_far = best.setdefault(cluster, [np.inf if low is None else low, -np.inf if high is None else high])
+                mid, radius = ball(x)
+                apart = to_metric(tile_of(mid[None, :], mids))[0]
+                slack = 1e-9 * (1.0 + apart + radii + radius)
+                lower, upper = back(np.maximum(apart - radii - radius - slack, 0.0)), back(apart + radii + radius + slack)
+                pairs = opened = 0
+                at = [k for k, p in enumerate(parts) if p[0] == cluster and p[1] > mine]
+                floor[cluster] = max([floor.get(cluster, -np.inf), *(float(back(max(apart[k] - slack[k], 0.0))) for k in at)])
+                for k in sorted(at, key=lambda k: -upper[k]):
+                    pairs += 1
+                    if lower[k] < so_far[0] or upper[k] > max(so_far[1], floor[cluster]):
+                        opened += 1
+                        d = tile_of(x, matrix[parts[k][2]:parts[k][3]])
+                        so_far[0], so_far[1] = min(so_far[0], float(d.min())), max(so_far[1], float(d.max()))
+                found = [v if np.isfinite(v) else None for v in so_far]
+                yield pa.RecordBatch.from_arrays([pa.array([cluster]), *(pa.array([v], pa.float64()) for v in found), pa.array([pairs]), pa.array([opened])],
+                                                 names=["_c", "mn", "mx", "pairs", "opened"])
+    return run
+
+
+def intra_extremes(points: DataFrame, measure: str = "sq_euclidean", cluster_col: str = "cluster_id", id_col: str = "point_id",
+                   vec_col: str = "vec") -> DataFrame:
+    """``(cluster_id, min_dist, max_dist, tiles, opened)`` over all pairs of all points of a cluster:
+    exact, by branch and bound. Points are packed with their neighbours (nearest of some
+    pivots); a pack's own pairs give first bests; then packs go past tiles of all packs and
+    open only pairs of packs whose bounds can beat the best. No pair of points is a row."""
+    if measure not in _METRICS:
+        raise ValueError(f"measure {measure!r} is no metric here; known: {sorted(_METRICS)}")
+    base = points.select(F.col(cluster_col).cast("int").alias("cluster_id"), F.col(id_col).alias("_id"), F.col(vec_col).alias("vec"))
+    packs = _extreme_packs(base, measure)
+    tile_of = distance(measure).tile
+
+    def inside(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = read_block(batch, i)
+                x, n = own.matrix(), len(own)
+                d = tile_of(x, x)[np.triu_indices(n, 1)] if n > 1 else None
+                yield pa.RecordBatch.from_arrays([pa.array([int(own.nos[0] >> 40)]), pa.array([None if d is None else float(d.min())], pa.float64()),
+                                                  pa.array([None if d is None else float(d.max())], pa.float64())], names=["_c", "mn", "mx"])
+    first = cut_lineage(packs.mapInArrow(inside, "_c long, mn double, mx double").groupBy("_c").agg(F.min("mn").alias("mn"), F.max("mx").alias("mx")))
+    tiled, n = tiles(packs)
+    known = tiled.withColumn("_c", F.shiftright("pack", 40 - PACK_BITS)).join(first, "_c")   # k rows
+    parts = [with_tile(known, one_pack(tiled.where(F.col("tile") == i).drop("tile"))).mapInArrow(
+        _extremes_fn(measure, PACK_BITS), "_c long, mn double, mx double, pairs long, opened long") for i in range(n)]
+    if not parts:
+        return points.sparkSession.createDataFrame([], "cluster_id int, min_dist double, max_dist double, tiles long, opened long")
+    found = reduce(DataFrame.unionByName, parts).groupBy("_c").agg(
+        F.min("mn").alias("min_dist"), F.max("mx").alias("max_dist"), F.sum("pairs").alias("tiles"), F.sum("opened").alias("opened"))
+    clusters, _ = with_global_index(base.select("cluster_id").distinct(), ["cluster_id"], "_c")
+    return found.join(clusters, "_c").select("cluster_id", "min_dist", "max_dist", "tiles", "opened")
+
+
+def intra_stats_full(points: DataFrame, measure: str = "sq_euclidean", cluster_col: str = "cluster_id", id_col: str = "point_id",
+                     vec_col: str = "vec") -> DataFrame:
+    """:data:`INTRA_COLUMNS` over all points of every cluster: averages by the closed forms,
+    minimum and maximum by :func:`intra_extremes`, density from both."""
+    mean = intra_stats(points, measure, None, cluster_col, id_col, vec_col).drop("min_dist", "max_dist", "density")
+    out = mean.join(intra_extremes(points, measure, cluster_col, id_col, vec_col), "cluster_id")
+    return out.withColumn("density", F.try_divide(F.col("avg_dist") - F.col("min_dist"), F.col("max_dist") - F.col("min_dist"))).select(*INTRA_COLUMNS)
+
+
 def label_centroids(points: DataFrame, cluster_col: str = "label", vec_col: str = "vec") -> DataFrame:
     """Mean vector per cluster for dense points: ``(cluster_id, center)``."""
     from pyspark.ml.functions import array_to_vector, vector_to_array

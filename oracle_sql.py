@@ -402,6 +402,9 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
                                     "AS min_dist, round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM intra"),
         "intra_avg_full": with_(_label_centers_cte() + _intra_ctes(10**12),
                                 "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM intra"),
+        "intra_stats_full": with_(_label_centers_cte() + _intra_ctes(10**12),
+                                  "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist, round(min_dist, 6) AS min_dist, "
+                                  "round(max_dist, 6) AS max_dist, round(density, 6) AS density FROM intra"),
         "intra_avg_full_manhattan": with_(_label_centers_cte() + _intra_ctes(10**12, "manhattan"),
                                           "SELECT cluster_id, n_total, n_used, n_pairs, round(avg_dist, 6) AS avg_dist FROM intra"),
         "intra_avg_full_sparse": with_(rep + sparse_eval_ctes(KM_WORKED.measure, 10**12),

@@ -119,7 +119,7 @@ def test_inter_statistics_need_no_pair_rows(spark, measure, monkeypatch):
     want = ev.inter_stats(ev.inter_pairs(cents, measure)).first()
     assert want["n_pairs"] == 300
     monkeypatch.setattr(blocks.tiles, "__defaults__", (20,))
-    monkeypatch.setattr(blocks.pack, "__defaults__", (False, 4, blocks.PACK_VALUES))
+    monkeypatch.setattr(blocks.pack, "__defaults__", (False, 4, blocks.PACK_VALUES, None))
     assert ev.inter_pairs(cents, measure).distinct().count() == 300
     got = ev.inter_stats_of_centers(cents, measure).first()
     assert got["n_pairs"] == 300 and all(got[k] == pytest.approx(want[k]) for k in ("max_dist", "min_dist", "avg_dist", "density"))
@@ -135,3 +135,27 @@ def test_manhattan_average_without_pairs(spark):
     want = {r["cluster_id"]: r for r in ev.intra_stats(df, "manhattan", 1000).collect()}
     assert got.keys() == want.keys() and got[7]["avg_dist"] is None
     assert all(got[c]["avg_dist"] == pytest.approx(want[c]["avg_dist"]) and got[c]["n_pairs"] == want[c]["n_pairs"] for c in (0, 1, 2))
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "euclidean", "manhattan", "chebyshev"])
+def test_exact_extremes_open_few_tiles(spark, measure, monkeypatch):
+    from canopus.operators import blocks
+    monkeypatch.setattr(ev, "PACK_BITS", 4)
+    rng = np.random.default_rng(13)
+    blobs = rng.normal(size=(12, 3)) * 50
+    x = np.concatenate([b + rng.normal(size=(40, 3)) for b in blobs])
+    rows = [(i % 2, i, v.tolist()) for i, v in enumerate(x)] + [(5, 9000, [1.0, 2.0, 3.0]), (6, 9001, [0.0] * 3), (6, 9002, [0.0] * 3)]
+    df = spark.createDataFrame(rows, "cluster_id int, point_id long, vec array<double>")
+    want = {r["cluster_id"]: r for r in ev.intra_stats(df, measure, 10_000).collect()}
+    for values in (blocks.TILE_VALUES, 600):
+        monkeypatch.setattr(blocks.tiles, "__defaults__", (values,))
+        got = {r["cluster_id"]: r for r in ev.intra_extremes(df, measure).collect()}
+        assert got.keys() == want.keys()
+        for c in want:
+            assert got[c]["min_dist"] == pytest.approx(want[c]["min_dist"]) and got[c]["max_dist"] == pytest.approx(want[c]["max_dist"])
+    assert got[5]["min_dist"] is None and got[6]["max_dist"] == 0
+    tiles, opened = (sum(got[c][k] for c in (0, 1)) for k in ("tiles", "opened"))
+    assert tiles >= 2 * 15 * 14 / 2 and opened < tiles / 2   # packs of at most 16 points
+    if measure in ("sq_euclidean", "manhattan"):
+        full = {r["cluster_id"]: r for r in ev.intra_stats_full(df, measure).collect()}
+        assert all(full[c]["density"] == pytest.approx(want[c]["density"]) for c in (0, 1)) and full[5]["density"] is None

@@ -180,7 +180,7 @@ def test_centers_as_a_table_give_the_same_clusters(spark, measure, monkeypatch):
     assert cents[40] == (0, [99.0] * 4)
     for values in (blocks.TILE_VALUES, 30):
         monkeypatch.setattr(blocks.tiles, "__defaults__", (values,))
-        monkeypatch.setattr(blocks.pack, "__defaults__", (False, 7, blocks.PACK_VALUES))
+        monkeypatch.setattr(blocks.pack, "__defaults__", (False, 7, blocks.PACK_VALUES, None))
         got = km.kmeans_dense(pts, centers, cfg)
         assert {r["point_id"]: (r["cluster_id"], round(r["distance"], 6)) for r in got.points.collect()} == picked
         back = {r["cluster_id"]: (r["n"], r["center"]) for r in got.centers.collect()}
