@@ -88,10 +88,16 @@ def seed_labels(urls: DataFrame, words: Sequence[str] = BAD_WORDS) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, most: int, seed: int = 3) -> DataFrame:
-    """About ``most`` rows at most, without a global sort. Rows are chosen by their place in
-    the input, so a key that holds a third of them can't fill the sample beyond its share."""
-    share = min(1.0, most / max(1, df.count()))
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    """About ``most`` rows at most of ``df``, half of them of each ``label``, without a global sort;
+    ``weight`` is how many rows one stands for, so that rare labels are all seen and count no
+    more than they are. Rows are chosen by their place in the input, so a key that holds a third
+    of them can't fill the sample beyond its share."""
+    counts = {r["label"]: r["count"] for r in df.where(F.col("label").isNotNull()).groupBy("label").count().collect()}   # two labels
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col("label") == label, F.lit(min(1.0, most / len(counts) / n))).otherwise(share)
+    place = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(1 << 20))
+    return df.withColumn("weight", share).where(place < F.ceil(F.col("weight") * (1 << 20))).withColumn("weight", F.try_divide(F.lit(1.0), F.col("weight")))
 
 
 def suffix_of(host: Column) -> Column:
@@ -108,21 +114,21 @@ def with_suffix(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, max_train: int = MAX_TRAIN, trees: int = 20, depth: int = 4,
           seed: int = 11) -> tuple[GBTClassificationModel | None, DataFrame]:
-    """Trees from a bounded sample of ``(url, label)``, and ``(suffix, suffix_n, suffix_bad)`` of all of it."""
+    """Trees from a bounded sample of ``(url, label)`` (none if all have one label), and ``(suffix, suffix_n, suffix_bad)`` of all of it."""
     host, path = host_and_path(F.col("url"))
     suffixes = cut_lineage(labelled.groupBy(suffix_of(host).alias("suffix")).agg(
         F.count("label").alias("suffix_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("suffix_bad")), "url_suffixes")
-    sample = cut_lineage(bounded_sample(labelled, max_train).dropDuplicates(["url"]), "labelled_urls")
+    sample = cut_lineage(bounded_sample(labelled.select("url", "label"), max_train).dropDuplicates(["url"]), "labelled_urls")
     own = labelled.join(broadcast_if_small(sample.select("url")), "url").groupBy("url").agg(
         F.count("label").alias("own_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("own_bad"))
     sample = sample.join(own, "url")
-    sample = cut_lineage(lexical(sample.select("url", "label", "own_n", "own_bad", host.alias("host"), path.alias("path"))), "url_sample")
+    sample = cut_lineage(lexical(sample.select("url", "label", "weight", "own_n", "own_bad", host.alias("host"), path.alias("path"))), "url_sample")
     if sample.select("label").distinct().count() < 2:
         return None, suffixes
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix(sample, suffixes))
-    rows = rows.select("features", F.col("label").cast("double").alias("label")).coalesce(8).persist()
+    rows = rows.select("features", F.col("label").cast("double").alias("label"), "weight").coalesce(8).persist()
     try:
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32).fit(rows)
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32, weightCol="weight").fit(rows)
     finally:
         rows.unpersist()
     return model, suffixes
@@ -132,14 +138,15 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: Seque
                max_train: int = MAX_TRAIN, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
     """``(page_id, host, path, rule, verdict, bad_probability)`` per row of ``pages``."""
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
-    model, suffixes = train(seed_labels(urls) if labelled is None else labelled.select("url", "label"), max_train)
+    labelled = seed_labels(urls) if labelled is None else labelled.select("url", "label")
+    model, suffixes = train(labelled, max_train)
     host, path = host_and_path(F.col("url"))
     rows = with_suffix(lexical(urls.select("page_id", "url", host.alias("host"), path.alias("path"))), suffixes)
     if model:
         rows = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows))
         bad = F.get(vector_to_array("probability"), F.lit(1))
     else:
-        bad = F.lit(0.0)
+        bad = F.lit(float(labelled.agg(F.max("label").alias("m")).first()["m"] or 0))   # the one label there is
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
     return rows.select("page_id", "host", "path", rule.alias("rule"),
                        F.coalesce(said, F.when(bad >= threshold, "block").otherwise("allow")).alias("verdict"), bad.alias("bad_probability"))

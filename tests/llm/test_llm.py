@@ -437,6 +437,24 @@ def test_html_pages_and_odd(spark):
 
 # ------------------------------------------------------------------ 8 URLs
 
+def test_rare_bad_urls_are_all_in_the_sample(spark):
+    """Precision and recall on hosts that were not labelled; good hosts have hyphens too."""
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choices("abcdefghij", k=6))
+    good = lambda: f"https://{name()}{rng.choice(['', '-' + name()])}.example.org/de/{name()}"
+    bad = lambda: f"https://{rng.randrange(10**6, 10**7)}-{name()}.example.org/{name()}?a=1&b=2&c={rng.randrange(10**9)}"
+    labelled = spark.createDataFrame([(good(), 0) for _ in range(3000)] + [(bad(), 1) for _ in range(15)], "url string, label int")
+    sample = url_filter.bounded_sample(labelled, 200).groupBy("label").agg({"*": "count", "weight": "sum"}).collect()
+    seen = {r["label"]: (r["count(1)"], r["sum(weight)"]) for r in sample}
+    assert seen[1] == (15, 15.0) and 50 < seen[0][0] < 160 and 1500 < seen[0][1] < 4500
+    rows = [(i, good()) for i in range(200)] + [(1000 + i, bad()) for i in range(50)]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), labelled, max_train=400).collect()
+    blocked = {r.page_id for r in got if r.verdict == "block"}
+    assert sum(i >= 1000 for i in blocked) >= 45 and sum(i < 1000 for i in blocked) <= 4
+    one = url_filter.judge_urls(spark.createDataFrame(rows[:5], "page_id bigint, url string"), labelled.where("label = 1")).collect()
+    assert {r.verdict for r in one} == {"block"}
+
+
 def test_urls(spark):
     rng = random.Random(2)
     rows = [(i, f"https://{rng.choice(['www.', 'm.', ''])}{rng.choice(['cheap-pills', 'casino-win', 'house', 'garden', 'school', 'river'])}"
