@@ -63,6 +63,24 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "This work has been dedicated to the public domain.",
     ),
+    "ISC": (
+        "Released under the ISC License.",
+        "Licensed under the terms of the ISC license.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Licensed under the Boost Software License 1.0.",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.",
+        "Licensed under the Eclipse Public License 2.0.",
+    ),
+    "Zlib": (
+        "Released under the zlib license.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+        "and redistribute it freely.",
+    ),
     "Unlicense": (
         "This is free and unencumbered software released into the public domain.",
         "Released under the Unlicense license.",
@@ -74,6 +92,42 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+#: What follows the notices above in the licences' own texts and in file headers; for training only.
+BODIES: dict[str, tuple[str, ...]] = {
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
+    ),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law "
+        "or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS.",
+    ),
+    "BSD": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+    ),
+    "GPL": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program "
+        "is distributed in the hope that it will be useful.",
+    ),
+    "LGPL": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions.",
+    ),
+}
+
 #: Sentences with the same vocabulary that grant or reserve nothing.
 OTHERS: tuple[str, ...] = (
     "He lost his driving license on the way to the station.",
@@ -94,5 +148,6 @@ OTHERS: tuple[str, ...] = (
     "The commons were open to the public and the creative class.",
 )
 
-#: A paragraph without any of these stems is no candidate; every template holds one (tested).
+#: A piece of text without any of these stems is no candidate; every template holds one (tested).
+#: Between the words of a stem there may be a line's end.
 STEMS: tuple[str, ...] = ("licen", "copyright", "rights reserved", "public domain", "permission", "permitted", "redistribut")

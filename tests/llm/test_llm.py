@@ -94,6 +94,47 @@ def test_license_scan(spark, docs, texts, odd, empty):
     assert license_scan.scan(empty, model).count() == 0
 
 
+#: Notices as files carry them: hard-wrapped, in comments, in long lines, with wordings that no template has.
+CARRIED = [
+    ("MIT", 3, "Copyright (c) 2021 Jane Doe\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and "
+     "associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\n"
+     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\n"
+     "furnished to do so, subject to the following conditions:"),
+    ("BSD", 2, "A tool for pipes.\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+     "following conditions are met:\n\n1. Redistributions of source code must retain the above notice."),
+    ("GPL", 4, "/*\n * Sorts things.\n *\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General "
+     "Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */"),
+    ("Apache-2.0", 1, "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n"
+     "# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0"),
+    ("ISC", 1, "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the\n"
+     "above copyright notice and this permission notice appear in all copies."),
+    ("MIT", 2, "first line\n" + "the river ran down past the old mill and on " * 40 + "Released under the MIT License. " + "and the boats went by " * 60),
+    ("EPL", 2, "Some tool of ours\nThis program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is "
+     "available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("All-rights-reserved", 2, "We made this.\nCopyright 2020 Example Ltd. All rights\nreserved.\n"),
+]
+
+
+def test_license_wrapped_and_embedded(spark, docs):
+    model = license_scan.train(spark, docs)
+    rows = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(CARRIED)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(rows, model).collect()}
+    for i, (family, line, text) in enumerate(CARRIED):
+        assert (got[i].family, got[i].first_line) == (family, line), (text, got[i])
+        assert got[i].n_license >= 1
+
+
+def test_license_pieces():
+    text = "a b\n" + "w " * 100 + "licence x\n * \nrights\n# reserved\n\n--\nend"
+    got = list(license_scan.paragraphs(text))
+    assert [p.lines for p in got] == [[(1, 0), (2, 2)], [(4, 0), (5, 1)], [(8, 0)]]
+    assert [len(p.words) for p in got] == [104, 2, 1]
+    assert list(license_scan.pieces(got[1])) == [(4, "rights reserved")]
+    assert all("licence" in piece and len(piece.split()) <= license_scan.PIECE_WORDS for _, piece in license_scan.pieces(got[0]))
+    assert {line for line, _ in license_scan.pieces(got[0])} == {2}
+    assert list(license_scan.paragraphs(" \n\t\n")) == []
+
+
 # ------------------------------------------------------------------ 2 near-duplicates
 
 def brute_fingerprint(t):
