@@ -84,8 +84,24 @@ WITH b AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r
 ), items AS (
   SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+), term AS (
+  SELECT span, unnest(span) AS w, unnest(generate_series(1, len(span))) AS o FROM (SELECT DISTINCT span FROM win)
+), place AS (
+  SELECT r, w, p FROM (SELECT r, unnest(ws) AS w, unnest(generate_series(1, len(ws))) AS p FROM d) WHERE w IN (SELECT w FROM term)
+), often AS (
+  SELECT w, count(*) AS c FROM place GROUP BY w
+), rarest AS (
+  SELECT span, arg_min(w, (c, o)) AS w, count(DISTINCT w) AS n FROM term LEFT JOIN often USING (w)
+  GROUP BY span HAVING count(c) = count(*)
+), near AS (
+  SELECT a.r, t.span, a.p FROM rarest x JOIN place a USING (w) JOIN (SELECT DISTINCT span, w FROM term) t ON t.span = x.span
+  JOIN place b ON b.r = a.r AND b.w = t.w AND abs(a.p - b.p) <= 20
+  GROUP BY a.r, t.span, a.p, x.n HAVING count(DISTINCT t.w) = x.n
+), near_items AS (
+  SELECT r, count(DISTINCT item) AS n FROM near JOIN win USING (span) GROUP BY r
 )
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+       sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated,
+       coalesce(near_items.n, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r) LEFT JOIN near_items USING (r)
 """

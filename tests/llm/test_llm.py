@@ -380,6 +380,43 @@ def test_contamination_odd(spark, odd, empty):
     assert not any(r.contaminated for r in decontaminate.contamination(odd, bench.limit(0)).collect())
 
 
+def brute_near(texts, items, slop, n=10):
+    """Per text the number of items with a window all of whose words are near its rarest."""
+    split = lambda t: re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", lower(t or ""))
+    docs = [split(t) for t in texts]
+    counts = collections.Counter(w for d in docs for w in d)
+    out = []
+    for d in docs:
+        places = collections.defaultdict(list)
+        for p, w in enumerate(d):
+            places[w].append(p)
+        hit = set()
+        for item, text in items:
+            ws = split(text)
+            for k in range(max(1, len(ws) - n + 1) if ws else 0):
+                win = ws[k:k + n]
+                rarest = min(win, key=lambda w: (counts[w], win.index(w)))   # noqa: B023
+                if any(all(any(abs(p - x) <= slop for x in places[w]) for w in win) for p in places[rarest]):
+                    hit.add(item)
+        out.append(len(hit))
+    return out
+
+
+def test_proximity_counts(spark, odd, empty):
+    rng, vocabulary = random.Random(4), [f"w{i}" for i in range(12)]
+    items = [(f"i{k}", " ".join(rng.choices(vocabulary, k=rng.randrange(1, 14)))) for k in range(12)] + [("i0", "w1 w1 w2"), ("none", None), ("e", "")]
+    rows = [(i, " ".join(rng.choices([*vocabulary, "x", "y"], k=rng.randrange(60)))) for i in range(40)]
+    rows += [(100, "w0 w1 " * 3000 + "w2 w3"), (101, None), (102, ""), (100, "w1 w1")]
+    made = spark.createDataFrame([(i, t, "a", 1) for i, t in rows], "doc_id bigint, text string, row string, pos int")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.contamination(made, bench, slop=5)
+    want = collections.Counter(zip((i for i, _ in rows), brute_near([t for _, t in rows], items, 5), strict=True))
+    assert collections.Counter((r.doc_id, r.n_near) for r in got.collect()) == want
+    assert len(set(want)) > 20
+    assert decontaminate.contamination(empty, bench, slop=5).count() == 0
+    assert all(r.n_near == 0 for r in decontaminate.contamination(odd, bench.limit(0), slop=5).collect())
+
+
 def test_proximity(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id bigint, text string")
     made = spark.createDataFrame([(1, "delta x gamma y beta z alpha"), (2, "alpha beta " + "x " * 30 + "gamma delta"), (3, "alpha beta gamma")],
