@@ -27,6 +27,7 @@ from canopus.operators import kmeans as km  # noqa: E402
 from canopus.operators import ngrams as ng  # noqa: E402
 from canopus.operators import topk as tk  # noqa: E402
 from canopus.operators import vectorize as vz  # noqa: E402
+from canopus.plans import pipeline as pl  # noqa: E402
 from canopus.plans import reports as rp  # noqa: E402
 from canopus.session import ensure_checkpoint_dir, ship_package  # noqa: E402
 from canopus.sources import stages  # noqa: E402
@@ -471,7 +472,46 @@ def q_canopy_centers_sparse(spark, sf):
     return c.select("cluster_id", "term_id", _r("weight"))
 
 
+# ------------------------------------------------------------------ jobs over folders
+
+def _job(spark, sf) -> tuple[str, str]:
+    """Folders of stages and reports that the whole job wrote from tag lines in text files."""
+    k = _key(spark, sf, "job")
+    if k not in _memo:
+        base = _folder(spark)
+        documents_as_tag_lines(read_documents(spark, sf)).write.text(f"{base}/lines")
+        pl.run(spark, "all", f"{base}/lines", f"{base}/job", f"{base}/reports", WORKED_V, KM_WORKED, DUMP.with_(fmt="CSV"))
+        _memo[k] = f"{base}/job", f"{base}/reports"
+    return _memo[k]
+
+
+def q_job_vectorize(spark, sf):
+    return stages.read_stage(spark, _job(spark, sf)[0], "tfidf").select("doc_id", "term_id", _r("weight"))
+
+
+def q_job_cluster(spark, sf):
+    return stages.read_stage(spark, _job(spark, sf)[0], "points").select("cluster_id", "doc_id", _r("distance", 4))
+
+
+def q_job_dump(spark, sf):
+    """The report's lines, as written."""
+    return spark.read.text(f"{_job(spark, sf)[1]}/clusters_dump").select(F.col("value").alias("line"))
+
+
+def q_job_report(spark, sf):
+    """The standalone report over folders, with a dictionary that went through text."""
+    job, _ = _job(spark, sf)
+    out = _folder(spark)
+    stages.write_dictionary_text(stages.read_dictionary(spark, f"{job}/dictionary"), f"{out}/dictionary")
+    pl.report_job(spark, f"{job}/clusters", f"{out}/dictionary", f"{out}/report", DUMP.with_(fmt="CSV"), "text", f"{job}/points")
+    return spark.read.text(f"{out}/report").select(F.col("value").alias("line"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "job_vectorize": q_job_vectorize,
+    "job_cluster": q_job_cluster,
+    "job_dump": q_job_dump,
+    "job_report": q_job_report,
     "tag_parse": q_tag_parse,
     "stop_filter": q_stop_filter,
     "term_counts": q_term_counts,
@@ -578,6 +618,8 @@ def oracle_sql() -> dict[str, str]:
                       CAP=CAP, EVAL_CAP=EVAL_CAP, EMPTY_WEIGHT=EMPTY_WEIGHT, SUBSTRING=SUBSTRING, THRESHOLD=THRESHOLD)
     q |= O.canopy_queries(WORKED_V, KM_DENSE, KM_SPARSE_CANOPY)
     q["estimate_t_sparse"] = O.estimate_t_sparse_sql(WORKED_V, KM_SPARSE_CANOPY)
+    q["job_vectorize"], q["job_cluster"] = q["tfidf"], q["kmeans_worked"]   # the same through folders
+    q["job_dump"] = q["job_report"] = f"SELECT line FROM ({q['report_csv']})"
     q["kmeans_worked_long"] = q["kmeans_worked"]   # same semantics, other physical assignment
     if llm_queries:
         q |= llm_queries.ORACLE_SQL
