@@ -201,7 +201,7 @@ def _tfidf_q(cfg):
 
 def q_ngrams_llr(spark, sf):
     docs = documents_tag_docs(spark, sf, DEFAULT_V)
-    s = ng.llr_scores(docs, 2).where((F.col("k11") >= DEFAULT_V.min_support) & (F.col("llr") >= DEFAULT_V.min_llr))
+    s = ng.llr_scores(docs).where((F.col("k11") >= DEFAULT_V.min_support) & (F.col("llr") >= DEFAULT_V.min_llr))
     return s.select("gram", "k11", _r("llr"))
 
 
@@ -531,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_lognorm": _tfidf_q(WORKED_V.with_(norm=2, log_normalize=True)),
     "tfidf_sigma": _tfidf_q(SIGMA_V),
     "tfidf_bigrams": _tfidf_q(WORKED_V.with_(max_ngram=2)),
+    "tfidf_trigrams": _tfidf_q(WORKED_V.with_(max_ngram=3)),
     "ngrams_llr": q_ngrams_llr,
     "distance_sq_euclidean": _distance_q("sq_euclidean"),
     "distance_cosine": _distance_q("cosine"),

@@ -6,66 +6,108 @@ list of each document (no shuffle: arrays are expanded in place). For each n-gra
   k11 = count(gram), k12 = count(head as head) - k11, k21 = count(tail as tail) - k11,
   k22 = T - k11 - k12 - k21 with T the number of n-grams of that size.
 A gram is kept when k11 >= min_support and G^2 >= min_llr. Unigrams are not tested.
+
+All sizes are counted in one expansion. The accepted grams then choose occurrences in a second
+expansion: by a broadcast if they are few (measured bytes), else by a join behind a Bloom filter
+of bounded size, so that rejected occurrences, which are most of them, are hardly ever shuffled.
+The filter's words of 64 bits are a table that is joined like any other, one word an occurrence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopus.functions.llr import llr
-from canopus.operators.ranking import broadcast_if_small
+from canopus.operators.ranking import BROADCAST_BYTES, broadcast_if_small
 from canopus.session import cut_lineage
 
+#: Grams to a 64-bit word of the filter, bits that each sets, and the largest number of words (64 MB
+#: broadcast, 8 million grams). More grams fill the words and let more through; the join stays exact.
+GRAMS_A_WORD, GRAM_BITS, MAX_WORDS = 8, 4, 1 << 20
+
 
-def ngram_occurrences(tag_docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, gram, head, tail)``, one row per n-gram occurrence."""
-    tags = F.col("tags")
+def _grams(tags: Column, n: int) -> Column:
     starts = F.when(F.size(tags) >= n, F.sequence(F.lit(0), F.size(tags) - n)).otherwise(
         F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.struct(
+    return F.transform(starts, lambda i: F.struct(
+        F.lit(n).alias("n"),
         F.array_join(F.slice(tags, i + 1, n), " ").alias("gram"),
         F.array_join(F.slice(tags, i + 1, n - 1), " ").alias("head"),
         F.element_at(tags, i + n).alias("tail")))
+
+
+def ngram_occurrences(tag_docs: DataFrame, first: int, last: int) -> DataFrame:
+    """``(doc_id, n, gram, head, tail)``, one row per occurrence of an n-gram of a size in
+    ``first..last``."""
+    grams = F.concat(*(_grams(F.col("tags"), n) for n in range(first, last + 1)))
     return (tag_docs.select("doc_id", F.explode_outer(grams).alias("g")).where(F.col("g").isNotNull())
             .select("doc_id", "g.*"))
 
 
-def llr_scores(tag_docs: DataFrame, n: int = 2) -> DataFrame:
-    """``(gram, head, tail, k11, k12, k21, k22, llr)`` for every distinct n-gram."""
-    occ = ngram_occurrences(tag_docs, n)
-    # the one pass over the texts; heads, tails and the total are sums over the distinct grams
-    grams = cut_lineage(occ.groupBy("gram", "head", "tail").agg(F.count("*").alias("k11")), "ngrams")
-    heads = cut_lineage(grams.groupBy("head").agg(F.sum("k11").alias("head_n")), "ngram_heads")
-    tails = cut_lineage(grams.groupBy("tail").agg(F.sum("k11").alias("tail_n")), "ngram_tails")
-    total = grams.agg(F.sum("k11").alias("t")).first()["t"] or 0
-    scored = grams.join(broadcast_if_small(heads), "head").join(broadcast_if_small(tails), "tail")
+def llr_scores(tag_docs: DataFrame, first: int = 2, last: int | None = None) -> DataFrame:
+    """``(n, gram, head, tail, k11, k12, k21, k22, llr)`` for every distinct n-gram of the
+    sizes ``first..last`` (of ``first`` alone by default)."""
+    occ = ngram_occurrences(tag_docs, first, last or first)
+    # the one pass over the texts; heads, tails and totals are sums over the distinct grams
+    grams = cut_lineage(occ.groupBy("n", "gram", "head", "tail").agg(F.count("*").alias("k11")), "ngrams")
+    heads = cut_lineage(grams.groupBy("n", "head").agg(F.sum("k11").alias("head_n")), "ngram_heads")
+    tails = cut_lineage(grams.groupBy("n", "tail").agg(F.sum("k11").alias("tail_n")), "ngram_tails")
+    totals = grams.groupBy("n").agg(F.sum("k11").alias("total"))   # one row a size
+    scored = (grams.join(broadcast_if_small(heads), ["n", "head"]).join(broadcast_if_small(tails), ["n", "tail"])
+              .join(F.broadcast(totals), "n"))
     k11 = F.col("k11")
     k12 = F.col("head_n") - k11
     k21 = F.col("tail_n") - k11
-    k22 = F.lit(total) - k11 - k12 - k21
-    return scored.select("gram", "head", "tail", k11.alias("k11"), k12.alias("k12"),
+    k22 = F.col("total") - k11 - k12 - k21
+    return scored.select("n", "gram", "head", "tail", k11.alias("k11"), k12.alias("k12"),
                          k21.alias("k21"), k22.alias("k22"),
                          llr(k11, k12, k21, k22).alias("llr"))
 
 
 def accepted_ngrams(tag_docs: DataFrame, max_ngram: int, min_support: int, min_llr: float) -> DataFrame:
     """``(gram, n, k11, llr)`` of all sizes 2..max_ngram passing both filters."""
-    out = None
-    for n in range(2, max_ngram + 1):
-        s = (llr_scores(tag_docs, n)
-             .where((F.col("k11") >= min_support) & (F.col("llr") >= min_llr))
-             .select("gram", F.lit(n).alias("n"), "k11", "llr"))
-        out = s if out is None else out.unionByName(s)
-    return out
-
-
-def ngram_tokens(tag_docs: DataFrame, max_ngram: int, min_support: int, min_llr: float) -> DataFrame:
-    """``(doc_id, term)`` occurrences of the accepted n-grams (sizes >= 2)."""
-    kept = accepted_ngrams(tag_docs, max_ngram, min_support, min_llr).select("gram")
-    out = None
-    for n in range(2, max_ngram + 1):
-        occ = ngram_occurrences(tag_docs, n).select("doc_id", F.col("gram"))
-        hits = occ.join(kept, "gram", "left_semi").select("doc_id", F.col("gram").alias("term"))
-        out = hits if out is None else out.unionByName(hits)
-    return out
+    return (llr_scores(tag_docs, 2, max_ngram)
+            .where((F.col("k11") >= min_support) & (F.col("llr") >= min_llr))
+            .select("gram", "n", "k11", "llr"))
+
+
+def _word_and_mask(gram: Column, n_words: int) -> tuple[Column, Column]:
+    """The filter's word of a gram and the bits that it sets there."""
+    mask = F.lit(0).cast("long")
+    bits = F.xxhash64(gram, F.lit("bits"))
+    for k in range(GRAM_BITS):
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(bits, 6 * k).bitwiseAND(F.lit(63)).cast("int")))
+    return F.pmod(F.xxhash64(gram), F.lit(n_words)), mask
+
+
+def gram_filter(kept: DataFrame) -> tuple[DataFrame, int]:
+    """A Bloom filter of ``kept.gram`` as rows ``(word, bits)``, and its number of words."""
+    n_words = 1
+    while n_words < MAX_WORDS and n_words * GRAMS_A_WORD < kept.count():
+        n_words *= 2
+    word, mask = _word_and_mask(F.col("gram"), n_words)
+    return cut_lineage(kept.select(word.alias("word"), mask.alias("mask"))
+                       .groupBy("word").agg(F.bit_or("mask").alias("bits")), "ngram_filter"), n_words
+
+
+def may_be_kept(occ: DataFrame, kept: DataFrame) -> DataFrame:
+    """Occurrences whose gram is in ``kept``, and the few others that its Bloom filter lets through."""
+    bits, n_words = gram_filter(kept)
+    word, mask = _word_and_mask(F.col("gram"), n_words)
+    return (occ.withColumn("_word", word).join(F.broadcast(bits), F.col("_word") == F.col("word"))
+            .where(F.col("bits").bitwiseAND(mask) == mask).select(*occ.columns))
+
+
+def ngram_tokens(tag_docs: DataFrame, max_ngram: int, min_support: int, min_llr: float,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``(doc_id, term, tf)`` of the accepted n-grams (sizes >= 2). ``tag_docs`` is read twice and
+    should be a written table."""
+    kept = cut_lineage(accepted_ngrams(tag_docs, max_ngram, min_support, min_llr).select("gram").distinct(), "ngrams_kept")
+    occ = ngram_occurrences(tag_docs, 2, max_ngram).select("doc_id", "gram")
+    known = broadcast_if_small(kept, broadcast_bytes)
+    if known is kept:   # too large: a hot gram is added up per document before the join
+        occ = may_be_kept(occ, kept)
+    counted = occ.groupBy("doc_id", "gram").agg(F.count("*").alias("tf"))
+    hits = counted if known is kept else occ.withColumn("tf", F.lit(1).cast("long"))
+    return hits.join(known, "gram", "left_semi").select("doc_id", F.col("gram").alias("term"), "tf")

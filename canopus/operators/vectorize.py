@@ -30,12 +30,15 @@ from canopus.session import cut_lineage
 
 def doc_terms(tag_docs: DataFrame, cfg: VectorizeConfig = VectorizeConfig()) -> DataFrame:
     """``(doc_id, term, tf)``; documents with equal ids are pooled."""
+    if cfg.max_ngram >= 2:
+        tag_docs = cut_lineage(tag_docs.select("doc_id", "tags"), "tag_docs")   # parsed once for all passes
     # explode_outer + NOT NULL above the generator: no inferred size(tags) > 0 filter is
     # pushed below the parse (see sources.tags.parse_tag_lines)
-    tokens = tag_docs.select("doc_id", F.explode_outer("tags").alias("term")).where(F.col("term").isNotNull())
+    tokens = (tag_docs.select("doc_id", F.explode_outer("tags").alias("term")).where(F.col("term").isNotNull())
+              .withColumn("tf", F.lit(1).cast("long")))
     if cfg.max_ngram >= 2:
         tokens = tokens.unionByName(ngram_tokens(tag_docs, cfg.max_ngram, cfg.min_support, cfg.min_llr))
-    return tokens.groupBy("doc_id", "term").agg(F.count("*").cast("int").alias("tf"))
+    return tokens.groupBy("doc_id", "term").agg(F.sum("tf").cast("int").alias("tf"))
 
 
 def term_counts(dt: DataFrame) -> DataFrame:

@@ -368,6 +368,7 @@ def all_queries(DEFAULT_V, WORKED_V, STOP_V, SIGMA_V, KM_DEFAULT, KM_WORKED, KM_
         "tfidf_lognorm": with_(v(WORKED_V.with_(norm=2, log_normalize=True)), tfidf_sel),
         "tfidf_sigma": with_(v(SIGMA_V), tfidf_sel),
         "tfidf_bigrams": with_(v(WORKED_V.with_(max_ngram=2)), tfidf_sel),
+        "tfidf_trigrams": with_(v(WORKED_V.with_(max_ngram=3)), tfidf_sel),
         "ngrams_llr": with_(tagdocs_ctes(DEFAULT_V) + ngram_ctes(DEFAULT_V, 2),
                             f"SELECT gram, k11, round(llr, 6) AS llr FROM llr WHERE k11 >= {DEFAULT_V.min_support} "
                             f"AND llr >= {DEFAULT_V.min_llr}"),

@@ -1,11 +1,13 @@
 """Log-likelihood ratio against the entropy form computed in plain Python."""
 
+import collections
 import math
+import random
 
 import pytest
 
 from canopus.functions.llr import llr
-from canopus.operators.ngrams import llr_scores
+from canopus.operators.ngrams import accepted_ngrams, llr_scores, may_be_kept, ngram_tokens
 
 
 def _xlogx(x):
@@ -33,3 +35,45 @@ def test_bigram_contingency(spark):
     ny = s["new york"]
     # T = 4 bigrams; head 'new' twice, tail 'york' three times
     assert (ny["k11"], ny["k12"], ny["k21"], ny["k22"]) == (2, 0, 1, 1)
+
+
+def _tag_docs(spark, rows=200, words=30):
+    rng = random.Random(3)
+    made = [(str(i), rng.choices([f"t{k}" for k in range(words)], k=rng.randrange(12))) for i in range(rows)]
+    made += [("hot", ["new", "york", "city"] * 300), ("none", None), ("empty", []), ("one", ["new"]), ("two", ["new", "york"]),
+             ("two", ["new", "york"]), ("three", ["new", "york", None, "city"])]
+    return spark.createDataFrame(made, "doc_id string, tags array<string>"), made
+
+
+def test_all_sizes_in_one_pass_equal_each_size(spark):
+    docs, _ = _tag_docs(spark)
+    together = sorted(map(tuple, llr_scores(docs, 2, 4).collect()))
+    assert together == sorted(tuple(r) for n in (2, 3, 4) for r in llr_scores(docs, n).collect())
+
+
+@pytest.mark.parametrize("bytes_", [0, 64 << 20])
+def test_accepted_occurrences_by_broadcast_and_by_filter(spark, bytes_):
+    docs, made = _tag_docs(spark)
+    kept = {r["gram"] for r in accepted_ngrams(docs, 3, 3, 4.0).collect()}
+    assert {"new york", "new york city"} <= kept
+    want = collections.Counter()
+    for i, tags in made:
+        for n in (2, 3):
+            for k in range(len(tags or []) - n + 1):
+                gram = " ".join(t for t in tags[k:k + n] if t is not None)
+                if gram in kept:
+                    want[i, gram] += 1
+    got = collections.Counter()
+    for r in ngram_tokens(docs, 3, 3, 4.0, bytes_).collect():
+        got[r["doc_id"], r["term"]] += r["tf"]
+    assert got == want
+
+
+def test_filter_keeps_every_accepted_gram_and_few_others(spark):
+    grams = spark.range(40_000).selectExpr("concat('g ', id) AS gram")
+    kept = grams.where("gram < 'g 2'").cache()   # about a quarter
+    passed = {r["gram"] for r in may_be_kept(grams, kept).collect()}
+    mine = {r["gram"] for r in kept.collect()}
+    assert mine <= passed
+    assert len(passed - mine) < 0.06 * (40_000 - len(mine))
+    assert may_be_kept(grams, kept.limit(0)).count() == 0
