@@ -49,8 +49,9 @@ def llr_scores(tag_docs: DataFrame, first: int = 2, last: int | None = None) ->
     """``(n, gram, head, tail, k11, k12, k21, k22, llr)`` for every distinct n-gram of the
     sizes ``first..last`` (of ``first`` alone by default)."""
     occ = ngram_occurrences(tag_docs, first, last or first)
-    # the one pass over the texts; heads, tails and totals are sums over the distinct grams
-    grams = cut_lineage(occ.groupBy("n", "gram", "head", "tail").agg(F.count("*").alias("k11")), "ngrams")
+    # the one pass over the texts; heads, tails and totals are sums over the distinct grams. Head
+    # and tail make up the gram, so they alone are shuffled and written
+    grams = cut_lineage(occ.groupBy("n", "head", "tail").agg(F.count("*").alias("k11")), "ngrams")
     heads = cut_lineage(grams.groupBy("n", "head").agg(F.sum("k11").alias("head_n")), "ngram_heads")
     tails = cut_lineage(grams.groupBy("n", "tail").agg(F.sum("k11").alias("tail_n")), "ngram_tails")
     totals = grams.groupBy("n").agg(F.sum("k11").alias("total"))   # one row a size
@@ -60,7 +61,7 @@ def llr_scores(tag_docs: DataFrame, first: int = 2, last: int | None = None) ->
     k12 = F.col("head_n") - k11
     k21 = F.col("tail_n") - k11
     k22 = F.col("total") - k11 - k12 - k21
-    return scored.select("n", "gram", "head", "tail", k11.alias("k11"), k12.alias("k12"),
+    return scored.select("n", F.concat_ws(" ", "head", "tail").alias("gram"), "head", "tail", k11.alias("k11"), k12.alias("k12"),
                          k21.alias("k21"), k22.alias("k22"),
                          llr(k11, k12, k21, k22).alias("llr"))
 
