@@ -12,7 +12,9 @@ number the pieces of each length (a task's own number plus the counts of the tas
 before), and look each number up in the plan, which has a few thousand intervals.
 
 Defined results: a null text is an empty one (the end id alone); every row is packed,
-repeated rows too; an empty table gives an empty result; other columns are ignored.
+repeated rows too; a very long text is tokenised whole and cut into pieces of the capacity;
+which of several pieces of one length goes where is left open; an empty table gives an empty
+result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

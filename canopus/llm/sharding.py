@@ -13,7 +13,8 @@ The main path is DataFrame operations alone; the driver draws one row of counts
 
 Defined results: a null text has no bytes and checksum 0; every row gets a place, repeated
 rows too (equal rows are the same, so which has which place is no question); null ids are a
-value; an empty table gives an empty result; columns other than id and text are ignored.
+value; a very long text is one row like any other; an empty table gives an empty result;
+columns other than id and text are ignored.
 """
 
 from __future__ import annotations

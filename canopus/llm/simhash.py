@@ -18,7 +18,8 @@ alternating big and small stars on DataFrames.
 
 Defined results: null, empty and blank texts have fingerprint 0 and link like any other;
 repeated rows and texts share one node; null ids get the smallest id of their component
-(null if it has none); an empty table gives an empty result; other columns are ignored.
+(null if it has none); a bit set in exactly half the hashes is 0; a very long text is hashed
+whole; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ system Spark does and commits a task's files only once, whichever attempt wins.
 
 Defined results: a null text is an empty one (its ids are the end id alone); a null id
 sorts first; equal ids sort by the hash of their text, equal rows in any order, as they
-are the same; an empty table writes no segment and reads as no rows.
+are the same; a very long text is encoded whole; repeated rows are written each; an empty
+table writes no segment and reads as no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ its host is on a short list of words of the kinds a blocklist has, good otherwis
 table ``(url, label)`` serves instead.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule
-and gets the trees' verdict on empty features; repeated rows are judged each; an empty
+and gets the trees' verdict on empty features; a very long URL is judged whole; of rules that
+fit, the longest wins; repeated rows are judged each; an empty
 table gives an empty result; without both labels in the sample every unruled URL is
 allowed; other columns are ignored.
 """
