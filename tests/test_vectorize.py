@@ -66,3 +66,24 @@ def test_smooth_scheme(spark):
     st = vz.vectorize(_docs(spark), VectorizeConfig(scheme="smooth"))
     got = {(r["doc_id"], r["term_id"]): r["weight"] for r in st.tfidf.collect()}
     assert got[("d1", 0)] == pytest.approx(2 * math.log(4 / 2))
+
+
+def test_only_rows_of_rare_terms_are_shuffled_past_a_large_dictionary(spark, monkeypatch):
+    from canopus.operators import ranking
+    words = [f"t{i:02d}" for i in range(40)]
+    dt = spark.createDataFrame([(f"d{d}", w, 1 + d % 3) for d in range(64) for i, w in enumerate(words) if d % (i + 1) == 0], "doc_id string, term string, tf int")
+    dictionary, n = vz.build_dictionary(vz.term_counts(dt), 3)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want = key(vz.term_frequency(dt, dictionary))
+    df = vz.document_frequency(vz.term_frequency(dt, dictionary))
+    kept = key(vz.prune_by_df(vz.term_frequency(dt, dictionary), df, 2, 50))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for room in (n * 20, 1):   # some terms' room, and no room
+            monkeypatch.setattr(ranking, "BROADCAST_BYTES", room)
+            tf = vz.term_frequency(dt, dictionary)
+            assert ("BroadcastHashJoin" in tf._jdf.queryExecution().executedPlan().toString()) == (room > 1)
+            assert key(tf) == want and key(vz.prune_by_df(tf, df, 2, 50)) == kept
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
