@@ -206,3 +206,34 @@ def test_custom_measure_with_many_centers_plans_quickly(spark):
     assert all(r["cluster_id"] == r["point_id"] and r["distance"] == 0 for r in got.collect())
     res = km.kmeans_dense(pts, centers, KMeansConfig(max_iter=1, measure="thirds"))
     assert res.points.where("cluster_id = point_id").count() == 200 and res.centers.count() == 1000
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine"])
+def test_centres_too_large_for_a_broadcast_leave_points_in_place(spark, measure, monkeypatch):
+    """No point is shuffled, however many entries the centres have; runs and blocks change nothing."""
+    rng = np.random.default_rng(11)
+    rows = [(f"d{i:03d}", int(t), float(rng.integers(1, 9))) for i in range(120) for t in rng.choice(40, size=int(rng.integers(1, 9)), replace=False)]
+    pts = km.prepare_sparse_points(_sparse(spark, rows), 3)
+    seeds = km.seed_centroids_sparse(pts, km.random_seeds(pts.select("doc_id").distinct(), 4, 1))
+    cfg = KMeansConfig(k=4, max_iter=3, delta=-1.0, measure=measure, broadcast_max_values=0)
+
+    def clusters():
+        res = km.kmeans_sparse(pts, seeds, 4, cfg, prepared=True)
+        cent = {(r["cluster_id"], r["term_id"]): r["weight"] for r in res.centers.collect()}
+        return sorted((r["doc_id"], r["cluster_id"], round(r["distance"], 6)) for r in res.points.collect()), cent
+
+    want, cents = clusters()
+    st = km.sparse_center_stats(seeds, seeds)
+    packed = km.cut_lineage(km.packed_documents(pts))
+    blocks = km.center_postings(seeds, 4, [st[j]["n2"] for j in range(4)], sum(s["nnz"] for s in st.values()))
+    assert "Exchange" not in km.past_blocks(packed, blocks, measure, sums=True)._jdf.queryExecution().executedPlan().toString()
+    rows_of = km.assign_sparse_rows(pts, seeds, 4, [st[j]["n2"] for j in range(4)], measure)
+    old = {(r["cluster_id"], r["term_id"]): (round(r["s"], 6), r["f"]) for r in km.centroid_sums(rows_of).collect()}
+    for name, value in (("CENTER_BLOCK_VALUES", 8), ("CENTER_BLOCKS", 1), ("BATCH_ENTRIES", 5), ("BATCH_POSTINGS", 3), ("SUM_ENTRIES", 4)):
+        monkeypatch.setattr(km, name, value)
+    blocks = km.center_postings(seeds, 4, [st[j]["n2"] for j in range(4)], sum(s["nnz"] for s in st.values()))
+    assert len(blocks) > 1
+    parts = km.past_blocks(packed, blocks, measure, sums=True).groupBy("cluster_id", "term_id").agg(F.sum("s").alias("s"), F.sum("f").alias("f"))
+    assert {(r["cluster_id"], r["term_id"]): (round(r["s"], 6), r["f"]) for r in parts.collect()} == old
+    got, again = clusters()
+    assert got == want and again.keys() == cents.keys() and all(abs(again[k] - cents[k]) < 1e-9 for k in cents)
