@@ -77,3 +77,18 @@ def test_filter_keeps_every_accepted_gram_and_few_others(spark):
     assert mine <= passed
     assert len(passed - mine) < 0.06 * (40_000 - len(mine))
     assert may_be_kept(grams, kept.limit(0)).count() == 0
+
+
+def test_scores_of_frequent_grams_need_only_frequent_heads_and_tails(spark, monkeypatch):
+    """Rare heads and tails are never joined, and a large table of them is not shuffled against all grams."""
+    from canopus.operators import ngrams as ng
+    from canopus.operators import ranking
+    docs = spark.createDataFrame([(f"d{i}", [f"t{(i * j) % 7}" for j in range(1, 12)] + [f"rare{i}"]) for i in range(30)], "doc_id string, tags array<string>")
+    key = lambda df: sorted((r["gram"], r["k11"], r["k12"], r["k21"], r["k22"], round(r["llr"], 9)) for r in df.collect())
+    want = [r for r in key(ng.llr_scores(docs, 2, 3)) if r[1] >= 4]
+    seen = []
+    join = ng.lookup_join
+    monkeypatch.setattr(ng, "lookup_join", lambda rows, table, keys, freq: seen.append(table.where(freq < 4).count()) or join(rows, table, keys, freq))
+    assert key(ng.llr_scores(docs, 2, 3, 4)) == want and want and seen == [0, 0]
+    monkeypatch.setattr(ranking, "BROADCAST_BYTES", 400)
+    assert key(ng.llr_scores(docs, 2, 3, 4)) == want
