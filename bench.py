@@ -56,11 +56,11 @@ def main() -> None:
 
     def vectorise():
         st = vectorize(documents_tag_docs(spark, sf_dir, WORKED_V), WORKED_V)
-        held.update(st=st, pts=km.prepare_sparse_points(st.tfidf))   # materialises the TF-IDF vectors
+        held.update(st=st, pts=km.packed_points(st.tfidf))   # materialises the TF-IDF vectors
 
     def kmeans_sparse():
         pts = held["pts"]
-        seeds = km.random_seeds(pts.select("doc_id").distinct(), WORKED_K.k, WORKED_K.seed)
+        seeds = km.random_seeds(pts.select("doc_id"), WORKED_K.k, WORKED_K.seed)
         held["res"] = km.kmeans_sparse(pts, km.seed_centroids_sparse(pts, seeds), WORKED_K.k, WORKED_K, prepared=True)
         run(held["res"].points)
 

@@ -237,3 +237,24 @@ def test_centres_too_large_for_a_broadcast_leave_points_in_place(spark, measure,
     assert {(r["cluster_id"], r["term_id"]): (round(r["s"], 6), r["f"]) for r in parts.collect()} == old
     got, again = clusters()
     assert got == want and again.keys() == cents.keys() and all(abs(again[k] - cents[k]) < 1e-9 for k in cents)
+
+
+def test_points_are_packed_before_they_are_shuffled(spark):
+    """Documents cut by batches and partitions are put together; whole ones are one shuffled row."""
+    rows = [(f"d{i:02d}" if i else None, t, float(t % 3 + 1)) for i in range(9) for t in range(1 + 2 * i)] + [("d03", 1, 0.5)]
+    vecs = _sparse(spark, rows)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch, n in ((old, 1), ("4", 3)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            packed = km.packed_points(vecs.coalesce(1) if n == 1 else vecs.repartition(n), n)
+            got = {r["doc_id"]: (r["idx"], r["val"]) for r in packed.collect()}
+            assert len(got) == packed.count() == 9 and got["d03"][0] == [0, 1, 1, 2, 3, 4, 5, 6]
+            assert all(i == sorted(i) for i, _ in got.values())
+            assert sorted(map(str, km.long_form(packed).collect())) == sorted(map(str, vecs.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    plan = km.packed_rows(vecs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("hashpartitioning(doc_id") < plan.index("MapInArrow")   # the exchange is above
+    seeds = km.random_seeds(packed.select("doc_id"), 2, 1)
+    assert sorted(km.seed_centroids_sparse(packed, seeds).collect()) == sorted(km.seed_centroids_sparse(vecs, seeds).collect())

@@ -87,3 +87,20 @@ def test_only_rows_of_rare_terms_are_shuffled_past_a_large_dictionary(spark, mon
             assert key(tf) == want and key(vz.prune_by_df(tf, df, 2, 50)) == kept
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_terms_are_counted_without_a_shuffle_and_repeated_ids_are_pooled(spark, monkeypatch):
+    monkeypatch.setattr(vz, "PACK_TAGS", 3)
+    rows = [("d1", ["b", "a", "b"]), ("d2", ["é", "z", None, "a"]), (None, ["a"]), ("d3", []), ("d4", None), ("d1", ["b", "c"]), (None, ["a", "q"]), ("d5", ["z"])]
+    docs = spark.createDataFrame(rows, "doc_id string, tags array<string>").repartition(3)
+    key = lambda df: sorted((str(r[0]), *r[1:]) for r in df.collect())
+    want = key(vz.doc_terms(docs))
+    st = vz.vectorize(docs, VectorizeConfig(min_support=1))
+    assert key(st.doc_terms) == want and ("d1", "b", 3) in want and ("None", "a", 2) in want
+    assert key(st.term_counts) == key(vz.term_counts(vz.doc_terms(docs)))
+    assert key(st.df) == key(vz.document_frequency(st.tf)) and st.n_docs == 4 and st.n_features == 6
+    counted = docs.mapInArrow(vz._count_tags, "doc_id string, terms array<string>, tfs array<int>")
+    assert "hashpartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+    one = vz.vectorize(docs.where("doc_id IN ('d2', 'd5')"), VectorizeConfig(min_support=1))   # no id twice: counts are read as written
+    assert "hashpartitioning" not in one.doc_terms._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in one.pruned._jdf.queryExecution().executedPlan().toString()
