@@ -258,3 +258,21 @@ def test_points_are_packed_before_they_are_shuffled(spark):
     assert plan.index("hashpartitioning(doc_id") < plan.index("MapInArrow")   # the exchange is above
     seeds = km.random_seeds(packed.select("doc_id"), 2, 1)
     assert sorted(km.seed_centroids_sparse(packed, seeds).collect()) == sorted(km.seed_centroids_sparse(vecs, seeds).collect())
+
+
+def test_centres_with_most_terms_are_a_matrix(spark, monkeypatch):
+    """The same nearest centres and sums by a matrix as by postings, for documents without terms of a block too."""
+    rng = np.random.default_rng(5)
+    rows = [(f"d{i:03d}", int(t), float(rng.integers(1, 9))) for i in range(60) for t in rng.choice(30, size=int(rng.integers(1, 12)), replace=False)]
+    packed = km.cut_lineage(km.packed_documents(_sparse(spark, rows)))
+    cent = spark.createDataFrame([(j, t, float(j + t % 3 + 1)) for j in range(3) for t in range(2, 22) if (t + j) % 5], "cluster_id int, term_id int, weight double")
+    st = km.sparse_center_stats(cent, cent)
+    got = []
+    for share in (3, 0):
+        monkeypatch.setattr(km, "DENSE_SHARE", share)
+        blocks = km.center_postings(cent, 3, [st[j]["n2"] for j in range(3)], sum(s["nnz"] for s in st.values()))
+        assert [b.value[3] is None for b in blocks] == [share == 3]
+        near = km.past_blocks(packed, blocks, "cosine").select("doc_id", "cluster_id", "distance")
+        sums = km.past_blocks(packed, blocks, "cosine", sums=True).groupBy("cluster_id", "term_id").agg(F.sum("s"), F.sum("f"))
+        got.append([sorted(map(tuple, x.collect())) for x in (near, sums)])
+    assert got[0] == got[1] and len(got[0][0]) == 60

@@ -51,3 +51,27 @@ def test_tokens_positions(spark):
     df = spark.createDataFrame([("7|x||y",)], "value string")
     rows = sorted((r["pos"], r["tag"]) for r in tag_tokens(parse_tag_lines(df, cfg)).collect())
     assert rows == [(0, "x"), (1, "y")]
+
+
+def test_fields_are_split_once(spark):
+    """Inside a WHEN Spark evaluates repeated expressions again: the split has to stand there once."""
+    for cfg in (VectorizeConfig(), VectorizeConfig(sep=";;", drop_last_field=False)):
+        df = parse_tag_lines(spark.createDataFrame([("a",)], "value string"), cfg, drop_short=False)
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_separators_and_case(spark):
+    """The number of fields, whatever the separator is and lower-casing does to it."""
+    keep = VectorizeConfig(min_fields=1, drop_last_field=False)
+    for sep, line in (("|", "x|A||B"), (";;", "x;;A;;;;B"), ("\t", "x\tA\t\tB"), ("||", "x||A||||B")):
+        assert _parse(spark, [line], keep.with_(sep=sep)) == {"x": ["a", "b"]}
+        assert _parse(spark, [line + sep + "C"], keep.with_(sep=sep, drop_last_field=True)) == {"x": ["a", "b"]}
+    assert _parse(spark, ["1zAzBzC"], keep.with_(sep="z")) == {"1": ["a", "b", "c"]}
+    assert _parse(spark, ["1ZaZb"], keep.with_(sep="Z")) == {"1": ["azb"]}   # lower-cased before it is split
+
+
+def test_own_stop_terms(spark):
+    cfg = VectorizeConfig(min_fields=1, drop_last_field=False, stop_terms=("", "𝒶b", "the", "th"), drop_years=False)
+    assert _parse(spark, ["1||𝒶b|𝒶|the|theth|ththe|th|2012|b|zz"], cfg) == {"1": ["𝒶", "ththe", "2012", "b", "zz"]}
+    none = cfg.with_(stop_terms=())
+    assert _parse(spark, ["1||a|2012|zz"], none) == {"1": ["a", "2012", "zz"]}
