@@ -92,3 +92,58 @@ def test_scores_of_frequent_grams_need_only_frequent_heads_and_tails(spark, monk
     assert key(ng.llr_scores(docs, 2, 3, 4)) == want and want and seen == [0, 0]
     monkeypatch.setattr(ranking, "BROADCAST_BYTES", 400)
     assert key(ng.llr_scores(docs, 2, 3, 4)) == want
+
+
+def _joined(tags):
+    return " ".join(t for t in tags if t is not None)
+
+
+def test_hashes_of_joined_strings_follow_from_their_parts(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from canopus.operators import ngrams as ng
+    docs = [["ab", None, "c d", "", "é"], [], None, [None, "x", "x"], ["x"], ["a b", "c"], ["a", "b c"]]
+    batch = pa.RecordBatch.from_pydict({"tags": pa.array(docs, pa.list_(pa.string()))})
+    run = ng.TagRun(batch.slice(1))   # a slice, as tasks see it
+    for n in (2, 3):
+        at = run.longer()
+        flat = [(r, t) for r, tags in enumerate(docs[1:]) for t in tags or []]
+        want = [[t for _, t in flat[i:i + n]] for i in range(len(flat)) if i + n <= len(flat) and flat[i][0] == flat[i + n - 1][0]]
+        assert run.strings([run.code[at + k] for k in range(n)]).to_pylist() == [_joined(w) for w in want]
+        assert (run.joined == ng.string_hashes(pa.array([_joined(w) for w in want]))[0]).all()
+        there = np.array([w[-1] is not None for w in want])
+        assert (run.scored[there] == ng.string_hashes(pa.array([f"{_joined(w[:-1])} {w[-1]}" for w in want if w[-1] is not None]))[0]).all()
+
+
+def test_rare_grams_are_not_shuffled(spark, monkeypatch):
+    """A sieve keeps what is rarer than the support from being counted by strings; the scores stay the same."""
+    from canopus.operators import ngrams as ng
+    docs, _ = _tag_docs(spark)
+    monkeypatch.setattr(ng, "RUN_TAGS", 50)
+    docs = docs.repartition(3)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want = [r for r in key(ng.llr_scores(docs, 2, 3)) if r[4] >= 6]
+    assert key(ng.llr_scores(docs, 2, 3, 6)) == want and want
+    rare = docs.selectExpr("doc_id", "transform(tags, (t, i) -> concat(t, doc_id, '_', i)) AS tags").unionByName(docs.where("doc_id = 'hot'"))
+    counted = ng.gram_counts(rare, 2, 3, ng.frequent_hashes(rare, 3, 6))
+    assert counted.where(f"kind = {ng.GRAM}").count() < 20 < ng.gram_counts(rare, 2, 3).where(f"kind = {ng.GRAM}").count()
+
+
+@pytest.mark.parametrize("most", [1_000_000, -1])
+def test_terms_and_accepted_grams_are_packed_where_the_tags_are(spark, monkeypatch, most):
+    """Without a shuffle by document and term; by rows if too many grams look accepted."""
+    from canopus.config import VectorizeConfig
+    from canopus.operators import ngrams as ng
+    from canopus.operators import vectorize as vz
+    docs, _ = _tag_docs(spark)
+    docs = docs.unionByName(spark.createDataFrame([("x", ["new york", "city", "new", "york"]), ("y", ["", "new", None, "york", "city"])], docs.schema))
+    cfg = VectorizeConfig(min_support=3, max_ngram=3, min_llr=4.0)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want = key(vz.doc_terms(docs, cfg))
+    monkeypatch.setattr(ng, "MAX_FALSE", most)
+    monkeypatch.setattr(vz, "PACK_TAGS", 40)
+    st = vz.vectorize(docs, cfg)
+    assert key(st.doc_terms) == want and ("x", "new york", 2) in want
+    assert ("Exchange" in vz.vectorize(docs.where("doc_id > '5'"), cfg).doc_terms._jdf.queryExecution().executedPlan().toString()) is False
+    assert key(st.df) == key(vz.document_frequency(st.tf))
