@@ -276,3 +276,22 @@ def test_centres_with_most_terms_are_a_matrix(spark, monkeypatch):
         sums = km.past_blocks(packed, blocks, "cosine", sums=True).groupBy("cluster_id", "term_id").agg(F.sum("s"), F.sum("f"))
         got.append([sorted(map(tuple, x.collect())) for x in (near, sums)])
     assert got[0] == got[1] and len(got[0][0]) == 60
+
+
+@pytest.mark.parametrize("measure", ["sq_euclidean", "cosine"])
+def test_packed_points_are_assigned_without_a_shuffle(spark, measure):
+    """Rows and means as from points in long form; no window over a document's rows."""
+    rng = np.random.default_rng(5)
+    rows = [(f"d{d}", int(t), float(rng.random() + 0.1)) for d in range(60) for t in sorted(rng.choice(30, 1 + d % 7, replace=False))] + [(None, 3, 1.0), ("far", 99, 2.0)]
+    pts = _sparse(spark, rows)
+    packed = km.packed_points(pts, 3)
+    seeds = km.seed_centroids_sparse(packed, km.random_seeds(packed.select("doc_id"), 4, 1, "doc_id"))
+    st = km.sparse_center_stats(seeds, seeds)
+    c2 = [st[j]["n2"] for j in range(4)]
+    old, new = (km.assign_sparse_rows(p, seeds, 4, c2, measure) for p in (pts, packed))
+    key = lambda df: sorted((str(r["doc_id"]), r["term_id"], r["weight"], r["_first"], r["cluster_id"], round(r["distance"], 8)) for r in df.collect())
+    assert key(new) == key(old) and len(key(new)) == len(rows)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    means = [sorted((r["cluster_id"], r["term_id"], round(r["weight"], 9)) for r in km.update_sparse(x, seeds).collect()) for x in (old, new)]
+    assert means[0] == means[1]
